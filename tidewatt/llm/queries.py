@@ -19,6 +19,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatt.llm import language
+
+    docs = _table(spark, sf_dir, "documents")
+    content = language.learn_dictionaries(language.training_rows(docs))
+    judged = docs.select("doc_id", language.held_out().alias("held_out"), language.identify(content, "text").alias("_j"))
+    return judged.select("doc_id", "held_out", "_j.lang_pred", "_j.score", "_j.rejected")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatt.llm.packing import pack_documents
 
@@ -38,8 +47,17 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op9_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatt.llm import quality
+
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ranking = quality.learn(docs, labels.where(~quality.held_out()))
+    scored = docs.select("doc_id", quality.held_out().alias("held_out"), quality.score(ranking, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op3_simhash, op8_bpe)}
+    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op8_bpe, op9_quality_ranking)}
 
 
 def oracle_sql() -> dict[str, str]:
