@@ -41,6 +41,23 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatt.llm.neighbours import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+#: Rules of op5, a parameter.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatt.llm.urls import filter_urls, seed_labels
+
+    pages = _table(spark, sf_dir, "pages")
+    return filter_urls(pages, URL_RULES, seed_labels(pages))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatt.llm.bpe import encode_documents
 
@@ -57,7 +74,7 @@ def op9_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op8_bpe, op9_quality_ranking)}
+    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op8_bpe, op9_quality_ranking)}
 
 
 def oracle_sql() -> dict[str, str]:
