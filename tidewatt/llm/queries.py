@@ -58,6 +58,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, URL_RULES, seed_labels(pages))
 
 
+def op6_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatt.llm.spots import fingerprint_documents
+
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatt.llm.bpe import encode_documents
 
@@ -74,7 +80,7 @@ def op9_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op8_bpe, op9_quality_ranking)}
+    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op8_bpe, op9_quality_ranking)}
 
 
 def oracle_sql() -> dict[str, str]:
