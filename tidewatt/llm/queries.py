@@ -79,8 +79,14 @@ def op9_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatt.llm.html import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op8_bpe, op9_quality_ranking)}
+    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op8_bpe, op9_quality_ranking, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
