@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def lasting(df: DataFrame) -> DataFrame:
-    """The same rows, written once to the shared checkpoint folder and read from there.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset, as in
-    tests on one machine, a temporary folder is made.
-    """
-    spark: SparkSession = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: the session's ``spark.checkpoint.dir``; only where that is unset, as
+    in tests on one machine, a temporary one is made."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def lasting(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the shared folder and read from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows as Parquet in the shared folder, read again."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

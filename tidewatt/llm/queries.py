@@ -64,6 +64,18 @@ def op6_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files /source/lang/<id>; one whose last line has a cue word is its directory's
+    licence file."""
+    from tidewatt.llm import licences
+
+    last = F.lower(F.substring_index("text", "\n", -1))
+    name = F.when(last.rlike("licen[cs]e|rights"), "LICENSE").otherwise(F.concat(F.col("doc_id"), F.lit(".txt")))
+    path = F.concat(F.lit("/"), F.coalesce("source", F.lit("none")), F.lit("/"), F.coalesce("lang", F.lit("none")), F.lit("/"), name)
+    files = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), path.alias("path"), "text")
+    return licences.scan(files).withColumnRenamed("id", "doc_id")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatt.llm.bpe import encode_documents
 
@@ -86,7 +98,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op8_bpe, op9_quality_ranking, op10_html_extraction)}
+    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op7_license_scan, op8_bpe, op9_quality_ranking, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
