@@ -51,10 +51,10 @@ def resample15_stats(spark, sf_dir):
     return q.withColumns({c: F.round(c, 6) for c in ("value_mean", "value_median")})
 
 
-@query(f"with {_Q15} select event_type, trade_date, {_HOUR} time_interval, round(avg(value_mean), 6) value_mean, round(avg(value_median), 6) value_median, last(value_last order by time_interval) value_last from q group by all having count(distinct q.time_interval) = 4")
+@query(f"with {_Q15} select event_type, trade_date, {_HOUR} time_interval, round(avg(value_mean), 8) value_mean, round(avg(value_median), 8) value_median, last(value_last order by time_interval) value_last from q group by all having count(distinct q.time_interval) = 4")
 def resample60_gated(spark, sf_dir):
     rules = {"value_mean": ("mean", "value_mean"), "value_median": ("mean", "value_median"), "value_last": ("last", "value_last")}
-    return resample.roll_up(_quarters(_t(spark, sf_dir, "events")), rules, ["event_type"]).withColumns({c: F.round(c, 6) for c in ("value_mean", "value_median")})
+    return resample.roll_up(_quarters(_t(spark, sf_dir, "events")), rules, ["event_type"]).withColumns({c: F.round(c, 8) for c in ("value_mean", "value_median")})
 
 
 @query(f"with {_Q15} select event_type, trade_date, {_HOUR} hour_interval, count(distinct q.time_interval) as quarters from q group by all having count(distinct q.time_interval) < 4")
@@ -78,11 +78,11 @@ def native60_features(spark, sf_dir):
     return out.where("n >= 10").withColumns({c: F.round(c, 4) for c in ("value_std", "value_skew", "value_slope")})
 
 
-@query("""with m as (select date_trunc('minute', ts) as at, event_type, avg(value) v from events group by 1, 2),
- a as (select at, v from m where event_type = 'click'), b as (select at, v from m where event_type = 'view'), c as (select at, v from m where event_type = 'purchase'),
- l as (select cast(at as date) d, quantile_cont(abs(v), 0.95) p from a group by 1),
- j as (select a.at, a.v x, b.v y, c.v z, abs(a.v) >= coalesce(l.p, 999999) * 0.95 s from a left join b on b.at = a.at left join c on c.at = a.at left join l on l.d = cast(a.at as date))
- select date_trunc('hour', at) hour_start, count(*) n, case when count(*) >= 4 then round(max(x) - min(x), 6) end x_range, case when count(*) >= 4 then round(stddev_samp(x), 4) end x_std,
+@query("""with m as (select date_trunc('minute', ts) as tm, event_type, avg(value) v from events group by 1, 2),
+ a as (select tm, v from m where event_type = 'click'), b as (select tm, v from m where event_type = 'view'), c as (select tm, v from m where event_type = 'purchase'),
+ l as (select cast(tm as date) d, quantile_cont(abs(v), 0.95) p from a group by 1),
+ j as (select a.tm, a.v x, b.v y, c.v z, abs(a.v) >= coalesce(l.p, 999999) * 0.95 s from a left join b on b.tm = a.tm left join c on c.tm = a.tm left join l on l.d = cast(a.tm as date))
+ select date_trunc('hour', tm) hour_start, count(*) n, case when count(*) >= 4 then round(max(x) - min(x), 6) end x_range, case when count(*) >= 4 then round(stddev_samp(x), 4) end x_std,
  case when count(*) >= 4 then count(*) filter (where s) end saturation_count, case when count(*) >= 4 then round(avg(x + y), 6) end sum_mean, case when count(*) >= 4 then count(*) filter (where y <> 0 or z <> 0) end active_count from j group by 1""")
 def minute_features(spark, sf_dir):
     m = _t(spark, sf_dir, "events").groupBy(F.date_trunc("minute", "ts").alias("at"), "event_type").agg(F.avg("value").alias("v"))
