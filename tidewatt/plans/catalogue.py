@@ -106,11 +106,11 @@ def daily_saturation(spark, sf_dir):
 
 
 @query("""with h as (select date_trunc('hour', ts) hour_start, avg(value) v from events group by 1)
- select hour_start, round(avg(v) over (order by hour_start rows 7 preceding), 4) roll_8, round(avg(v) over (order by hour_start rows 15 preceding), 4) roll_16, round(sum(v) over (order by hour_start rows 15 preceding), 4) integral_16 from h""")
+ select hour_start, round(avg(v) over (order by hour_start rows 7 preceding), 8) roll_8, round(avg(v) over (order by hour_start rows 15 preceding), 8) roll_16, round(sum(v) over (order by hour_start rows 15 preceding), 8) integral_16 from h""")
 def rolling_memory(spark, sf_dir):
     h = _t(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").alias("hour_start")).agg(F.avg("value").alias("v")).withColumn("day", F.to_date("hour_start"))
     out = resample.rolling_blocks(h, "v", "day", ["hour_start"], {"roll_8": ("mean", 7), "roll_16": ("mean", 15), "integral_16": ("sum", 15)})
-    return out.select("hour_start", *[F.round(c, 4).alias(c) for c in ("roll_8", "roll_16", "integral_16")])
+    return out.select("hour_start", *[F.round(c, 8).alias(c) for c in ("roll_8", "roll_16", "integral_16")])
 
 
 @query("""with a as (select time_bucket(interval 15 minute, ts) b, avg(value) v from events where event_type = 'click' group by 1), f as (select time_bucket(interval 15 minute, ts) b, avg(value) v from events where event_type = 'view' group by 1)
