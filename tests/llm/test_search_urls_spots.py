@@ -112,6 +112,48 @@ def test_spot_fingerprints(spark):
     assert spots.fingerprint_documents(docs.where("doc_id = 1")).first()["near_next"] == 1.0
 
 
+def slow_signatures(text):
+    import regex
+
+    words = [w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w]
+    anchor = [len(w) <= spots.SHORT or w in spots.COMMON for w in words]
+    keep = [i for i in range(len(words)) if not (anchor[i] and i + 1 < len(words) and anchor[i + 1])]
+    content = [i for i in keep if not anchor[i]]
+    out = set()
+    for i in keep:
+        chain = [j for j in content if j > i][:2]
+        if anchor[i] and len(chain) == 2:
+            out.add((words[i], words[chain[0]], words[chain[1]]))
+    return out or ({tuple(words[i] for i in keep)} if words else set())
+
+
+def test_likeness_equals_brute_force(spark, sf):
+    texts = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    ids = sorted(texts)
+    sets = {i: slow_signatures(texts[i]) for i in ids}
+    alike = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for r in spots.fingerprint_documents(spark.read.parquet(f"{sf}/documents.parquet")).collect():
+        i = r["doc_id"]
+        nxt = ids[(ids.index(i) + 1) % len(ids)]
+        h = len(texts[i]) // 2
+        edited = slow_signatures(texts[i][: len(texts[i]) - h] + texts[nxt][:h])
+        assert r["n_signatures"] == len(sets[i])
+        assert (r["near_edited"], r["near_next"]) == pytest.approx((alike(sets[i], edited), alike(sets[i], sets[nxt])))
+
+
+def test_license_query_equals_sql(spark, sf):
+    import duckdb
+
+    from tidewatt.llm.queries import op7_license_scan, oracle_sql
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    q = con.execute(oracle_sql()["op7_license_scan"])
+    names = [d[0] for d in q.description]
+    key = lambda r: r[0]
+    assert sorted((tuple(r[c] for c in names) for r in op7_license_scan(spark, sf).collect()), key=key) == sorted(q.fetchall(), key=key)
+
+
 def test_next_row_over_many_buckets(spark, monkeypatch):
     monkeypatch.setattr(spots, "BUCKET_ROWS", 3)
     ids = sorted(random.Random(0).sample(range(10_000), 60)) + [1_000_000]

@@ -102,4 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others are not for SQL: models, tokenizers, a seeded hash, or searches too slow without an index."""
+    from tidewatt.llm import licences
+
+    return {"op7_license_scan": licences.oracle()}
