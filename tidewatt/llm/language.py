@@ -36,6 +36,10 @@ SURE = 0.08
 #: Texts up to so many bytes are compressed with an optimal parser, which finds matches from 3 bytes on.
 SHORT = 384
 LEAD = 512
+#: Texts up to so many bytes are cut into all windows of WINDOW bytes, whose sizes together resolve
+#: fractions of a byte.
+TINY = 96
+WINDOW = 12
 
 _LETTER = regex.compile(r"\p{L}")
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
@@ -95,7 +99,10 @@ class Compressors:
         if not text or not self.languages or not _LETTER.search(text):
             return UNKNOWN, 0.0, True
         raw = letters(text).encode("utf-8", "surrogatepass")
-        blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
+        if len(raw) <= TINY:
+            blocks = [raw[max(0, i - WINDOW) : i] for i in range(min(4, len(raw)), len(raw) + 1)]
+        else:
+            blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
         sizes = [sum(map(size, blocks)) for size in self._each[len(raw) > SHORT]]
         best = min(sizes)
         rest = sorted(sizes)[1] if len(sizes) > 1 else sum(len(self._bare(b)) for b in blocks)
