@@ -186,3 +186,15 @@ def test_streams(spark, tmp_path):
     for n in (1, 2):
         live.upserting(spark.readStream.schema("k int, ts timestamp, v double").parquet(source), out, ["k"], "ts", str(tmp_path / f"u{n}")).awaitTermination(120)
     assert spark.read.parquet(out).count() == 40
+
+
+def test_tables_round_half_up_and_prune(spark, tmp_path):
+    from decimal import Decimal
+
+    from tidewatt.plans.tables import TABLES
+
+    df = spark.createDataFrame([(date(2024, 1, 1), 1, "CZ", 1.0005), (date(2024, 1, 1), 2, "DE", -1.0005)], "trade_date date, period int, country_code string, actual_load_mw double")
+    TABLES["load"].write(df, str(tmp_path / "load"))
+    back = spark.read.parquet(str(tmp_path / "load")).where("country_code = 'CZ'")
+    assert back.first()["actual_load_mw"] == Decimal("1.001") and back.first()["area_id"] is None
+    assert "PartitionFilters: [isnotnull(country_code" in back._jdf.queryExecution().toString()
