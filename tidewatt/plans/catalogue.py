@@ -201,9 +201,9 @@ def outage_slots(spark, sf_dir):
     return _slots(spark, sf_dir).withColumns({c: F.round(c, 2) for c in ("total", "planned", "forced")})
 
 
-@query(f"with {_SLOTS} select cast(date_trunc('month', slot) as date) month_start, round(avg(total), 2) total_mean, round(max(total), 2) total_peak, max(n_units) units_peak, count(*) slots from z group by 1 having count(*) >= 28")
+@query(f"with {_SLOTS} select cast(date_trunc('month', slot) as date) month_start, round(avg(total), 4) total_mean, round(max(total), 2) total_peak, max(n_units) units_peak, count(*) slots from z group by 1 having count(*) >= 28")
 def outage_rollup(spark, sf_dir):
-    out = _slots(spark, sf_dir).groupBy(F.trunc("slot", "month").alias("month_start")).agg(F.round(F.avg("total"), 2).alias("total_mean"), F.round(F.max("total"), 2).alias("total_peak"), F.max("n_units").alias("units_peak"), F.count("*").alias("slots"))
+    out = _slots(spark, sf_dir).groupBy(F.trunc("slot", "month").alias("month_start")).agg(F.round(F.avg("total"), 4).alias("total_mean"), F.round(F.max("total"), 2).alias("total_peak"), F.max("n_units").alias("units_peak"), F.count("*").alias("slots"))
     return out.where("slots >= 28")
 
 
