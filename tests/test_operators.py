@@ -119,6 +119,9 @@ def test_islands_over_midnight_and_gaps(spark):
     at = [t + timedelta(minutes=m) for m in (0, 1, 2, 3, 7)]
     got = rows(checks.islands(spark.createDataFrame([(x,) for x in at], "t timestamp_ntz"), "t", 60), "first")
     assert got == [(at[0], at[3], 4), (at[4], at[4], 1)]
+    far = [datetime(1999, 12, 20, 23, 59) + timedelta(minutes=m) for m in range(-3000, 20000) if m not in (-2000, 15000)]
+    got = rows(checks.islands(spark.createDataFrame([(x,) for x in far], "t timestamp_ntz"), "t", 60), "first")
+    assert [g[2] for g in got] == [1000, 16999, 4999]
     days = spark.createDataFrame([(date(2024, 1, 1),), (date(2024, 1, 4),)], "d date")
     assert rows(checks.missing_dates(days, "d"), "day") == [(date(2024, 1, 2),), (date(2024, 1, 3),)]
     assert checks.missing_dates(days.limit(0), "d").count() == 0

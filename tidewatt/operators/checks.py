@@ -16,8 +16,9 @@ def missing_dates(df: DataFrame, day: str) -> DataFrame:
 
 
 def islands(df: DataFrame, at: str, unit_seconds: int) -> DataFrame:
-    """first, last, n of runs of consecutive instants. The runs are found per day, then joined over
-    midnight, so no task sees more than a day or a row for each run."""
+    """first, last, n of runs of consecutive instants. The runs are found per day, joined over
+    midnight within decades, and over the ends of decades, so tasks see a day's points, a decade's
+    runs, or two runs of each decade."""
     step = lambda c: F.unix_seconds(c.cast("timestamp")) / unit_seconds
     points = df.select(F.floor(step(F.col(at))).cast("long").alias("k")).where("k is not null").distinct()
     per_day = max(1, 86400 // unit_seconds)
@@ -26,10 +27,14 @@ def islands(df: DataFrame, at: str, unit_seconds: int) -> DataFrame:
     w = Window.partitionBy(F.floor(F.col("d") / 3650)).orderBy("a")
     opens = runs.withColumn("o", F.when(F.col("a") == F.lag("b").over(w) + 1, 0).otherwise(1)).withColumn("r", F.sum("o").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     joined = opens.groupBy(F.floor(F.col("d") / 3650).alias("e"), "r").agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    edge = Window.partitionBy().orderBy("a")
-    ends = joined.withColumn("o", F.when(F.col("a") == F.lag("b").over(edge) + 1, 0).otherwise(1)).withColumn("r", F.sum("o").over(edge.rowsBetween(Window.unboundedPreceding, 0)))
+    # Only the first and last run of a decade can go on in the next one.
+    own = Window.partitionBy("e")
+    joined = joined.withColumn("edge", (F.col("a") == F.min("a").over(own)) | (F.col("a") == F.max("a").over(own)))
+    every = Window.partitionBy().orderBy("a")
+    ends = joined.where("edge").select("a", "b").withColumn("o", F.when(F.col("a") == F.lag("b").over(every) + 1, 0).otherwise(1)).withColumn("r", F.sum("o").over(every.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = joined.where("not edge").select("a", "b").unionByName(ends.groupBy("r").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("r"))
     back = lambda c: F.timestamp_seconds(c * unit_seconds).cast("timestamp_ntz")
-    return ends.groupBy("r").agg(F.min("a").alias("a"), F.max("b").alias("b")).select(back(F.col("a")).alias("first"), back(F.col("b")).alias("last"), (F.col("b") - F.col("a") + 1).alias("n"))
+    return whole.select(back(F.col("a")).alias("first"), back(F.col("b")).alias("last"), (F.col("b") - F.col("a") + 1).alias("n"))
 
 
 def missing_points(df: DataFrame, day: str, position: str, positions: int) -> DataFrame:
