@@ -89,7 +89,7 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     low, high = spread["low"] or 0, spread["high"] or 0
     width = max(1, -(-(high - low + 1) * BUCKET_ROWS // max(1, spread["n"])))
     # floor keeps ids without doc_id, which come first, in a bucket of their own.
-    placed = rows.withColumn("_b", F.coalesce(F.floor((F.col("doc_id") - low) / width), F.lit(-1)).cast("long"))
+    placed = rows.withColumn("_b", F.coalesce(F.floor((F.col("doc_id").cast("double") - float(low)) / float(width)), F.lit(-1)).cast("long"))
     order = Window.partitionBy("_b").orderBy("doc_id", *columns)
     packed = placed.withColumn("_all", F.struct(*columns))
     seen = packed.withColumn("_next", F.lead("_all").over(order)).withColumn("_k", F.row_number().over(order))
