@@ -56,9 +56,9 @@ def test_recall_on_the_table(spark, sf):
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     c, q = rng.standard_normal((400, 64)), rng.standard_normal((20, 64))
-    low, high = neighbours.Codes(c).bounds(q / np.linalg.norm(q, axis=1)[:, None] @ neighbours.rotation(64))
+    estimate, error = neighbours.Codes(c).estimates(q / np.linalg.norm(q, axis=1)[:, None] @ neighbours.rotation(64))
     true = q / np.linalg.norm(q, axis=1)[:, None] @ c.T
-    assert np.mean((low <= true) & (true <= high)) > 0.99
+    assert np.mean((estimate - error <= true) & (true <= estimate + error)) > 0.99
 
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
