@@ -19,8 +19,10 @@ without rows give none; columns other than page_id, url and html are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from functools import lru_cache
+from html import unescape
 
 import pandas as pd
 import xxhash
@@ -54,78 +56,118 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
 HOLDS = frozenset("ul ol dl table div section article body main blockquote".split())
 
 
-class Page(HTMLParser):
+RAW = {t: re.compile(f"</{t}(?![a-z])[^>]*>", re.I) for t in ("script", "style", "title", "textarea", "iframe", "noembed", "noframes", "xmp")}
+#: The start of a comment, a tag with its attributes, or a declaration. Quoted values may hold a >.
+_TAG = re.compile(r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,4000}"|'[^']{0,4000}'|["'])*+)>|[!?/][^>]*+>)""")
+_SAYING = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+
+
+@lru_cache(maxsize=1 << 15)
+def said(attributes: str) -> tuple[frozenset[str], str]:
+    """Words of class, id and role, and the node's suffix of up to three classes."""
+    words, classes = set(), ""
+    for name, *values in _SAYING.findall(attributes):
+        value = next(filter(None, values), "")
+        words |= set(value.lower().replace("-", " ").replace("_", " ").split())
+        if name.lower() == "class" and not classes:
+            classes = "".join("." + c for c in sorted(set(value.split()))[:3])
+    return frozenset(words), classes
+
+
+class Page:
     """Blocks of one page: (key of the leaf, text), and the children's elements of each node."""
 
     def __init__(self, markup: str):
-        super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, str]] = []
         self.children: dict[str, list[str]] = {}
-        self._open: list[tuple[str, str, bool]] = []  # element, key, whether it holds no article
+        self._open: list[tuple[str, str, bool, bool]] = []  # element, key, whether it holds no article, whether an element about it says so
         self._parts: list[str] = []
         self._met = False
-        self.feed(markup)
-        self.close()
+        self._read(markup)
         self._end_block()
 
-    def _key(self) -> str:
-        return self._open[-1][1] if self._open else ""
+    def _read(self, markup: str) -> None:
+        at, last = 0, markup.rfind(">") + 1
+        find, text = _TAG.search, self._text
+        while m := find(markup, at, last):
+            if m.start() > at:
+                text(markup[at : m.start()])
+            at = m.end()
+            comment, slash, tag, attributes = m.groups()
+            if tag:
+                tag = tag.lower()
+                if slash:
+                    self._end(tag)
+                else:
+                    self._start(tag, attributes)
+                    if tag in RAW:
+                        close = RAW[tag].search(markup, at)
+                        if not close:
+                            return
+                        at = close.end()
+                        self._end(tag)
+            elif comment:
+                end = markup.find("-->", at)
+                if end < 0:
+                    return
+                at = end + 3
+        rest = markup[at:]
+        if (cut := _UNFINISHED.search(rest)) is not None:
+            rest = rest[: cut.start()]
+        text(rest)
+
+    def _text(self, raw: str) -> None:
+        if not (self._open and self._open[-1][2]):
+            self._parts.append(unescape(raw) if "&" in raw else raw)
 
     def _end_block(self) -> None:
         if self._parts:
             text = " ".join("".join(self._parts).split())
             self._parts = []
             if text:
-                self.blocks.append((self._key(), text))
+                self.blocks.append((self._open[-1][1] if self._open else "", text))
 
     def _pop(self, n: int) -> None:
-        if any(tag not in INLINE for tag, _, _ in self._open[n:]):
-            self._end_block()
+        for x in self._open[n:]:
+            if x[0] not in INLINE:
+                self._end_block()
+                break
         del self._open[n:]
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def _start(self, tag: str, attributes: str) -> None:
+        words, classes = said(attributes) if attributes else _SILENT
+        open_ = self._open
         if tag in INLINE:
             if tag == "br":
                 self._parts.append(" ")
-            if tag in VOID:
-                return
-            if attrs and self._said(attrs) & NO_ARTICLE_WORDS:
-                self._open.append((tag, self._key(), True))
+            elif tag not in VOID and words & NO_ARTICLE_WORDS:
+                open_.append((tag, open_[-1][1] if open_ else "", True, bool(open_ and open_[-1][3])))
             return
-        closes = CLOSES.get(tag)
+        closes = CLOSES.get(tag, _NONE)
         if tag == "body":
-            self._pop(next((i for i, x in enumerate(self._open) if x[0] == "head"), len(self._open)))
-        if closes or "p" in (x[0] for x in self._open[-2:]):
-            for i in range(len(self._open) - 1, -1, -1):
-                if self._open[i][0] in (closes or ()) or self._open[i][0] == "p":
-                    self._pop(i)
-                    break
-                if self._open[i][0] in HOLDS:
-                    break
+            self._pop(next((i for i, x in enumerate(open_) if x[0] == "head"), len(open_)))
+        for i in range(len(open_) - 1, -1, -1):
+            there = open_[i][0]
+            if there == "p" or there in closes:
+                self._pop(i)
+                break
+            if there in HOLDS:
+                break
         self._end_block()
         if tag in VOID:
             return
-        said = self._said(attrs) if attrs else frozenset()
-        classes = next((v for k, v in attrs if k == "class" and v), "") if attrs else ""
-        name = tag + "".join("." + c for c in sorted(set(classes.split()))[:3])
-        self.children.setdefault(self._key(), []).append(name)
-        above = bool(self._open and self._open[-1][2])
+        name = tag + classes
+        key, above, by_element = open_[-1][1:] if open_ else ("", False, False)
+        self.children.setdefault(key, []).append(name)
         if tag in MAIN:
             # A page's first article counts even where a wrapper around it is named after a sidebar or header beside it.
-            by_element = any(x[0] in NO_ARTICLE for x in self._open)
-            no = bool(said & COMMENTS) or above and (by_element or self._met)
+            no = bool(words & COMMENTS) or above and (by_element or self._met)
             self._met |= tag in ("article", "main")
         else:
-            no = tag in NO_ARTICLE or bool(said & NO_ARTICLE_WORDS) or above
-        self._open.append((tag, f"{self._key()}/{name}", no))
-
-    handle_startendtag = handle_starttag
-
-    @staticmethod
-    def _said(attrs: list[tuple[str, str | None]]) -> frozenset[str]:
-        return frozenset(w for k, v in attrs if k in ("class", "id", "role") and v for w in v.lower().replace("-", " ").replace("_", " ").split())
+            no = above or tag in NO_ARTICLE or bool(words & NO_ARTICLE_WORDS)
+        open_.append((tag, f"{key}/{name}", no, by_element or tag in NO_ARTICLE))
 
-    def handle_endtag(self, tag: str) -> None:
+    def _end(self, tag: str) -> None:
         if tag == "br" or tag == "p" and not any(x[0] == "p" for x in self._open):
             self._parts.append(" ")
             return
@@ -134,9 +176,10 @@ class Page(HTMLParser):
                 self._pop(i)
                 return
 
-    def handle_data(self, data: str) -> None:
-        if not (self._open and self._open[-1][2]):
-            self._parts.append(data)
+
+_UNFINISHED = re.compile(r"<[a-zA-Z/!?][^>]*$")
+_SILENT: tuple[frozenset[str], str] = (frozenset(), "")
+_NONE: frozenset[str] = frozenset()
 
 
 def ancestors(key: str) -> list[str]:
