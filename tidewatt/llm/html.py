@@ -20,6 +20,7 @@ without rows give none; columns other than page_id, url and html are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -192,16 +193,18 @@ def _hash(x: str) -> int:
 
 
 def style_features(pages: DataFrame) -> DataFrame:
-    """host, page (a hash of its blocks), kind (text or children), node, feature; distinct."""
+    """host, page (a hash of its blocks), kind (text or children), node, feature and share, one
+    over the features that the page has at the node; distinct."""
 
-    @F.pandas_udf("page long, found array<struct<kind string, node string, feature long>>")
+    @F.pandas_udf("page long, found array<struct<kind string, node string, feature long, share double>>")
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for markups in batches:
             rows = []
             for m in markups:
                 page = Page(m or "")
                 kinds = {("text", k, _hash(t)) for k, t in page.blocks} | {("children", k, _hash(" ".join(v))) for k, v in page.children.items() if k}
-                rows.append((_hash("\n".join(f"{k} {t}" for k, t in page.blocks)), [{"kind": a, "node": b, "feature": c} for a, b, c in sorted(kinds)]))
+                each = Counter((a, b) for a, b, _ in kinds)
+                rows.append((_hash("\n".join(f"{k} {t}" for k, t in page.blocks)), [{"kind": a, "node": b, "feature": c, "share": 1 / each[a, b]} for a, b, c in sorted(kinds)]))
             yield pd.DataFrame(rows, columns=["page", "found"])
 
     parsed = pages.select(host(F.coalesce("url", F.lit(""))).alias("host"), read("html").alias("_p"))
@@ -209,11 +212,11 @@ def style_features(pages: DataFrame) -> DataFrame:
 
 
 def importance(features: DataFrame) -> DataFrame:
-    """host, node, pages, importance of every node of every host's tree."""
-    counts = features.groupBy("host", "kind", "node", "feature").agg(F.count("*").alias("c"))
-    pages = features.groupBy("host", "kind", "node").agg(F.countDistinct("page").alias("pages"))
-    nodes = counts.groupBy("host", "kind", "node").agg(F.count("*").alias("features"), F.sum(F.log("c")).alias("logs"), F.sum("c").alias("total"), F.sum(F.col("c") * F.log("c")).alias("clogs"))
-    nodes = nodes.join(pages, ["host", "kind", "node"])
+    """host, node, pages, importance of every node of every host's tree. Features are read once:
+    a node's pages are the sum of its features' shares."""
+    counts = features.groupBy("host", "kind", "node", "feature").agg(F.count("*").alias("c"), F.sum("share").alias("share"))
+    nodes = counts.groupBy("host", "kind", "node").agg(F.count("*").alias("features"), F.sum(F.log("c")).alias("logs"), F.sum("c").alias("total"), F.sum(F.col("c") * F.log("c")).alias("clogs"), F.round(F.sum("share")).cast("long").alias("pages"))
+    nodes = lasting(nodes)
     m = F.greatest(F.log("pages"), F.lit(1e-9))
     content = F.when(F.col("pages") > 1, 1 - F.col("logs") / F.col("features") / m).otherwise(1.0)
     presentation = F.when(F.col("pages") > 1, (F.log("total") - F.col("clogs") / F.col("total")) / m).otherwise(1.0)
