@@ -146,8 +146,9 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     found = components(links(distinct.select("fp")), "a", "b")
     linked = distinct.join(found.withColumnRenamed("node", "fp"), "fp")
     roots = linked.groupBy("root").agg(F.min("_least").alias("_reached"))
-    label = lasting(linked.join(roots, "root").select("fp", "_reached"))
-    labels = distinct.join(label, "fp", "left").select("fp", F.coalesce("_reached", "_least").alias("component_id"))
+    label = linked.join(roots, "root").select("fp", "_reached")
+    # Written, so that the last join has a plain exchange on either side and a crowded fingerprint can be split.
+    labels = lasting(distinct.join(label, "fp", "left").select("fp", F.coalesce("_reached", "_least").alias("component_id")))
     return marked.join(labels, "fp", "left").select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
