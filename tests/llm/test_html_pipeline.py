@@ -28,6 +28,32 @@ def test_blocks(markup, text):
     assert text_of(markup) == text
 
 
+LONG = "iVBORw0KGgo+/AbC" * 640
+
+
+@pytest.mark.parametrize(
+    "markup, text",
+    [
+        (f'<p>a</p><img src="data:image/png;base64,{LONG}"><p>b</p><img src="x"><p>c</p>', "a b c"), (f"<p>a</p><img src='{LONG}' alt='x'><p>b</p><p title='t'>c</p>", "a b c"),
+        (f"<p>a</p><div data-x='{'{"k": "<b>v</b>"}' * 320}'>b</div><p class='t'>c</p>", "a b c"), (f'<p>a</p><div data-x="{"k > v, " * 720}"><p>b</p></div><p class="t">c</p>', "a b c"),
+        (f"<p>a</p><p title='it's'>b</p>{'<p>c</p>' * 999}<p title='t'>d</p>", "a b " + "c " * 999 + "d"), ('<p>a</p><p title="5" tall">b</p><p title="t">c</p>', "a b c"),
+        ("<p>a</p><p title=\"x>b</p>" + "<p>c</p>" * 999, "a b" + " c" * 999), ('<p>a</p><p title="x>b</p>' + "<p>c</p>" * 999 + '<p>d "', "a b" + " c" * 999 + ' d "'),
+        ("<p>a</p><div data-x='<p class=\"ad\">' title='class=\"ad\"' data-role=\"search\">b</div>", "a b"), ("a <p class=b c <i", "a"), ("<p>a</p><p title", "a"), ("a<p x = \"y>\" / z= >b</p / >c", "a b c"),
+    ],
+)
+def test_attributes_of_any_length(markup, text):
+    assert text_of(markup) == text
+
+
+@pytest.mark.parametrize("part", ["<a b=\">\" ", "<a b='\"' ", "<a b=\"", "<a b='x>", "<", "<!", "</", "<a ", "<a = "])
+def test_unfinished_tags_take_linear_time(part):
+    import time
+
+    start = time.process_time()
+    text_of(part * 200_000 + '"')
+    assert time.process_time() - start < 10
+
+
 def test_templates_go_and_articles_stay(spark):
     rows = []
     for i in range(40):

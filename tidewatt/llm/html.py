@@ -58,21 +58,35 @@ HOLDS = frozenset("ul ol dl table div section article body main blockquote".spli
 
 
 RAW = {t: re.compile(f"</{t}(?![a-z])[^>]*>", re.I) for t in ("script", "style", "title", "textarea", "iframe", "noembed", "noframes", "xmp")}
-#: The start of a comment, a tag with its attributes, or a declaration. Quoted values may hold a >.
-_TAG = re.compile(r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,4000}"|'[^']{0,4000}'|["'])*+)>|[!?/][^>]*+>)""")
-_SAYING = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: An attribute as HTML reads it: a quote opens a value only behind an =, and the value runs to the
+#: next such quote, however far. A quote that never closes is a sign like any other.
+_NAME, _VALUE = r"[^\s/>][^\s/>=]*+", r"""(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
+_ATTRIBUTES = re.compile(rf"({_NAME})(?:\s*+=\s*+({_VALUE})?+)?+")
+#: The start of a comment, a tag with its attributes, or a declaration. What has no end takes all that
+#: is left, so that no part is searched twice. In the second form quotes mean nothing.
+_TAG = re.compile(rf"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_NAME}(?:\s*+=\s*+{_VALUE}?+)?+)*+)(>?)|[!?/][^>]*+>?)")
+_PLAIN = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(>?)|[!?/][^>]*+>?)")
+#: Longer attributes (inline images, JSON) are read each time rather than kept.
+KEPT_ATTRIBUTES = 512
+
+
+def read_attributes(attributes: str) -> tuple[frozenset[str], str]:
+    """Words of class, id and role, and the node's suffix of up to three classes. The first of
+    attributes that share a name counts."""
+    values: dict[str, str] = {}
+    for name, value in _ATTRIBUTES.findall(attributes):
+        if (name := name.lower()) in _SAYING and name not in values:
+            values[name] = value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1 else value
+    words = {w for v in values.values() for w in v.lower().replace("-", " ").replace("_", " ").split()}
+    return frozenset(words), "".join("." + c for c in sorted(set(values.get("class", "").split()))[:3])
+
+
+_SAYING = frozenset(("class", "id", "role"))
+_kept = lru_cache(maxsize=1 << 15)(read_attributes)
 
 
-@lru_cache(maxsize=1 << 15)
 def said(attributes: str) -> tuple[frozenset[str], str]:
-    """Words of class, id and role, and the node's suffix of up to three classes."""
-    words, classes = set(), ""
-    for name, *values in _SAYING.findall(attributes):
-        value = next(filter(None, values), "")
-        words |= set(value.lower().replace("-", " ").replace("_", " ").split())
-        if name.lower() == "class" and not classes:
-            classes = "".join("." + c for c in sorted(set(value.split()))[:3])
-    return frozenset(words), classes
+    return (_kept if len(attributes) <= KEPT_ATTRIBUTES else read_attributes)(attributes)
 
 
 class Page:
@@ -88,14 +102,20 @@ class Page:
         self._end_block()
 
     def _read(self, markup: str) -> None:
-        at, last = 0, markup.rfind(">") + 1
+        at = 0
         find, text = _TAG.search, self._text
-        while m := find(markup, at, last):
+        while m := find(markup, at):
             if m.start() > at:
                 text(markup[at : m.start()])
             at = m.end()
-            comment, slash, tag, attributes = m.groups()
+            comment, slash, tag, attributes, closed = m.groups()
             if tag:
+                if not closed:
+                    # Its quotes hide every later >. Without them the text stays.
+                    if ">" not in attributes:
+                        return
+                    at, find = m.start(), _PLAIN.search
+                    continue
                 tag = tag.lower()
                 if slash:
                     self._end(tag)
@@ -112,10 +132,7 @@ class Page:
                 if end < 0:
                     return
                 at = end + 3
-        rest = markup[at:]
-        if (cut := _UNFINISHED.search(rest)) is not None:
-            rest = rest[: cut.start()]
-        text(rest)
+        text(markup[at:])
 
     def _text(self, raw: str) -> None:
         if not (self._open and self._open[-1][2]):
@@ -178,7 +195,6 @@ class Page:
                 return
 
 
-_UNFINISHED = re.compile(r"<[a-zA-Z/!?][^>]*$")
 _SILENT: tuple[frozenset[str], str] = (frozenset(), "")
 _NONE: frozenset[str] = frozenset()
 
