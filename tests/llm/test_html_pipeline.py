@@ -54,6 +54,32 @@ def test_unfinished_tags_take_linear_time(part):
     assert time.process_time() - start < 10
 
 
+@pytest.mark.parametrize(
+    "markup, text",
+    [
+        ("<article><h2 id='related-work'>a</h2><section id='legal-history'>b</section><h2 id='search-and-replace'>c</h2><h3 id='comments'>d</h3></article>", "a b c d"),
+        ("<div class='widget-content'>a</div><div class='content with-sidebar'>b <span class='share-price'>c</span></div>", "a b c"), ("<body class='comments-open'><article class='no-comments'>a</article>", "a"),
+        ("<div class='x sidebar'>s</div><div id='site-search'>a</div><div id='search'>s</div><div role='navigation x'>s</div><p class='Social_Share'>s</p>b", "a b"), ("<article class='comment'>r</article><article>a</article>", "a"),
+    ],
+)
+def test_only_whole_names_decide(markup, text):
+    assert text_of(markup) == text
+
+
+def test_other_words_lower_importance(spark):
+    rows = []
+    for i in range(40):
+        lines = "".join(f"<p class='l{k}'>line {k} of {i // 3 if k else i // 2}</p>" for k in range(3))  # each on two or three pages
+        rows.append((i, f"http://h.com/{i}", f"<body class='with-sidebar'><div class='related-work'><h2 id='legal-notes'>own heading {i}</h2>own text {i}</div><div class='post-related'>Often {i % 2}</div><div class='plain'>Seen {i % 2}</div>{lines}"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(pages).collect()}
+    assert all(got[i].startswith(f"own heading {i} own text {i} ") and "Often" not in got[i] and got[i].endswith(f"line 2 of {i // 3}") for i in range(40))
+    # The same branch with and without the word: part of the pages share each of its texts.
+    rows = [(i, f"http://h.com/{i}", f"<article>own {i}</article><div class='post-related'>a {i // 8}</div><div class='post-x'>b {i // 8}</div>") for i in range(40)]
+    got = [r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+    assert got == [f"own {i} b {i // 8}" for i in range(40)]
+
+
 def test_templates_go_and_articles_stay(spark):
     rows = []
     for i in range(40):

@@ -6,10 +6,13 @@ classes, and holds how many distinct pages have it, how often each sequence of c
 has entropy 1 there and one of a single page 0; a leaf's importance is one less its texts' mean
 entropy. A node's importance mixes that of its presentation, the entropy of its sequences of
 children, with the mean of its leaves. Branches of low importance are removed from each page.
-Branches whose element or class says that they are no article (menus, headers, footers, sidebars,
-notices, adverts, forms, comments) carry no importance on any host and go as well; that also
-serves hosts of which few pages are known. Identical pages count once, so copies of an article
-don't make it look like a template.
+Branches whose element, class, role or id says that they are no article (menus, headers, footers,
+sidebars, notices, adverts, forms, comments) carry no importance on any host and go as well; that
+also serves hosts of which few pages are known. A class or role says so, and so does a whole id,
+where all its parts are such words; ids of headings are anchors and never do. A name that has such
+a word beside others ("related-work", "with-sidebar") only lowers its branch's importance: it goes
+where the tree shows no text below it that is mostly of single pages. Identical pages count once,
+so copies of an article don't make it look like a template.
 
 Character references are decoded, white space in a block becomes one space, and blocks are joined
 by one space. A null page is empty, and so is its text. A null URL, or one without ``://``, belongs
@@ -24,6 +27,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
+from typing import NamedTuple
 
 import pandas as pd
 import xxhash
@@ -38,6 +42,10 @@ PAGES = 8
 LOW = 0.3
 #: Weight of a node's presentation against its leaves.
 PRESENTATION = 0.1
+#: Branches that are hinted at have at most this share of the most important leaf's importance.
+HINTED = 0.5
+#: Ends a hinted node's name; no element or class holds a space.
+HINT = " ?"
 #: Low nodes that are handed to all tasks at once; more are joined by host.
 HANDED = 20_000
 
@@ -53,6 +61,7 @@ NO_ARTICLE_WORDS = frozenset(
 )
 MAIN = frozenset("html body main article".split())
 COMMENTS = frozenset("comment comments respond reply replies".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = frozenset("ul ol dl table div section article body main blockquote".split())
 
@@ -70,22 +79,41 @@ _PLAIN = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(>?)|[!?/][^>]*+>
 KEPT_ATTRIBUTES = 512
 
 
-def read_attributes(attributes: str) -> tuple[frozenset[str], str]:
-    """Words of class, id and role, and the node's suffix of up to three classes. The first of
-    attributes that share a name counts."""
+class Said(NamedTuple):
+    """What class, id and role say: whether a class or role is no article's, whether the id is,
+    whether one of them is of comments, whether any has such a word, and the node's suffix of up to
+    three classes."""
+
+    no_article: bool
+    no_article_id: bool
+    comments: bool
+    hint: bool
+    classes: str
+
+
+def read_attributes(attributes: str) -> Said:
+    """The first of attributes that share a name counts."""
     values: dict[str, str] = {}
     for name, value in _ATTRIBUTES.findall(attributes):
         if (name := name.lower()) in _SAYING and name not in values:
             values[name] = value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1 else value
-    words = {w for v in values.values() for w in v.lower().replace("-", " ").replace("_", " ").split()}
-    return frozenset(words), "".join("." + c for c in sorted(set(values.get("class", "").split()))[:3])
+    no, comments, hint = {"class": False, "id": False, "role": False}, False, False
+    for name, value in values.items():
+        for token in [value] if name == "id" else value.split():
+            words = set(token.lower().replace("-", " ").replace("_", " ").split())
+            listed = words & NO_ARTICLE_WORDS
+            hint |= bool(listed)
+            if listed and listed == words:
+                no[name] = True
+                comments |= bool(words & COMMENTS)
+    return Said(no["class"] or no["role"], no["id"], comments, hint, "".join("." + c for c in sorted(set(values.get("class", "").split()))[:3]))
 
 
 _SAYING = frozenset(("class", "id", "role"))
 _kept = lru_cache(maxsize=1 << 15)(read_attributes)
 
 
-def said(attributes: str) -> tuple[frozenset[str], str]:
+def said(attributes: str) -> Said:
     return (_kept if len(attributes) <= KEPT_ATTRIBUTES else read_attributes)(attributes)
 
 
@@ -153,12 +181,13 @@ class Page:
         del self._open[n:]
 
     def _start(self, tag: str, attributes: str) -> None:
-        words, classes = said(attributes) if attributes else _SILENT
+        says = said(attributes) if attributes else _SILENT
+        named = says.no_article or says.no_article_id and tag not in HEADINGS
         open_ = self._open
         if tag in INLINE:
             if tag == "br":
                 self._parts.append(" ")
-            elif tag not in VOID and words & NO_ARTICLE_WORDS:
+            elif tag not in VOID and named:
                 open_.append((tag, open_[-1][1] if open_ else "", True, bool(open_ and open_[-1][3])))
             return
         closes = CLOSES.get(tag, _NONE)
@@ -174,15 +203,15 @@ class Page:
         self._end_block()
         if tag in VOID:
             return
-        name = tag + classes
+        name = tag + says.classes + (HINT if says.hint and not named else "")
         key, above, by_element = open_[-1][1:] if open_ else ("", False, False)
         self.children.setdefault(key, []).append(name)
         if tag in MAIN:
             # A page's first article counts even where a wrapper around it is named after a sidebar or header beside it.
-            no = bool(words & COMMENTS) or above and (by_element or self._met)
+            no = says.comments or above and (by_element or self._met)
             self._met |= tag in ("article", "main")
         else:
-            no = above or tag in NO_ARTICLE or bool(words & NO_ARTICLE_WORDS)
+            no = above or tag in NO_ARTICLE or named
         open_.append((tag, f"{key}/{name}", no, by_element or tag in NO_ARTICLE))
 
     def _end(self, tag: str) -> None:
@@ -195,7 +224,7 @@ class Page:
                 return
 
 
-_SILENT: tuple[frozenset[str], str] = (frozenset(), "")
+_SILENT = Said(False, False, False, False, "")
 _NONE: frozenset[str] = frozenset()
 
 
@@ -239,10 +268,12 @@ def importance(features: DataFrame) -> DataFrame:
     leaves = nodes.where("kind = 'text'").select("host", "node", "pages", content.alias("content"))
     parts = F.split("node", "/")
     above = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
-    below = leaves.select("host", F.explode(above).alias("node"), "pages", "content").groupBy("host", "node").agg(F.avg("content").alias("below"), F.max("pages").alias("pages"))
+    below = leaves.select("host", F.explode(above).alias("node"), "pages", "content").groupBy("host", "node").agg(F.avg("content").alias("below"), F.max("content").alias("most"), F.max("pages").alias("pages"))
     shape = nodes.where("kind = 'children'").select("host", "node", presentation.alias("presentation"))
     mixed = F.coalesce(PRESENTATION * F.col("presentation") + (1 - PRESENTATION) * F.col("below"), F.col("below"))
-    return below.join(shape, ["host", "node"], "left").select("host", "node", "pages", mixed.alias("importance"))
+    hinted = F.endswith("node", F.lit(HINT)) | F.contains("node", F.lit(HINT + "/"))
+    judged = F.when(hinted, F.least(mixed, HINTED * F.col("most"))).otherwise(mixed)
+    return below.join(shape, ["host", "node"], "left").select("host", "node", "pages", judged.alias("importance"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
