@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewatt.operators import resample
 from tidewatt.plans import market
+from tidewatt.sources import documents
 
 T0 = datetime(2024, 1, 1)
 
@@ -80,6 +81,40 @@ def test_imbalance_documents(spark):
     assert [r["situation"] for r in rows] == ["deficit", "deficit", "surplus", "surplus"] and [r["imbalance_mwh"] for r in rows] == [3.0, 3.0, 0.0, 0.0]
 
 
+def test_repeated_hour(spark):
+    # 00:00 and 01:00 UTC are both 02:00 local time on 2024-10-27.
+    at = [datetime(2024, 10, 27, h) for h in (0, 1)]
+    two = lambda **x: points(spark, *[dict(doc=k, period_start=t, length=1, **{c: v * (k + 1) for c, v in x.items() if c in ("quantity", "price")}, **{c: v for c, v in x.items() if c not in ("quantity", "price")}) for k, t in enumerate(at)])
+    def by_fold(df, value):
+        return [(r["period"], r["fold"], r[value]) for r in df.orderBy("fold").collect()]
+
+    want = [(9, False, 2.0), (9, True, 4.0)]
+    flow, psr = two(quantity=2.0, in_domain="CZ", out_domain="DE"), two(quantity=2.0, psr_type="B02")
+    assert by_fold(market.flows(flow, "CZ", {"DE": "de"}), "flow_de_mw") == want
+    assert by_fold(market.scheduled_exchanges(flow, "CZ", {"DE": "de"}), "exchange_de_mw") == want
+    assert by_fold(market.scheduled_generation(psr), "scheduled_mw") == want
+    assert by_fold(market.generation(psr, {"B02": "coal"}, fold=True), "gen_coal_mw") == want
+    assert by_fold(market.load(psr, psr, fold=True), "forecast_load_mw") == want
+    prices = two(price=2.0, business_type="A95", direction="A01", category="A04")
+    assert by_fold(market.day_ahead_prices(prices), "price") == want
+    assert by_fold(market.balancing_energy(prices, {("A95", "A01"): "up"}), "up") == want
+    assert by_fold(market.imbalance_prices(prices, psr), "pos_imb_price_mwh") == want == by_fold(market.imbalance_prices(prices, psr), "imbalance_mwh")
+    areas = market.flows(flow, "CZ", {"DE": "de"}).withColumn("country_code", F.lit("CZ"))
+    assert by_fold(market.total_of_areas(areas.unionByName(areas), ["flow_de_mw"]), "flow_de_mw") == [(9, False, 4.0), (9, True, 8.0)]
+
+
+def test_parts_of_imbalance_prices(spark):
+    part = lambda kind, amount: f"<Financial_Price><amount>{amount}</amount><priceDescriptor.type>{kind}</priceDescriptor.type></Financial_Price>"
+    point = lambda at, price, category, parts: f"<Point><position>{at}</position><imbalance_Price.amount>{price}</imbalance_Price.amount><imbalance_Price.category>{category}</imbalance_Price.category>{parts}</Point>"
+    series = lambda inner: f"<TimeSeries><Period><timeInterval><start>2024-01-01T00:00Z</start><end>2024-01-01T01:00Z</end></timeInterval><resolution>PT15M</resolution>{inner}</Period></TimeSeries>"
+    text = f"<D>{series(point(1, 9, 'A04', part('A01', 1) + part('A02', 2) + part('A03', 3)) + point(3, 8, 'A04', part('A02', 5)))}{series(point(2, 7, 'A05', part('A03', 4)))}</D>"
+    prices = documents.curve_points(spark.createDataFrame([(0, text)], "doc int, text string"))
+    rows = market.imbalance_prices(prices, points(spark, dict(quantity=1.0, direction="A01"))).orderBy("period").collect()
+    got = lambda side: [tuple(r[f"{side}_imb_{c}_mwh"] for c in ("price", "scarcity", "incentive", "financial_neutrality")) for r in rows]
+    assert got("pos") == [(9.0, 1.0, 2.0, 3.0), (9.0, 1.0, 2.0, 3.0), (8.0, 0.0, 5.0, 0.0), (8.0, 0.0, 5.0, 0.0)]
+    assert got("neg") == [(0.0, 0.0, 0.0, 0.0), (7.0, 0.0, 0.0, 4.0), (7.0, 0.0, 0.0, 4.0), (7.0, 0.0, 0.0, 4.0)]
+
+
 def test_generation_and_flows(spark):
     kinds = {"B02": "coal", "B05": "coal", "B16": "solar"}
     p = points(spark, dict(psr_type="B02", quantity=1.0), dict(psr_type="B05", quantity=2.0, series=1), dict(psr_type="B05", quantity=50.0, resolution=60, doc=1), dict(psr_type="B99", quantity=9.0))

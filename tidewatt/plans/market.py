@@ -10,6 +10,7 @@ from tidewatt.functions import stats
 from tidewatt.functions import timegrid as T
 from tidewatt.operators import resample, reshape
 from tidewatt.operators.resample import Rule
+from tidewatt.sources.documents import PRICE_PARTS
 
 #: Fixed limits of the features: minutes a quarter must have, and the prices that count as floor and peak.
 LEAST_MINUTES, FLOOR_EUR, PEAK_EUR = 12, -500, 500
@@ -119,7 +120,9 @@ def on_grid(points: DataFrame) -> DataFrame:
     return points.withColumn("trade_date", F.to_date(local)).withColumn("period", T.period(local)).withColumn("fold", T.fold(F.col("at")))
 
 
-_KEY = ["trade_date", "period"]
+#: A period of local time, and the same with fold, which tells an autumn's repeated hour apart.
+LOCAL_KEY = ["trade_date", "period"]
+_KEY = [*LOCAL_KEY, "fold"]
 _SERIES = ["doc", "series", "part", "period_start", "resolution"]
 
 
@@ -136,30 +139,38 @@ def _sequence() -> Column:
 
 def imbalance_prices(prices: DataFrame, volumes: DataFrame) -> DataFrame:
     """Prices of positive (A04) and negative (A05) imbalance with the volumes and situation of the
-    system; prices without volumes have 0.0 and surplus. Documents have doc, series, part."""
-    p = _filled(prices, ["price"], ["category"])
-    of = lambda c: F.coalesce(F.max_by(F.when(F.col("category") == c, F.col("price")), F.when(F.col("category") == c, _sequence())), F.lit(0.0))
-    p = p.groupBy(*_KEY).agg(of("A04").alias("pos_imb_price_mwh"), of("A05").alias("neg_imb_price_mwh"))
+    system; prices without volumes have 0.0 and surplus. Documents have doc, series, part. A point
+    without one of the parts of a price has 0.0 for it."""
+    parts = [*PRICE_PARTS.values()]
+    none = F.lit(None).cast("double")
+    p = _filled(prices.withColumns({c: F.coalesce(c if c in prices.columns else none, F.lit(0.0)) for c in parts}), ["price", *parts], ["category"])
+    of = lambda c, value: F.coalesce(F.max_by(F.when(F.col("category") == c, F.col(value)), F.when(F.col("category") == c, _sequence())), F.lit(0.0))
+    columns = {f"{side}_imb_{v}_mwh": of(c, v) for c, side in (("A04", "pos"), ("A05", "neg")) for v in ["price", *parts]}
+    p = p.groupBy(*_KEY).agg(*[c.alias(n) for n, c in columns.items()])
     v = _filled(volumes, ["quantity", "difference"], ["direction"])
     situation = reshape.mapped(F.col("direction"), {"A01": "surplus", "A02": "deficit", "A03": "balanced"})
     v = v.groupBy(*_KEY).agg(F.max_by("quantity", _sequence()).alias("imbalance_mwh"), F.max_by("difference", _sequence()).alias("difference_mwh"), F.max_by(situation, _sequence()).alias("situation"))
-    return reshape.combine(p, v, _KEY, {"pos_imb_price_mwh": 0.0, "neg_imb_price_mwh": 0.0, "imbalance_mwh": 0.0, "situation": "surplus"})
+    return reshape.combine(p, v, _KEY, {**dict.fromkeys(columns, 0.0), "imbalance_mwh": 0.0, "situation": "surplus"})
 
 
-def load(actual: DataFrame, forecast: DataFrame) -> DataFrame:
-    """Last value wins; a null quantity counts as a value."""
-    last = lambda df, name: on_grid(df).groupBy(*_KEY).agg(F.max_by("quantity", _sequence()).alias(name))
-    return last(actual, "actual_load_mw").join(last(forecast, "forecast_load_mw"), _KEY, "full_outer")
+def load(actual: DataFrame, forecast: DataFrame, fold: bool = False) -> DataFrame:
+    """Last value wins; a null quantity counts as a value. fold: key rows by fold as well; without,
+    the later of an autumn's repeated hours overwrites the earlier, as in the table's key."""
+    key = _KEY if fold else LOCAL_KEY
+    last = lambda df, name: on_grid(df).groupBy(*key).agg(F.max_by("quantity", _sequence()).alias(name))
+    return last(actual, "actual_load_mw").join(last(forecast, "forecast_load_mw"), key, "full_outer")
 
 
-def generation(points: DataFrame, kinds: dict[str, str], how: str = "sum") -> DataFrame:
+def generation(points: DataFrame, kinds: dict[str, str], how: str = "sum", fold: bool = False) -> DataFrame:
     """A column for each kind of plant; points have psr_type. The finest resolution of a period and
-    column counts; there, series are summed, or the first counts (how="first", for forecasts)."""
+    column counts; there, series are summed, or the first counts (how="first", for forecasts).
+    fold: key rows by fold as well; without, an autumn's repeated hours fall together."""
+    key = _KEY if fold else LOCAL_KEY
     rows = on_grid(points).withColumn("_column", reshape.mapped(F.col("psr_type"), kinds)).where("_column is not null").withColumn("_seq", _sequence())
-    fine = reshape.finest(rows, [*_KEY, "_column"], "resolution")
+    fine = reshape.finest(rows, [*key, "_column"], "resolution")
     names = sorted(set(kinds.values()))
-    out = reshape.widen(fine, _KEY, "_column", "quantity", names, how, "_seq")
-    return out.select(*_KEY, *[F.col(n).alias(f"gen_{n}_mw") for n in names])
+    out = reshape.widen(fine, key, "_column", "quantity", names, how, "_seq")
+    return out.select(*key, *[F.col(n).alias(f"gen_{n}_mw") for n in names])
 
 
 def flows(points: DataFrame, home: str, borders: dict[str, str]) -> DataFrame:
@@ -201,5 +212,5 @@ def day_ahead_prices(points: DataFrame) -> DataFrame:
 
 
 def total_of_areas(df: DataFrame, values: list[str]) -> DataFrame:
-    """Sums over areas by period, such as a country of several operators."""
-    return df.groupBy("country_code", "trade_date", "period").agg(*[F.sum(v).alias(v) for v in values])
+    """Sums over areas by period (and fold, where there is one), such as a country of several operators."""
+    return df.groupBy("country_code", *[k for k in _KEY if k in df.columns]).agg(*[F.sum(v).alias(v) for v in values])

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from tidewatt.functions.timegrid import duration_minutes
 from tidewatt.operators.reshape import mapped, point_time
 
-_POINT = "position INT, quantity DOUBLE, secondaryQuantity DOUBLE, `price.amount` DOUBLE, `imbalance_Price.amount` DOUBLE, `imbalance_Price.category` STRING, `activation_Price.amount` DOUBLE"
-_PERIOD = f"timeInterval STRUCT<start: STRING, `end`: STRING>, resolution STRING, Point ARRAY<STRUCT<{_POINT.replace(' INT', ': INT').replace(' DOUBLE', ': DOUBLE').replace(' STRING', ': STRING')}>>"
+_POINT = "position INT, quantity DOUBLE, secondaryQuantity DOUBLE, `price.amount` DOUBLE, `imbalance_Price.amount` DOUBLE, `imbalance_Price.category` STRING, `activation_Price.amount` DOUBLE, Financial_Price ARRAY<STRUCT<amount DOUBLE, `priceDescriptor.type` STRING>>"
+_PERIOD = f"timeInterval STRUCT<start: STRING, `end`: STRING>, resolution STRING, Point ARRAY<STRUCT<{_POINT.replace(' INT', ': INT').replace(' DOUBLE', ': DOUBLE').replace(' STRING', ': STRING').replace(' ARRAY', ': ARRAY')}>>"
 _SERIES = f"mRID STRING, businessType STRING, `flowDirection.direction` STRING, `in_Domain.mRID` STRING, `out_Domain.mRID` STRING, curveType STRING, Period ARRAY<STRUCT<{_PERIOD.replace('timeInterval STRUCT', 'timeInterval: STRUCT').replace('resolution STRING', 'resolution: STRING').replace('Point ARRAY', 'Point: ARRAY')}>>"
 #: Generation types to output columns.
+#: Types of the parts of an imbalance price to output columns.
+PRICE_PARTS = {"A01": "scarcity", "A02": "incentive", "A03": "financial_neutrality"}
 GENERATION = {
     "B01": "biomass", "B02": "coal", "B04": "gas", "B05": "coal", "B10": "hydro_pumped", "B11": "hydro_other", "B12": "hydro_other",
     "B14": "nuclear", "B16": "solar", "B19": "wind",
@@ -79,9 +81,15 @@ def curve_points(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
         start.alias("period_start"), point_time(start, F.col("_x.position"), minutes).alias("at"), F.col("_x.position").alias("position"),
         F.col("_x.quantity").alias("quantity"), F.col("_x.secondaryQuantity").alias("difference"),
         F.coalesce(F.col("_x")["imbalance_Price.amount"], F.col("_x")["price.amount"], F.col("_x")["activation_Price.amount"]).alias("price"), F.col("_x")["imbalance_Price.category"].alias("category"),
+        *[_price_part(F.col("_x.Financial_Price"), k).alias(name) for k, name in PRICE_PARTS.items()],
     )
 
 
+def _price_part(parts: Column, kind: str) -> Column:
+    """The last amount of the kind, null without one."""
+    return F.try_element_at(F.filter(parts, lambda x: x["priceDescriptor.type"] == kind), F.lit(-1))["amount"]
+
+
 def _nested(columns: str) -> str:
     """Top-level 'name TYPE' pairs as struct members."""
     out, depth, start = [], 0, 0
