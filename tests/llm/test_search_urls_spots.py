@@ -36,6 +36,19 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, block):
     assert len(few) == 2
 
 
+def test_repeated_queries_are_searched_once(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.standard_normal(8)]) for i in range(60)]
+    other = (0, [min(rows[0][1]) - 1.0] * 8)
+    kind = "vec_id long, embedding array<double>"
+    nearest = lambda more: sorted(tuple(r) for r in neighbours.nearest(spark.createDataFrame(rows + more, kind), F.col("id") == 0, 20).collect())
+    once = nearest([])
+    assert [r[1] for r in once] == [*range(1, 21)] and len({r[2] for r in once}) == 20
+    assert nearest([rows[0]] * 2) == once
+    least = nearest([other])
+    assert [r[1] for r in least] == [*range(1, 21)] and np.isclose(least[0][3], max(np.dot(other[1], v) for i, v in rows if i))
+
+
 def test_recall_on_the_table(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
     rows = df.select("vec_id", "embedding").collect()

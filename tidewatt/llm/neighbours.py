@@ -17,7 +17,8 @@ all rows, in blocks.
 
 Vectors that are null, zero or hold null or non-finite components take no part; neither do rows
 without an id, nor lengths other than the commonest. Repeated vectors tie and go to the smaller id;
-a row that is repeated with its id is one candidate for each time. With fewer candidates than k all
+a row that is repeated with its id is one candidate for each time, but one query: of the vectors
+that share an id the least, compared in order of components, is searched for. With fewer candidates than k all
 are returned. Tables without rows give none; other columns are ignored.
 """
 
@@ -124,7 +125,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     number = lambda m, what: F.pmod(F.xxhash64(F.lit(what), "id"), F.lit(m)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     candidates = rows.select(number(blocks, "c").alias("b"), "id", "v").select("b", every(query_blocks).alias("qb"), F.col("id").alias("cid"), F.col("v").alias("cv"))
-    queries = rows.where(is_query).select(number(query_blocks, "q").alias("qb"), "id", "v").select(every(blocks).alias("b"), "qb", "id", "v")
+    asked = rows.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
+    queries = asked.select(number(query_blocks, "q").alias("qb"), "id", "v").select(every(blocks).alias("b"), "qb", "id", "v")
 
     def search(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = not len(left) or not len(right)
