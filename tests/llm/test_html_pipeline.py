@@ -12,7 +12,7 @@ from tidewatt.llm.queries import TOKENIZER
 
 
 def text_of(markup):
-    return " ".join(t for _, t in html.Page(markup).blocks)
+    return html.Page(markup).text()
 
 
 @pytest.mark.parametrize(
@@ -59,53 +59,139 @@ def test_unfinished_tags_take_linear_time(part):
     [
         ("<article><h2 id='related-work'>a</h2><section id='legal-history'>b</section><h2 id='search-and-replace'>c</h2><h3 id='comments'>d</h3></article>", "a b c d"),
         ("<div class='widget-content'>a</div><div class='content with-sidebar'>b <span class='share-price'>c</span></div>", "a b c"), ("<body class='comments-open'><article class='no-comments'>a</article>", "a"),
-        ("<div class='x sidebar'>s</div><div id='site-search'>a</div><div id='search'>s</div><div role='navigation x'>s</div><p class='Social_Share'>s</p>b", "a b"), ("<article class='comment'>r</article><article>a</article>", "a"),
+        ("<div class='x sidebar'>s</div><div id='site-search'>a</div><div id='search'>s</div><div role='navigation x'>s</div><p class='Cookie_Notice'>s</p>b", "a b"), ("<article class='comment'>r</article><article>a</article>", "a"),
+        ("<div class='legal'>Legal history</div><section class='social'><p>b</p></section><div class='related'>c</div>", "Legal history b c"),
     ],
 )
 def test_only_whole_names_decide(markup, text):
     assert text_of(markup) == text
 
 
-def test_other_words_lower_importance(spark):
-    rows = []
+PAGES = "page_id long, url string, html string"
+
+
+def extracted(spark, rows, names=html.NO_ARTICLE_WORDS):
+    return {r["page_id"]: r for r in html.extract(spark.createDataFrame(rows, PAGES), names).collect()}
+
+
+def article(i, n=None):
+    return "".join(f"<p>own{i} text{i * 7 + k} the and of para{i}x{k}</p>" for k in range(n or 1 + i % 6))
+
+
+def test_hints_lower_importance(spark):
+    """Of two branches whose words each stand on some pages, the one that is hinted at goes."""
+    rows = [(i, f"http://h.com/{i}", f"<article>{article(i)}<div class='post-related'>qa{i // 8} b{i // 8}</div><div class='post-x'>c{i // 8} d{i // 8}</div></article>") for i in range(48)]
+    got = extracted(spark, rows)
+    assert all(f"c{i // 8} d{i // 8}" in got[i]["text"] and f"qa{i // 8}" not in got[i]["text"] and f"para{i}x0" in got[i]["text"] for i in range(48))
+
+
+def test_the_tree_judges_names(spark):
+    """A named branch with most of its host's text stays; a small one goes, and so does what has no name but recurs or is small and apart."""
+    rows = [(i, f"http://h.com/{i}", f"<body><div class='login'>word{i} sign{i}</div><div class='x'>fresh{i}</div><div class='notice'>{article(i, 12 + i % 6)}<div class='z'>always here</div></div>") for i in range(40)]
+    rows += [(100 + i, f"http://few.com/{i}", f"<div class='notice'>n{i}</div><div class='x'>fresh{i}</div>") for i in range(3)]
+    got = extracted(spark, rows)
     for i in range(40):
-        lines = "".join(f"<p class='l{k}'>line {k} of {i // 3 if k else i // 2}</p>" for k in range(3))  # each on two or three pages
-        rows.append((i, f"http://h.com/{i}", f"<body class='with-sidebar'><div class='related-work'><h2 id='legal-notes'>own heading {i}</h2>own text {i}</div><div class='post-related'>Often {i % 2}</div><div class='plain'>Seen {i % 2}</div>{lines}"))
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = {r["page_id"]: r["text"] for r in html.extract(pages).collect()}
-    assert all(got[i].startswith(f"own heading {i} own text {i} ") and "Often" not in got[i] and got[i].endswith(f"line 2 of {i // 3}") for i in range(40))
-    # The same branch with and without the word: part of the pages share each of its texts.
-    rows = [(i, f"http://h.com/{i}", f"<article>own {i}</article><div class='post-related'>a {i // 8}</div><div class='post-x'>b {i // 8}</div>") for i in range(40)]
-    got = [r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
-    assert got == [f"own {i} b {i // 8}" for i in range(40)]
+        assert got[i]["text"] == " ".join(f"own{i} text{i * 7 + k} the and of para{i}x{k}" for k in range(12 + i % 6))
+    assert all(got[100 + i]["text"] == f"fresh{i}" for i in range(3))
+
+
+def slow_tree(rows):
+    """importance() in plain Python, from the markup of one host's distinct pages."""
+    import math
+    from collections import Counter, defaultdict
+
+    words, seen, shapes = defaultdict(Counter), Counter(), defaultdict(Counter)
+    for markup in rows:
+        page = html.Page(markup, "h.com", kept=None)
+        here = defaultdict(set)
+        for path, text in page.blocks:
+            here[path] |= set(text.split())
+        for path, link in page.links:
+            if path in here:
+                here[path].add("link " + link)
+        for path, own in here.items():
+            seen[path] += 1
+            words[path].update(own)
+        for path, names in page.children.items():
+            shapes[path][" ".join(names)] += 1
+    entropy = lambda c, m: math.log(c) / math.log(m) if m > 1 else 0.0
+    out = {}
+    for path in {p[:k] for p in words for k in range(8, len(p) + 1, 8)}:
+        leaves = [p for p in words if p.startswith(path)]
+        known = [1 - entropy(c, seen[p]) for p in leaves for c in words[p].values()]
+        information = sum(c * (1 - entropy(c, seen[p])) for p in leaves for c in words[p].values())
+        n = sum(shapes[path].values())
+        variety = math.exp(-sum(c / n * math.log(c / n) for c in shapes[path].values())) if n else 0
+        out[path] = [max(seen[p] for p in leaves), sum(known) / len(known), information, variety]
+    total = max(out[html.step("h.com")][2], 1e-9)
+    containers = [p for p, v in out.items() if v[2] / total >= html.MOST and v[3] >= html.VARIED]
+    container = min(containers, key=len, default=None)
+    for path, v in out.items():
+        kind, mass = path[-8:-7], v[2] / total
+        inside = container and path.startswith(container) or kind == html.HEADING
+        share = html.HINTED if kind == html.HINT else html.NAMED_AS if kind == html.NAMED and mass < html.MOST else 1
+        out[path] = (v[0], v[1], mass, v[1] * share * (1 if inside else min(1, mass / html.SHARE)))
+    return out
+
+
+def test_importance_equals_brute_force(spark, sf):
+    made = [f"<body><div class='a-ad'>x{i % 5} y{i % 3}</div><article>{article(i)}<h2>head {i}</h2><div class='ad'><a href='/{i % 4}'>same</a></div></article><p>root {i}" for i in range(30)]
+    table = [r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").orderBy("page_id").limit(40).collect()]
+    for pages in (made, list(dict.fromkeys(table))):
+        rows = [(i, "http://h.com/", m) for i, m in enumerate(pages + pages[:1] * 9)]
+        got = {bytes(r["path"]): (r["pages"], r["content"], r["mass"], r["importance"]) for r in html.importance(html.style_features(spark.createDataFrame(rows, PAGES))).collect()}
+        want = slow_tree(pages)
+        assert got.keys() == want.keys()
+        assert all(got[p] == pytest.approx(want[p], abs=1e-5) for p in want)
 
 
 def test_templates_go_and_articles_stay(spark):
     rows = []
     for i in range(40):
-        rows.append((i, f"http://h.com/{i}", f"<body><div class='x'>Read this every time</div><article><p>own text {i} here<p>more {i * 7}</article><div class='y'>ending</div>"))
+        rows.append((i, f"http://h.com/{i}", f"<body><div class='x'>Read this every time</div><article><h1>own {i}</h1>{article(i)}</article><div class='y'>ending</div>"))
     rows += [(100 + i, f"http://h.com/c{i}", rows[0][2]) for i in range(30)]  # copies of one page
     rows += [(200, "http://few.com/", "<div>Read this every time</div>"), (201, None, None), (None, "http://h.com/", ""), (202, "no scheme", "<p>" + "long " * 30_000)]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
-    for most in (html.HANDED, 0):  # handed to all tasks, and joined by host
-        html.HANDED, kept = most, html.HANDED
-        got = {r["page_id"]: r for r in html.extract(pages).collect()}
-        html.HANDED = kept
-        assert len(got) == len(rows)
-        assert all(got[i]["text"] == f"own text {i} here more {i * 7}" for i in range(40)) and got[105]["text"] == got[0]["text"]
-        assert got[200]["text"] == "Read this every time" and got[201]["text"] == "" == got[None]["text"]
-        assert got[202]["n_chars"] == 30_000 * 5 - 1
+    got = {r["page_id"]: r for r in html.extract(pages).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i]["text"] == f"own {i} " + " ".join(f"own{i} text{i * 7 + k} the and of para{i}x{k}" for k in range(1 + i % 6)) for i in range(40))
+    assert got[105]["text"] == got[0]["text"]
+    assert got[200]["text"] == "Read this every time" and got[201]["text"] == "" == got[None]["text"]
+    assert got[202]["n_chars"] == 30_000 * 5 - 1
     assert html.extract(pages.limit(0)).count() == 0
 
 
-def test_articles_of_the_table(spark, sf):
+def test_deep_and_large_pages():
+    import time
+
+    start = time.process_time()
+    deep = html.Page("<div>a" * 50_000 + "</div>" * 50_000)
+    assert len(deep.blocks) == 50_000 and max(len(p) for p, _ in deep.blocks) == 8 * html.LEVELS
+    assert text_of("<article>" + "<section><p>a <i>b</i></section>" * 50_000 + "</article>") == " ".join(["a b"] * 50_000)
+    assert time.process_time() - start < 20
+
+
+def articles(rows):
     import html as references
     import re
 
+    for r in rows:
+        own = r["html"].split("<article>")[1].split("</article>")[0]
+        yield r["text"], " ".join(references.unescape(re.sub("<[^>]*>", " ", own)).split())
+
+
+def test_articles_of_the_table(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
-    for r in html.extract(pages).join(pages.select("page_id", "html"), "page_id").collect():
-        article = r["html"].split("<article>")[1].split("</article>")[0]
-        assert r["text"] == " ".join(references.unescape(re.sub("<[^>]*>", " ", article)).split())
+    assert all(a == b for a, b in articles(html.extract(pages).join(pages.select("page_id", "html"), "page_id").collect()))
+
+
+def test_the_tree_finds_the_articles_without_names(spark):
+    """On the table, with one host's pages in place of each, no class word is needed."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("url", F.concat(F.lit("http://h"), F.col("page_id") % 8, F.lit(".com/"), "page_id"))
+    lists = html.judged_nodes(pages, frozenset()).collect()
+    assert len(lists) == 8 and all(r["removed"] for r in lists)
+    found = list(articles(html.extract(pages, frozenset()).join(pages.select("page_id", "html"), "page_id").collect()))
+    assert sum(a == b for a, b in found) >= 0.95 * len(found)
 
 
 def test_pipeline_equals_brute_force(spark, sf):

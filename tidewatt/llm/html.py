@@ -1,53 +1,64 @@
 """Main text of web pages by site style trees (operator 10).
 
 The pages of a host are merged into one tree: a node is the path of block elements with their
-classes, and holds how many distinct pages have it, how often each sequence of children occurs
-(presentation) and on how many pages each text occurs (content). A text that recurs on every page
-has entropy 1 there and one of a single page 0; a leaf's importance is one less its texts' mean
-entropy. A node's importance mixes that of its presentation, the entropy of its sequences of
-children, with the mean of its leaves. Branches of low importance are removed from each page.
-Branches whose element, class, role or id says that they are no article (menus, headers, footers,
-sidebars, notices, adverts, forms, comments) carry no importance on any host and go as well; that
-also serves hosts of which few pages are known. A class or role says so, and so does a whole id,
-where all its parts are such words; ids of headings are anchors and never do. A name that has such
-a word beside others ("related-work", "with-sidebar") only lowers its branch's importance: it goes
-where the tree shows no text below it that is mostly of single pages. Identical pages count once,
-so copies of an article don't make it look like a template.
+classes, and holds how often each sequence of children occurs (presentation) and on how many of
+the pages that have the node each word, link and image occurs (content). A word on every page has
+entropy 1 there and one of a single page 0. A node's *content* is one less the mean entropy of the
+words and links below it, its *mass* the share that it has of the information of the host's pages,
+which is the sum of one less the entropy over all their words, and its *variety* the effective
+number of its sequences of children, the exponential of their entropy.
+
+The topmost node that has most of the mass and varies is the host's container of articles: a
+template has few sequences of children, an article as many as there are articles. Inside it, and
+for headings, importance is content alone, so that only what recurs goes. Outside it a branch has
+to hold a share of the mass as well: its content counts by mass / ``SHARE``, up to 1. Branches of
+low importance are removed from each page.
+
+Fixed knowledge adds to that: elements that hold no article (``NO_ARTICLE``) go on any host. A
+class, role or whole id that has only words of ``NO_ARTICLE_WORDS`` names a branch as no article's:
+that decides where fewer than ``PAGES`` pages have the branch; where more do, it lowers the branch's
+importance, unless most of the mass is there. Ids of headings are anchors and name nothing. Other
+uses of these words, and the broader ``HINTS``, lower importance less ("related-work", "legal").
+Identical pages of a host count once, so copies of an article don't make it look like a template.
 
 Character references are decoded, white space in a block becomes one space, and blocks are joined
 by one space. A null page is empty, and so is its text. A null URL, or one without ``://``, belongs
-to the host "". Unclosed and stray tags are tolerated. Repeated rows are extracted alike. Tables
-without rows give none; columns other than page_id, url and html are ignored.
+to the host "". Unclosed and stray tags are tolerated. The tree has ``LEVELS`` levels; what is
+nested deeper belongs to the node there. Repeated rows are extracted alike. Tables without rows
+give none; columns other than page_id, url and html are ignored.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from html import unescape
 from typing import NamedTuple
+from zlib import crc32
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.llm.lasting import lasting
+from tidewatt.llm.lasting import lasting, written
 from tidewatt.llm.urls import host
 
 #: A host's nodes are judged by importance where so many distinct pages have them.
 PAGES = 8
 LOW = 0.3
-#: Weight of a node's presentation against its leaves.
-PRESENTATION = 0.1
-#: Branches that are hinted at have at most this share of the most important leaf's importance.
-HINTED = 0.5
-#: Ends a hinted node's name; no element or class holds a space.
-HINT = " ?"
-#: Low nodes that are handed to all tasks at once; more are joined by host.
-HANDED = 20_000
+#: A container of articles has this share of its host's mass and so many effective sequences of children.
+MOST = 0.5
+VARIED = 3.0
+#: Outside the container, branches below this share of the mass are the less important.
+SHARE = 0.2
+#: What a hint and a name leave of a branch's importance.
+HINTED, NAMED_AS = 0.5, 0.3
+LEVELS = 64
+#: Features that a task holds at a time, about.
+HELD = 1 << 18
 
 #: Fixed sets: elements without an end, elements that run on within a block, elements that hold no
 #: article, and words of classes, ids and roles that say so.
@@ -55,12 +66,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img".split())
 NO_ARTICLE = frozenset("head title script style noscript template nav header footer aside form iframe object select button textarea svg canvas dialog menu audio video".split())
 NO_ARTICLE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo menu nav navbar navigation breadcrumb breadcrumbs header footer sidebar aside "
-    "cookie cookies consent notice notices gdpr popup modal newsletter subscribe signup share sharing social related recommended comment comments respond reply replies "
-    "disqus widget toolbar pagination pager copyright legal contentinfo complementary search login masthead".split()
+    "ad ads advert adverts advertisement advertising sponsor sponsored menu nav navbar navigation breadcrumb breadcrumbs header footer sidebar aside banner "
+    "cookie cookies consent notice notices gdpr popup modal newsletter subscribe signup comment comments disqus toolbar pagination pager contentinfo complementary search login masthead".split()
 )
+HINTS = frozenset("promo share sharing social related recommended respond reply replies widget copyright legal".split())
 MAIN = frozenset("html body main article".split())
-COMMENTS = frozenset("comment comments respond reply replies".split())
+COMMENTS = frozenset("comment comments disqus".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = frozenset("ul ol dl table div section article body main blockquote".split())
@@ -80,50 +91,73 @@ KEPT_ATTRIBUTES = 512
 
 
 class Said(NamedTuple):
-    """What class, id and role say: whether a class or role is no article's, whether the id is,
-    whether one of them is of comments, whether any has such a word, and the node's suffix of up to
-    three classes."""
+    """What attributes say: whether a class or role is no article's, whether the id is, whether one
+    of them is of comments, whether any has such a word or a hint, the suffix of the node's name
+    (its classes), and what a link or image refers to."""
 
     no_article: bool
     no_article_id: bool
     comments: bool
     hint: bool
     classes: str
+    refers: str
 
 
-def read_attributes(attributes: str) -> Said:
+def read_attributes(attributes: str, names: frozenset[str]) -> Said:
     """The first of attributes that share a name counts."""
     values: dict[str, str] = {}
     for name, value in _ATTRIBUTES.findall(attributes):
         if (name := name.lower()) in _SAYING and name not in values:
             values[name] = value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1 else value
     no, comments, hint = {"class": False, "id": False, "role": False}, False, False
-    for name, value in values.items():
+    for name in no.keys() & values.keys() if names else ():
+        value = values[name]
         for token in [value] if name == "id" else value.split():
             words = set(token.lower().replace("-", " ").replace("_", " ").split())
-            listed = words & NO_ARTICLE_WORDS
-            hint |= bool(listed)
-            if listed and listed == words:
+            hint |= bool(words & names or words & HINTS)
+            if words and words <= names:
                 no[name] = True
                 comments |= bool(words & COMMENTS)
-    return Said(no["class"] or no["role"], no["id"], comments, hint, "".join("." + c for c in sorted(set(values.get("class", "").split()))[:3]))
+    classes = "".join("." + c for c in sorted(set(values.get("class", "").split())))
+    return Said(no["class"] or no["role"], no["id"], comments, hint, classes, values.get("href") or values.get("src") or "")
 
 
-_SAYING = frozenset(("class", "id", "role"))
+_SAYING = frozenset(("class", "id", "role", "href", "src"))
 _kept = lru_cache(maxsize=1 << 15)(read_attributes)
 
 
-def said(attributes: str) -> Said:
-    return (_kept if len(attributes) <= KEPT_ATTRIBUTES else read_attributes)(attributes)
+def said(attributes: str, names: frozenset[str]) -> Said:
+    return (_kept if len(attributes) <= KEPT_ATTRIBUTES else read_attributes)(attributes, names)
 
 
-class Page:
-    """Blocks of one page: (key of the leaf, text), and the children's elements of each node."""
+PLAIN, HINT, HEADING, NAMED = b"\0", b"\1", b"\2", b"\3"
+
+
+def step(name: str, kind: bytes = PLAIN) -> bytes:
+    """A node's part of its path: a byte for its kind, and a hash of its name."""
+    return kind + xxhash.xxh64_digest(name.encode("utf-8", "surrogatepass"))[:7]
+
+
+_step = lru_cache(maxsize=1 << 14)(step)
+
 
-    def __init__(self, markup: str):
-        self.blocks: list[tuple[str, str]] = []
-        self.children: dict[str, list[str]] = {}
-        self._open: list[tuple[str, str, bool, bool]] = []  # element, key, whether it holds no article, whether an element about it says so
+class Page:
+    """Blocks of one page: (path of the leaf, text), the links and images of each node, and the
+    children of each. names: the words that name branches as no article's; without any, elements
+    alone do. removed: nodes that are left out; kept: named nodes that are not (None: no named node
+    is left out)."""
+
+    def __init__(self, markup: str, site: str = "", names: frozenset[str] = NO_ARTICLE_WORDS, removed: Iterable[bytes] = (), kept: Iterable[bytes] | None = ()):
+        self.blocks: list[tuple[bytes, str]] = []
+        self.links: list[tuple[bytes, str]] = []
+        self.children: dict[bytes, list[str]] = {}
+        self._root = step(site)
+        self._names = names
+        self._removed = frozenset(removed)
+        self._kept = None if kept is None else frozenset(kept)
+        # Element, path, whether it holds no article, whether an element about it says so, whether it was removed.
+        self._open: list[tuple[str, bytes, bool, bool, bool]] = []
+        self._count: dict[str, int] = {}
         self._parts: list[str] = []
         self._met = False
         self._read(markup)
@@ -171,28 +205,38 @@ class Page:
             text = " ".join("".join(self._parts).split())
             self._parts = []
             if text:
-                self.blocks.append((self._open[-1][1] if self._open else "", text))
+                path = self._open[-1][1] if self._open else self._root
+                if path not in self._removed:
+                    self.blocks.append((path, text))
 
     def _pop(self, n: int) -> None:
         for x in self._open[n:]:
             if x[0] not in INLINE:
                 self._end_block()
                 break
+        for x in self._open[n:]:
+            self._count[x[0]] -= 1
         del self._open[n:]
 
+    def _push(self, tag: str, *rest) -> None:
+        self._open.append((tag, *rest))
+        self._count[tag] = self._count.get(tag, 0) + 1
+
     def _start(self, tag: str, attributes: str) -> None:
-        says = said(attributes) if attributes else _SILENT
+        says = said(attributes, self._names) if attributes else _SILENT
         named = says.no_article or says.no_article_id and tag not in HEADINGS
         open_ = self._open
+        if says.refers and tag in ("a", "img") and not (open_ and open_[-1][2]):
+            self.links.append((open_[-1][1] if open_ else self._root, says.refers))
         if tag in INLINE:
             if tag == "br":
                 self._parts.append(" ")
             elif tag not in VOID and named:
-                open_.append((tag, open_[-1][1] if open_ else "", True, bool(open_ and open_[-1][3])))
+                self._push(tag, open_[-1][1] if open_ else self._root, True, bool(open_ and open_[-1][3]), bool(open_ and open_[-1][4]))
             return
         closes = CLOSES.get(tag, _NONE)
-        if tag == "body":
-            self._pop(next((i for i, x in enumerate(open_) if x[0] == "head"), len(open_)))
+        if tag == "body" and self._count.get("head"):
+            self._pop(next(i for i, x in enumerate(open_) if x[0] == "head"))
         for i in range(len(open_) - 1, -1, -1):
             there = open_[i][0]
             if there == "p" or there in closes:
@@ -203,113 +247,145 @@ class Page:
         self._end_block()
         if tag in VOID:
             return
-        name = tag + says.classes + (HINT if says.hint and not named else "")
-        key, above, by_element = open_[-1][1:] if open_ else ("", False, False)
-        self.children.setdefault(key, []).append(name)
+        above_path, above, by_element, out = open_[-1][1:] if open_ else (self._root, False, False, False)
+        path, deep = above_path, len(above_path) >= 8 * LEVELS
+        if not deep:
+            path += _step(tag + says.classes, HEADING if tag in HEADINGS else NAMED if named else HINT if says.hint else PLAIN)
+        if named and not deep and (self._kept is None or path in self._kept):
+            named = False
         if tag in MAIN:
             # A page's first article counts even where a wrapper around it is named after a sidebar or header beside it.
             no = says.comments or above and (by_element or self._met)
             self._met |= tag in ("article", "main")
         else:
             no = above or tag in NO_ARTICLE or named
-        open_.append((tag, f"{key}/{name}", no, by_element or tag in NO_ARTICLE))
+        if not no and not deep:
+            self.children.setdefault(above_path, []).append(tag + says.classes)
+        out = out or path in self._removed
+        self._push(tag, path, no or out, by_element or tag in NO_ARTICLE, out)
 
     def _end(self, tag: str) -> None:
-        if tag == "br" or tag == "p" and not any(x[0] == "p" for x in self._open):
+        if tag == "br" or tag == "p" and not self._count.get("p"):
             self._parts.append(" ")
             return
+        if not self._count.get(tag):
+            return
         for i in range(len(self._open) - 1, -1, -1):
             if self._open[i][0] == tag:
                 self._pop(i)
                 return
 
+    def text(self) -> str:
+        return " ".join(t for _, t in self.blocks)
 
-_SILENT = Said(False, False, False, False, "")
-_NONE: frozenset[str] = frozenset()
-
-
-def ancestors(key: str) -> list[str]:
-    parts = key.split("/")
-    return ["/".join(parts[:i]) for i in range(2, len(parts) + 1)]
-
-
-def _hash(x: str) -> int:
-    return xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
-def style_features(pages: DataFrame) -> DataFrame:
-    """host, page (a hash of its blocks), kind (text or children), node, feature and share, one
-    over the features that the page has at the node; distinct."""
 
-    @F.pandas_udf("page long, found array<struct<kind string, node string, feature long, share double>>")
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for markups in batches:
-            rows = []
-            for m in markups:
-                page = Page(m or "")
-                kinds = {("text", k, _hash(t)) for k, t in page.blocks} | {("children", k, _hash(" ".join(v))) for k, v in page.children.items() if k}
-                each = Counter((a, b) for a, b, _ in kinds)
-                rows.append((_hash("\n".join(f"{k} {t}" for k, t in page.blocks)), [{"kind": a, "node": b, "feature": c, "share": 1 / each[a, b]} for a, b, c in sorted(kinds)]))
-            yield pd.DataFrame(rows, columns=["page", "found"])
+_SILENT = Said(False, False, False, False, "", "")
+_NONE: frozenset[str] = frozenset()
 
-    parsed = pages.select(host(F.coalesce("url", F.lit(""))).alias("host"), read("html").alias("_p"))
-    return parsed.select("host", "_p.page", F.explode("_p.found").alias("_f")).select("host", "page", "_f.*").distinct()
+#: Features of a node: words from 0 on and links above them, each page that has the node, and below
+#: that the sequences of children.
+LINKS, SEEN = 1 << 32, -1
+
+
+def page_features(page: Page) -> dict[bytes, set[int]]:
+    """Features of each node of a page."""
+    found: dict[bytes, set[int]] = {}
+    for path, text in page.blocks:
+        found.setdefault(path, {SEEN}).update([crc32(w.encode("utf-8", "surrogatepass")) for w in set(text.split())])
+    for path, link in page.links:
+        if path in found:
+            found[path].add(LINKS + crc32(link.encode("utf-8", "surrogatepass")))
+    for path, names in page.children.items():
+        found.setdefault(path, set()).add(SEEN - 1 - (xxhash.xxh64_intdigest(" ".join(names).encode("utf-8", "surrogatepass")) >> 2))
+    return found
+
+
+def style_features(pages: DataFrame, names: frozenset[str] = NO_ARTICLE_WORDS) -> DataFrame:
+    """path, feature and weight of every page's nodes; a page that its host has n times weighs 1 / n."""
+    rows = pages.select(host(F.coalesce("url", F.lit(""))).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+    rows = rows.withColumn("_h", F.xxhash64("host", "html"))
+    # Written, so that Spark knows its size and broadcasts it only where it is small.
+    copies = written(rows.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1"))
+    weighed = rows.join(copies, "_h", "left").select("host", "html", (1 / F.coalesce("_n", F.lit(1))).alias("weight"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers: dict[bytes, int] = {}
+            at, features, weights = [], [], []
+
+            def out() -> pa.RecordBatch:
+                paths = pa.array(list(numbers), pa.binary()).take(pa.array(at, pa.int32()))
+                return pa.RecordBatch.from_arrays([paths, pa.array(features, pa.int64()), pa.array(weights, pa.float64())], ["path", "feature", "weight"])
+
+            for site, markup, weight in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "weight"))):
+                for path, own in page_features(Page(markup, site, names, kept=None)).items():
+                    at.extend([numbers.setdefault(path, len(numbers))] * len(own))
+                    features.extend(own)
+                    weights.extend([weight] * len(own))
+                if len(at) >= HELD:
+                    yield out()
+                    numbers, at, features, weights = {}, [], [], []
+            yield out()
+
+    return weighed.mapInArrow(read, "path binary, feature long, weight double")
 
 
 def importance(features: DataFrame) -> DataFrame:
-    """host, node, pages, importance of every node of every host's tree. Features are read once:
-    a node's pages are the sum of its features' shares."""
-    counts = features.groupBy("host", "kind", "node", "feature").agg(F.count("*").alias("c"), F.sum("share").alias("share"))
-    nodes = counts.groupBy("host", "kind", "node").agg(F.count("*").alias("features"), F.sum(F.log("c")).alias("logs"), F.sum("c").alias("total"), F.sum(F.col("c") * F.log("c")).alias("clogs"), F.round(F.sum("share")).cast("long").alias("pages"))
+    """path, pages, content, mass, importance of every node with text below it."""
+    counts = features.groupBy("path", "feature").agg(F.round(F.sum("weight"), 6).alias("c"))
+    word, sequence = F.col("feature") >= 0, F.col("feature") < SEEN
+    clog = F.col("c") * F.log("c")
+    nodes = counts.groupBy("path").agg(
+        F.max(F.when(F.col("feature") == SEEN, F.col("c"))).alias("pages"), F.count_if(word).alias("n"), F.sum(F.when(word, F.log("c"))).alias("logs"),
+        F.sum(F.when(word, F.col("c"))).alias("total"), F.sum(F.when(word, clog)).alias("clogs"),
+        F.sum(F.when(sequence, F.col("c"))).alias("shapes"), F.sum(F.when(sequence, clog)).alias("shape_clogs"),
+    )
     nodes = lasting(nodes)
-    m = F.greatest(F.log("pages"), F.lit(1e-9))
-    content = F.when(F.col("pages") > 1, 1 - F.col("logs") / F.col("features") / m).otherwise(1.0)
-    presentation = F.when(F.col("pages") > 1, (F.log("total") - F.col("clogs") / F.col("total")) / m).otherwise(1.0)
-    leaves = nodes.where("kind = 'text'").select("host", "node", "pages", content.alias("content"))
-    parts = F.split("node", "/")
-    above = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
-    below = leaves.select("host", F.explode(above).alias("node"), "pages", "content").groupBy("host", "node").agg(F.avg("content").alias("below"), F.max("content").alias("most"), F.max("pages").alias("pages"))
-    shape = nodes.where("kind = 'children'").select("host", "node", presentation.alias("presentation"))
-    mixed = F.coalesce(PRESENTATION * F.col("presentation") + (1 - PRESENTATION) * F.col("below"), F.col("below"))
-    hinted = F.endswith("node", F.lit(HINT)) | F.contains("node", F.lit(HINT + "/"))
-    judged = F.when(hinted, F.least(mixed, HINTED * F.col("most"))).otherwise(mixed)
-    return below.join(shape, ["host", "node"], "left").select("host", "node", "pages", judged.alias("importance"))
-
-
-def extract(pages: DataFrame) -> DataFrame:
+    m = F.log("pages")
+    known = F.when(F.col("pages") > 1, F.col("n") - F.col("logs") / m).otherwise(F.col("n"))
+    information = F.when(F.col("pages") > 1, F.col("total") - F.col("clogs") / m).otherwise(F.col("total"))
+    prefixes = F.transform(F.sequence(F.lit(8), F.length("path"), F.lit(8)), lambda k: F.substring(F.col("path"), F.lit(1), k))
+    leaves = nodes.where("n > 0").select(F.explode(prefixes).alias("path"), "pages", "n", known.alias("known"), information.alias("information"))
+    below = leaves.groupBy("path").agg(F.max("pages").alias("pages"), (F.sum("known") / F.sum("n")).alias("content"), F.sum("information").alias("information"))
+    variety = nodes.where("shapes > 0").select("path", F.exp(F.log("shapes") - F.col("shape_clogs") / F.col("shapes")).alias("variety"))
+    below = lasting(below.join(variety, "path", "left").withColumn("site", F.substring("path", 1, 8)))
+    sites = below.where(F.length("path") == 8).select("site", F.col("information").alias("all"))
+    tree = below.join(sites, "site").withColumn("mass", F.col("information") / F.greatest("all", F.lit(1e-9)))
+    container = tree.where((F.col("mass") >= MOST) & (F.col("variety") >= VARIED)).groupBy("site").agg(F.min_by("path", F.length("path")).alias("container"))
+    kind = F.substring("path", F.length("path") - 7, F.lit(1))
+    inside = F.coalesce(F.substring(F.col("path"), F.lit(1), F.length("container")) == F.col("container"), F.lit(False)) | (kind == F.lit(HEADING))
+    judged = F.when(inside, F.col("content")).otherwise(F.col("content") * F.least(F.lit(1.0), F.col("mass") / SHARE))
+    share = F.when(kind == F.lit(HINT), HINTED).when((kind == F.lit(NAMED)) & (F.col("mass") < MOST), NAMED_AS).otherwise(1.0)
+    return tree.join(container, "site", "left").select("site", "path", "pages", "content", "mass", (judged * share).alias("importance"))
+
+
+def judged_nodes(pages: DataFrame, names: frozenset[str] = NO_ARTICLE_WORDS) -> DataFrame:
+    """site, and the lists of nodes that are removed from its pages and of named nodes that stay."""
+    tree = importance(style_features(pages.select("url", "html"), names)).where((F.col("pages") >= PAGES) & (F.length("path") > 8))
+    low = F.col("importance") < LOW
+    named = F.substring("path", F.length("path") - 7, F.lit(1)) == F.lit(NAMED)
+    return tree.where(low | named).groupBy("site").agg(F.collect_list(F.when(low, F.col("path"))).alias("removed"), F.collect_list(F.when(~low & named, F.col("path"))).alias("kept"))
+
+
+def extract(pages: DataFrame, names: frozenset[str] = NO_ARTICLE_WORDS) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     rows = pages.select("page_id", "url", "html", host(F.coalesce("url", F.lit(""))).alias("host"))
-    tree = importance(style_features(pages.select("url", "html")))
-    low = lasting(tree.where((F.col("pages") >= PAGES) & (F.col("importance") < LOW)).select("host", "node"))
-
-    def text_of(markup: str | None, removed) -> str:
-        blocks = Page(markup or "").blocks
-        if len(removed):
-            removed = set(removed)
-            blocks = [(k, t) for k, t in blocks if not any(a in removed for a in ancestors(k))]
-        return " ".join(t for _, t in blocks)
-
-    if low.count() <= HANDED:
-        removed: dict[str, list[str]] = {}
-        for r in low.collect():
-            removed.setdefault(r["host"], []).append(r["node"])
-
-        @F.pandas_udf("string")
-        def handed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            for hosts, markups in batches:
-                yield pd.Series([text_of(m, removed.get(h, ())) for h, m in zip(hosts, markups)], dtype=object)
-
-        out = rows.withColumn("text", handed("host", "html"))
-    else:
-        lists = low.groupBy("host").agg(F.collect_list("node").alias("removed"))
-        out = rows.join(lists, "host", "left").withColumn("text", _joined(text_of)(F.col("html"), F.coalesce("removed", F.array().cast("array<string>"))))
+    sites = rows.select("host").distinct().withColumn("site", _site("host"))
+    lists = written(sites.join(judged_nodes(pages, names), "site").select("host", "removed", "kept"))
+
+    @F.pandas_udf("string")
+    def text_of(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for hosts, markups, removed, kept in batches:
+            each = zip(hosts, markups, removed, kept)
+            yield pd.Series([Page(m or "", h, names, *(((), ()) if r is None else (r, k))).text() for h, m, r, k in each], dtype=object)
+
+    out = rows.join(lists, "host", "left").withColumn("text", text_of("host", "html", "removed", "kept"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-def _joined(text_of) -> Column:
-    @F.pandas_udf("string")
-    def joined(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for markups, removed in batches:
-            yield pd.Series([text_of(m, r) for m, r in zip(markups, removed)], dtype=object)
+def _site(name: str) -> Column:
+    @F.pandas_udf("binary")
+    def made(hosts: pd.Series) -> pd.Series:
+        return pd.Series([step(h) for h in hosts], dtype=object)
 
-    return joined
+    return made(F.col(name))
