@@ -3,10 +3,16 @@
 A byte-level BPE with word ends is run as a transducer with bounded lookahead. From the merge
 list :func:`sufficient_lookahead` derives how many bytes past a token can still change it. A word
 is read in windows; a token is emitted as soon as that many bytes of the word, or its end, lie
-behind it, so memory stays constant however long a text or a word is. Decoding is a state machine
-that is fed ids in any portions and holds back only the bytes of an unfinished character.
+behind it, so memory stays constant however long a word or a run without white space is. Decoding
+is a state machine that is fed ids in any portions, turns them into bytes, and these into text,
+holding back only the bytes of an unfinished character.
 
-Merging is vectorised: all new words of a portion of text advance together, one merge a round.
+Merging is vectorised: all new words of a portion of text advance together, one merge a round. A
+long word's windows are merged one after the other with a heap.
+
+Letters, numbers, lower case and normal form are those of the "tokenizers" library, whose tables
+are of several Unicode versions: where they depart from those of Python 3.13 (Unicode 15.1), the
+fixed values below say so.
 
 Nulls encode as the empty text: no ids, and the empty decoded text. A null doc_id is carried
 along. Repeated rows give repeated results, tables without rows give none, and columns other than
@@ -17,34 +23,69 @@ from __future__ import annotations
 
 import codecs
 import hashlib
+import heapq
 import itertools
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: White space as Unicode's White_Space property has it. str.split() also splits at 1C-1F.
 _SPACE = r"\t-\r \x85\xa0  -     　"
-_PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-_WORDS = regex.compile(rf"[^{_SPACE}]+")
+_WORDS = re.compile(rf"[^{_SPACE}]+")
+#: Code points that the library holds for letters and for numbers, and Unicode 15.1 doesn't know.
+LATER_LETTERS = "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E 11390-113B5 113B7 113D1 113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF 1E5D0-1E5ED 1E5F0"
+LATER_NUMBERS = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+#: Capitals that only the library lowers, and their first small letter.
+LATER_CAPITALS = {"1C89": 0x1C8A, "A7CB": 0x264, "A7CC": 0xA7CD, "A7CE": 0xA7CF, "A7D2": 0xA7D3, "A7D4": 0xA7D5, "A7DA": 0xA7DB, "A7DC": 0x19B, "10D50-10D65": 0x10D70, "16EA0-16EB8": 0x16EBB}
+#: Marks and one composed letter with its part that normal form does not move or compose in the library.
+UNMOVED = (
+    "07FD 0898-089F 08CA-08D3 09FE 0C3C 0D3B-0D3C 0EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC 10EFD-10EFF 10F46-10F50 10F82-10F85 11070 1133B 1145E "
+    "11839-1183A 11930 11938 1193D-1193E 11943 119E0 11A34 11A47 11A99 11D42 11D44-11D45 11D97 11F41-11F42 16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF"
+)
+
+
+def _ranges(listed: str) -> list[tuple[int, int]]:
+    return [(int(x.split("-")[0], 16), int(x.split("-")[-1], 16)) for x in listed.split()]
+
+
+def _class(ranges: Iterable[tuple[int, int]]) -> str:
+    """What stands between the brackets of a pattern."""
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+@lru_cache(maxsize=1)
+def classes() -> tuple[str, str]:
+    """The letters and the numbers, as parts of a pattern's class."""
+    out = []
+    for kind, later in (("L", LATER_LETTERS), ("N", LATER_NUMBERS)):
+        own = [i for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i))[0] == kind]
+        cuts = [0, *(k for k in range(1, len(own)) if own[k] != own[k - 1] + 1), len(own)]
+        out.append(_class([*((own[a], own[b - 1]) for a, b in zip(cuts, cuts[1:])), *_ranges(later)]))
+    return out[0], out[1]
+
+
+_UNMOVED = re.compile(f"([{_class(_ranges(UNMOVED))}])")
+_CAPITALS = {c: small + c - a for listed, small in LATER_CAPITALS.items() for a, b in _ranges(listed) for c in range(a, b + 1)}
+_LATER = re.compile(f"[{_class((c, c) for c in _CAPITALS)}]")
 _NONE = np.int32(2**30)
 
 #: Bytes of a word that are read at a time beyond the lookahead.
-WINDOW = 512
+WINDOW = 1024
 #: Characters of text that are held at a time.
 PORTION = 1 << 18
 #: Characters of several texts that are held together.
 HELD = 1 << 21
-#: Words whose ids are remembered by a worker.
-REMEMBERED = 400_000
+#: Characters of words whose ids a worker remembers, at most about, besides those of HELD.
+REMEMBERED = 1 << 24
 
 
 def byte_characters() -> list[str]:
@@ -96,6 +137,9 @@ class Transducer:
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.specials.items()}
+        self.written = {i: t.encode() for i, t in self.tokens.items()}
+        means = {c: b for b, c in enumerate(byte_characters())}
+        self.meant = {i: bytes(means.get(c, 63) for c in t.removesuffix(self.end)) + b" " * t.endswith(self.end) for i, t in self.tokens.items()}
         letters = byte_characters()
         self._inner = np.array([vocab[c] for c in letters], np.int32)
         self._final = np.array([vocab[c + self.end] for c in letters], np.int32)
@@ -104,6 +148,11 @@ class Transducer:
         for i, t in self.tokens.items():
             self._bytes[i] = len(t.removesuffix(self.end))
         self._table(merges, vocab)
+        self._merges = merges
+        self._vocab = vocab
+        letters_, numbers = classes()
+        self._pieces = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters_}]+|[{numbers}]|[^{_SPACE}{letters_}{numbers}]+")
+        self._letters, self._others = re.compile(f"[{letters_}]*"), re.compile(f"[^{_SPACE}{letters_}{numbers}]*")
         self._forget()
 
     def _table(self, merges: list[tuple[str, str]], vocab: dict[str, int]) -> None:
@@ -202,27 +251,36 @@ class Transducer:
                 groups.append((which, rows))
         return groups
 
+    def _merge_long(self, symbols: list[int]) -> list[int]:
+        """One row with all merges done, by a heap of pairs and links between the symbols."""
+        if not hasattr(self, "_pairs"):
+            self._pairs = {(self._vocab[x], self._vocab[y]): (rank, self._vocab[x + y]) for rank, (x, y) in enumerate(self._merges)}
+        pairs = self._pairs.get
+        n = len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(found[0], i, found[1]) for i in range(n - 1) if (found := pairs((symbols[i], symbols[i + 1])))]
+        heapq.heapify(heap)
+        while heap:
+            rank, i, product = heapq.heappop(heap)
+            j = after[i]
+            if symbols[i] < 0 or j >= n or pairs((symbols[i], symbols[j]), (None,))[0] != rank:
+                continue
+            symbols[i], symbols[j] = product, -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if found := pairs((product, symbols[k])):
+                    heapq.heappush(heap, (found[0], i, found[1]))
+            if (h := before[i]) >= 0 and (found := pairs((symbols[h], product))):
+                heapq.heappush(heap, (found[0], h, found[1]))
+        return [x for x in symbols if x >= 0]
+
     def long_word(self, word: Iterable[bytes]) -> Iterator[np.ndarray]:
         """Ids of one word that comes in portions of bytes, emitted once they are stable."""
-        held = b""
+        one = LongWord(self)
         for portion in word:
-            for i in range(0, len(portion), WINDOW):
-                held += portion[i : i + WINDOW]
-                if len(held) < self.lookahead + WINDOW:
-                    continue
-                row = self._inner[np.frombuffer(held, np.uint8)][None, :].copy()
-                ids = self._merge(row)[0]
-                ids = ids[ids >= 0]
-                ends = np.cumsum(self._bytes[ids])
-                n = int(np.searchsorted(ends, len(held) - 1 - self.lookahead, side="right"))
-                if n:
-                    yield ids[:n]
-                    held = held[int(ends[n - 1]) :]
-        if held:
-            row = self._inner[np.frombuffer(held, np.uint8)][None, :].copy()
-            row[0, -1] = self._final[held[-1]]
-            ids = self._merge(row)[0]
-            yield ids[ids >= 0]
+            yield from one.feed(portion)
+        yield from one.finish()
 
     def pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, each a word without white space or a run of signs, one behind the
@@ -248,6 +306,7 @@ class Transducer:
 
     def _forget(self) -> None:
         self._index = _Numbers()
+        self._characters = 0
         self._starts, self._counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._flat = np.zeros(0, np.int32)
 
@@ -261,18 +320,20 @@ class Transducer:
             elif w[-1] in ".,;:!?" and w[:-1].isalpha():
                 found = (w[:-1], w[-1])
             else:
-                found = _PIECES.findall(w)
+                found = self._pieces.findall(w)
             for p in found:
                 pieces.append(p.encode("utf-8", "surrogatepass"))
                 owners.append(k)
+        self._characters += sum(map(len, words))
         ids, sizes = self.pieces(pieces)
         counts = np.bincount(np.array(owners, np.int64), sizes, len(words)).astype(np.int64) if owners else np.zeros(len(words), np.int64)
         starts = len(self._flat) + np.cumsum(counts) - counts
         self._flat = np.concatenate([self._flat, ids])
         self._starts, self._counts = np.concatenate([self._starts, starts]), np.concatenate([self._counts, counts])
 
-    def _portions(self, text: str) -> Iterator[str | int]:
-        """Portions of a text in normal form, and ids of special tokens. Portions end before white
+    def _portions(self, text: str) -> Iterator[str | int | Iterator[str]]:
+        """Portions of a text in normal form, ids of special tokens, and, for runs without white
+        space that are longer than a portion, iterators of their parts. Portions end before white
         space, across which neither normal form nor words reach."""
         parts = self._special.split(text) if self._special and self._special.search(text) else [text]
         for part in parts:
@@ -285,12 +346,54 @@ class Transducer:
                 if stop < len(part):
                     cut = max(part.rfind(" ", at, stop), part.rfind("\n", at, stop))
                     if cut <= at:
-                        stop = min((x for x in (part.find(" ", stop), part.find("\n", stop)) if x >= 0), default=len(part))
-                    else:
-                        stop = cut
+                        cut = next((i for i in range(stop, at, -1) if not _WORDS.match(part[i])), at)
+                    if cut <= at:
+                        run = _WORDS.search(part, at)
+                        yield self._parts_of(part, *run.span())
+                        at = run.end()
+                        continue
+                    stop = cut
                 yield normal(part[at:stop])
                 at = stop
 
+    @staticmethod
+    def _parts_of(text: str, at: int, end: int) -> Iterator[str]:
+        """A run without white space in parts in normal form, cut where that does not reach across."""
+        while at < end:
+            stop = min(end, at + PORTION)
+            while stop < end and not _starts(text[stop]):
+                stop += 1
+            yield normal(text[at:stop])
+            at = stop
+
+    def _run(self, parts: Iterator[str]) -> Iterator[np.ndarray]:
+        """Ids of a run without white space that comes in parts. The last piece of a part may go on
+        in the next one; one that grows long is fed on as it comes."""
+        held, word, kind = "", None, None
+        for part in itertools.chain(parts, [None]):
+            held += part or ""
+            if word:
+                more = kind.match(held).end()
+                yield from word.feed(held[:more].encode("utf-8", "surrogatepass"))
+                held = held[more:]
+                if not held and part is not None:
+                    continue
+                yield from word.finish()
+                word = None
+            found = self._pieces.findall(held)
+            rest = 0
+            if part is not None and found:
+                # The last piece, and an apostrophe that it may form a suffix with, wait for more.
+                rest = 2 if len(found) > 1 and found[-2] == "'" and len(found[-1]) < 2 else 1
+            held = "".join(found[len(found) - rest :])
+            if done := found[: len(found) - rest]:
+                yield self.pieces([p.encode("utf-8", "surrogatepass") for p in done])[0]
+            if rest == 1 and len(held) > max(PORTION, 8):
+                kind = self._letters if self._letters.match(held).end() else self._others
+                word = LongWord(self)
+                yield from word.feed(held.encode("utf-8", "surrogatepass"))
+                held = ""
+
     def stream(self, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray]]:
         """(number of the text, some of its ids), in order; at most HELD characters are held, and
         new words of so many are merged together."""
@@ -298,6 +401,11 @@ class Transducer:
         size = 0
         for k, text in enumerate(texts):
             for portion in self._portions(text or ""):
+                if not isinstance(portion, (int, str)):
+                    yield from self._together(held)
+                    held, size = [], 0
+                    yield from ((k, ids) for ids in self._run(portion))
+                    continue
                 held.append((k, portion))
                 size += 1 if isinstance(portion, int) else len(portion)
                 if size >= HELD:
@@ -306,7 +414,7 @@ class Transducer:
         yield from self._together(held)
 
     def _together(self, held: list[tuple[int, str | int]]) -> Iterator[tuple[int, np.ndarray]]:
-        if len(self._index) > REMEMBERED:
+        if self._characters > REMEMBERED:
             self._forget()
         index, known = self._index, len(self._index)
         number = index.__getitem__
@@ -344,41 +452,77 @@ class Transducer:
         return next(self.encode_batch([text]))
 
 
+class LongWord:
+    """The transducer on one word: fed bytes, it emits ids once the lookahead lies behind them."""
+
+    def __init__(self, transducer: Transducer):
+        self._of = transducer
+        self._held = b""
+
+    def feed(self, portion: bytes) -> Iterator[np.ndarray]:
+        of = self._of
+        for i in range(0, len(portion), WINDOW):
+            self._held += portion[i : i + WINDOW]
+            if len(self._held) < of.lookahead + WINDOW:
+                continue
+            ids = np.array(of._merge_long(of._inner[np.frombuffer(self._held, np.uint8)].tolist()), np.int32)
+            ends = np.cumsum(of._bytes[ids])
+            n = int(np.searchsorted(ends, len(self._held) - 1 - of.lookahead, side="right"))
+            if n:
+                yield ids[:n]
+                self._held = self._held[int(ends[n - 1]) :]
+
+    def finish(self) -> Iterator[np.ndarray]:
+        if self._held:
+            of = self._of
+            row = of._inner[np.frombuffer(self._held, np.uint8)].tolist()
+            row[-1] = int(of._final[self._held[-1]])
+            yield np.array(of._merge_long(row), np.int32)
+
+
+def _starts(c: str) -> bool:
+    """Whether normal form never changes across the place before c."""
+    return c.isascii() or not (unicodedata.combining(c) or unicodedata.category(c)[0] == "M" or "\u1100" <= c <= "\u11ff")
+
+
 def normal(text: str) -> str:
     """NFC, then lower case by single characters (a capital sigma has one form everywhere)."""
-    if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-        text = unicodedata.normalize("NFC", text)
-    return text.replace("Σ", "σ").lower() if "Σ" in text else text.lower()
+    if text.isascii():
+        return text.lower()
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        if _UNMOVED.search(text):
+            text = "".join(unicodedata.normalize("NFC", x) for x in _UNMOVED.split(text))
+        elif not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
+        if _LATER.search(text):
+            text = text.translate(_CAPITALS)
+        text = text.replace("Σ", "σ")
+    return text.lower()
 
 
 class Decoder:
-    """Turns ids into text as they come.
+    """Turns ids into text as they come: each token gives bytes, and the state is the incomplete
+    UTF-8 sequence at the end of what was fed.
 
-    As the library does it (``words=False``): the written forms of the tokens, with one space
-    between. With ``words=True``: the bytes they stand for, word ends as spaces; the state is the
-    incomplete UTF-8 sequence at the end of what was fed.
+    As the library does it (``words=False``), a token's bytes are those of its written form, with a
+    space between two. With ``words=True`` they are the bytes that it stands for, and word ends are
+    spaces.
     """
 
     def __init__(self, transducer: Transducer, words: bool = False):
-        self._written = transducer.tokens
-        self._end = transducer.end
-        self._words = words
+        self._of = transducer.meant if words else transducer.written
+        self._between = b"" if words else b" "
         self._begun = False
-        self._bytes = {c: b for b, c in enumerate(byte_characters())} if words else {}
         self._state = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int]) -> str:
-        tokens = [self._written[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)]
-        if not self._words:
-            text = (" " if self._begun and tokens else "") + " ".join(tokens)
-            self._begun |= bool(tokens)
-            return text
-        raw = bytearray()
-        for t in tokens:
-            raw += bytes(self._bytes.get(c, 63) for c in t.removesuffix(self._end))
-            if t.endswith(self._end):
-                raw += b" "
-        return self._state.decode(bytes(raw))
+        raw = self._between.join(map(self._of.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
+        if raw and self._begun:
+            raw = self._between + raw
+        self._begun |= bool(raw)
+        return self._state.decode(raw)
 
     def finish(self) -> str:
         return self._state.decode(b"", final=True)
