@@ -5,8 +5,9 @@ lengths, at most ``limit`` counts, reaches the driver. There, patterns of few le
 enumerated, non-negative least squares fits how often each repeats, the fits are rounded down to
 what the histogram can give, and the residual is packed best fit first, lengths in descending
 order, runs of like sequences at a time. The result is a plan of a few slots per length. In Spark
-each piece gets its number among the pieces of its length, counted within hashed groups so that a
-length that a third of all rows share is no hot spot, and takes its place from the plan.
+each piece gets its number among the pieces of its length, counted within random groups so that a
+length, an id or a piece that a third of all rows share is no hot spot, and takes its place from the
+plan. The random numbers are written with the pieces, so they stay.
 
 Null texts count as empty: one piece that holds the separator only. Rows are told apart by content
 and number, so repeated rows and null ids are packed like any others. Tables without rows give no
@@ -28,7 +29,7 @@ from tidewatt.llm.bpe import transducer
 from tidewatt.llm.lasting import lasting
 
 #: Rows that one hashed group of one length should have about.
-GROUP_ROWS = 20_000
+GROUP_ROWS = 4_000
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, limit: int = 2048, separator: int = 0) -> DataFrame:
@@ -160,17 +161,17 @@ def slots(packed: list[tuple[tuple[int, ...], int]]) -> pd.DataFrame:
 def pack(pieces: DataFrame, limit: int = 2048) -> DataFrame:
     """Adds sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32)."""
     spark = pieces.sparkSession
-    pieces = lasting(pieces)
+    pieces = lasting(pieces.withColumn("_salt", F.rand(42)))
     counts = pieces.groupBy("length").count().collect()  # at most ``limit`` rows
     histogram = np.zeros(limit + 1, np.int64)
     for r in counts:
         histogram[r["length"]] = r["count"]
     plan = slots(pack_histogram(histogram))
     groups = max(1, int(histogram.sum()) // GROUP_ROWS)
-    grouped = pieces.withColumn("_g", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).cast("int"))
+    grouped = pieces.withColumn("_g", F.floor(F.col("_salt") * groups).cast("int"))
     before = grouped.groupBy("length", "_g").agg(F.count("*").alias("_n"))
     before = before.select("length", "_g", (F.sum("_n").over(Window.partitionBy("length").orderBy("_g")) - F.col("_n")).alias("_before"))
-    within = Window.partitionBy("length", "_g").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "_g").orderBy("_salt", "doc_id", "piece", "ids_crc32")
     numbered = grouped.withColumn("_k", F.row_number().over(within) - 1).join(before, ["length", "_g"]).withColumn("_k", F.col("_k") + F.col("_before"))
 
     # Bounded by the number of lengths, whatever the number of pieces.
