@@ -2,7 +2,8 @@
 
 Large-star links every larger neighbour of a node to the least node around it, small-star every
 smaller one; both are one aggregation and one equi-join, so a node with very many edges is split
-by the skew join. No edge or label reaches the driver; only counts do.
+by the skew join. No edge or label reaches the driver; only counts do. Each round is written to the
+shared folder, and its predecessor deleted.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.llm.lasting import lasting
+from tidewatt.llm.lasting import forget, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -31,12 +32,13 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataF
     node. Edges with a null end or to themselves count for nothing. Raises if the rounds don't
     suffice; they grow as the logarithm of the number of nodes."""
     edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u is not null and v is not null and u <> v").distinct()
-    edges = lasting(edges)
+    edges = written(edges)
     mark = F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
     before = edges.agg(mark.alias("m")).first()["m"]
     if before["n"]:
         for _ in range(most_rounds):
-            edges = lasting(_star(_star(edges, large=True), large=False))
+            last, edges = edges, written(_star(_star(edges, large=True), large=False))
+            forget(last)
             now = edges.agg(mark.alias("m")).first()["m"]
             if now == before:
                 break
