@@ -10,16 +10,19 @@ bound reaches it are reranked. Scores are the inner products of the original vec
 precision, and rows and ranks come from them alone. A neighbour is missed where its bound fails;
 the tests measure recall.
 
-Candidates are cut into blocks of bounded size by a hash, queries likewise; every pair of blocks is
-one group that is dealt by key, and gives k rows for each query. Those are merged in two steps, so
-no task and no group grows with the input. Every row is indexed and compared: a query set against
-all rows, in blocks.
+Every vector is encoded once. Candidates are cut into blocks of bounded size by a hash, queries
+likewise; every pair of blocks is one group that is dealt by key, and gives k rows for each query.
+Those are merged in two steps, so no task and no group grows with the input. Every row is indexed
+and compared: a query set against all rows, in blocks. The work is queries times rows, and each
+vector is sent once for each block of queries.
 
 Vectors that are null, zero or hold null or non-finite components take no part; neither do rows
-without an id, nor lengths other than the commonest. Repeated vectors tie and go to the smaller id;
-a row that is repeated with its id is one candidate for each time, but one query: of the vectors
-that share an id the least, compared in order of components, is searched for. With fewer candidates than k all
-are returned. Tables without rows give none; other columns are ignored.
+without an id. A vector meets those of its own length. Where the product of two vectors may leave
+the range of doubles, the candidate is reranked whatever its bound; a score that over- or underflows
+ranks as it is, one that is not a number last. Repeated vectors tie and go to the smaller id; a row
+that is repeated with its id is one candidate for each time, but one query: of the vectors that
+share an id the least, compared in order of components, is searched for. With fewer candidates than
+k all are returned. Tables without rows give none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,9 +42,11 @@ EPSILON = 3.0
 FEW = 16
 #: Times k candidates whose scores set the threshold.
 FIRST = 4
-#: Candidates and queries in a block.
-BLOCK = 8192
-QUERY_BLOCK = 2048
+#: Bytes of doubles in a block of candidates and of queries.
+BLOCK_BYTES = 4 << 20
+QUERY_BYTES = 8 << 20
+#: Products of lengths outside of this are reranked without a bound.
+SAFE = (1e-290, 1e300)
 
 
 def rotation(d: int) -> np.ndarray:
@@ -50,91 +55,130 @@ def rotation(d: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def scaled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of length one, and their lengths; squares neither over- nor underflow."""
+    most = np.abs(vectors).max(axis=1)
+    part = vectors / most[:, None]
+    length = np.sqrt((part * part).sum(axis=1))
+    with np.errstate(over="ignore"):
+        return part / length[:, None], most * length
+
+
 class Codes:
     """Packed sign bits of turned vectors, with their lengths and inner products with the codes."""
 
-    def __init__(self, vectors: np.ndarray):
-        self.d = vectors.shape[1]
-        self.length = np.sqrt((vectors * vectors).sum(axis=1))
-        turned = vectors / self.length[:, None] @ rotation(self.d)
-        signs = turned >= 0
-        self.bits = np.packbits(signs, axis=1)
-        self.inner = np.abs(turned).sum(axis=1) / np.sqrt(self.d)
+    def __init__(self, d: int, bits: np.ndarray, inner: np.ndarray, length: np.ndarray):
+        self.d, self.bits, self.inner, self.length = d, bits, inner, length
+
+    @classmethod
+    def of(cls, vectors: np.ndarray) -> Codes:
+        unit, length = scaled(vectors)
+        d = vectors.shape[1]
+        turned = unit @ rotation(d)
+        return cls(d, np.packbits(turned >= 0, axis=1), np.abs(turned).sum(axis=1) / np.sqrt(d), length)
 
     def estimates(self, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Estimated inner products of the candidates (columns) with turned queries of length one
-        (rows), and how far each candidate's may be from the true ones."""
+        """Estimated cosines of the candidates (columns) with turned queries of length one (rows),
+        and how far each candidate's may be from the true ones."""
         signs = np.unpackbits(self.bits, axis=1, count=self.d).astype(np.float32)
-        signs = (signs * 2 - 1) * (self.length / (self.inner * np.sqrt(self.d))).astype(np.float32)[:, None]
+        signs = (signs * 2 - 1) / (self.inner * np.sqrt(self.d)).astype(np.float32)[:, None]
         epsilon = np.sqrt(max(1, self.d - 1)) if self.d <= FEW else EPSILON
-        error = epsilon * np.sqrt(np.maximum(0, 1 - self.inner**2) / (self.inner**2 * max(1, self.d - 1))) * self.length
+        error = epsilon * np.sqrt(np.maximum(0, 1 - self.inner**2) / (self.inner**2 * max(1, self.d - 1)))
         return turned.astype(np.float32) @ signs.T, error.astype(np.float32)
 
 
-def nearest_in_block(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def nearest_in_block(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, codes: Codes, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query ids, candidate ids, scores): the k best of the block for each query."""
-    codes, out = Codes(c), []
-    longest = codes.length.max()
-    unit = np.sqrt((q * q).sum(axis=1))
-    turned = q / unit[:, None] @ rotation(q.shape[1])
+    out = []
+    unit, long = scaled(q)
+    turned = unit @ rotation(q.shape[1])
     by_id = np.argsort(cid, kind="stable")
     low, high = (np.searchsorted(cid[by_id], qid, side=s) for s in ("left", "right"))
     first = min(FIRST * k, len(cid))
-    for i in range(0, len(q), 128):
-        estimate, error = codes.estimates(turned[i : i + 128])
-        n = len(estimate)
-        for j in range(n):
-            estimate[j, by_id[low[i + j] : high[i + j]]] = -np.inf
-        # The k-th score among the most promising is a threshold that the k best of all reach.
-        top = np.argpartition(estimate, len(cid) - first, axis=1)[:, len(cid) - first :]
-        row, at = np.repeat(np.arange(n), first), top.ravel()
-        score = np.where(estimate[row, at] > -np.inf, (q[row + i] * c[at]).sum(axis=1), -np.inf).reshape(n, -1)
-        threshold = np.partition(score, first - k, axis=1)[:, first - k] / unit[i : i + 128] if first >= k else np.full(n, -np.inf)
-        slack = np.where(np.isfinite(threshold), np.abs(threshold) * 1e-5, 0)
-        reach = (estimate + error >= (threshold - slack).astype(np.float32)[:, None]) & (estimate > -np.inf)
-        for j in range(n):
-            a = np.flatnonzero(reach[j])
-            v = q[i + j]
-            if len(a) > k:
-                # The k best of those, with whatever rounding could hide; their scores are then summed alike for equal vectors.
-                rough = c[a] @ v
-                a = a[rough >= np.partition(rough, len(a) - k)[len(a) - k] - 1e-9 * unit[i + j] * longest]
-            out.append((np.full(len(a), i + j), a, (v * c[a]).sum(axis=1)))
+    with np.errstate(over="ignore", invalid="ignore", under="ignore"):
+        for i in range(0, len(q), 128):
+            estimate, error = codes.estimates(turned[i : i + 128])
+            n = len(estimate)
+            upper = (estimate + error).astype(np.float64) * codes.length
+            estimate = estimate * codes.length
+            product = long[i : i + 128, None] * codes.length
+            wide = ~((product > SAFE[0]) & (product < SAFE[1]) & (codes.length < SAFE[1])[None, :] & np.isfinite(upper))
+            estimate[wide] = -np.inf
+            own = np.zeros(estimate.shape, bool)
+            for j in range(n):
+                own[j, by_id[low[i + j] : high[i + j]]] = True
+            estimate[own] = -np.inf
+            # The k-th score among the most promising is a threshold that the k best of all reach.
+            top = np.argpartition(estimate, len(cid) - first, axis=1)[:, len(cid) - first :]
+            row, at = np.repeat(np.arange(n), first), top.ravel()
+            score = np.where(estimate[row, at] > -np.inf, (unit[row + i] * c[at]).sum(axis=1), -np.inf).reshape(n, -1)
+            threshold = np.partition(score, first - k, axis=1)[:, first - k] if first >= k else np.full(n, -np.inf)
+            slack = np.where(np.isfinite(threshold), np.abs(threshold) * 1e-5, 0)
+            reach = ((upper >= (threshold - slack)[:, None]) | wide) & ~own
+            for j in range(n):
+                a = np.flatnonzero(reach[j])
+                v = q[i + j]
+                if len(a) > k and not wide[j, a].any():
+                    # The k best of those, with whatever rounding could hide; their scores are then summed alike for equal vectors.
+                    rough = c[a] @ unit[i + j]
+                    a = a[rough >= np.partition(rough, len(a) - k)[len(a) - k] - 1e-9 * codes.length[a].max()]
+                out.append((np.full(len(a), i + j), a, (v * c[a]).sum(axis=1)))
     row, at, score = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
-    order = np.lexsort((cid[at], -score, row))
+    order = np.lexsort((cid[at], -np.where(np.isnan(score), -np.inf, score), row))
     row, at, score = row[order], at[order], score[order]
     best = np.arange(len(row)) - np.searchsorted(row, row) < k
     return qid[row[best]], cid[at[best]], score[best]
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(id, v: array<double>) of the rows that take part."""
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("v")).where("id is not null and v is not null")
-    fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    rows = rows.where(fine)
-    sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return rows.where(F.size("v") == (sizes[0]["n"] if sizes else 0))
+    """(id, v) of the rows that take part; v is an array of float where it was one, else of double."""
+    kind = "array<float>" if vectors.schema[embedding].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast(kind).alias("v")).where("id is not null and v is not null")
+    return rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
+
+
+def encoded(rows: DataFrame) -> DataFrame:
+    """Adds the code of v: bits, inner, length."""
+
+    @F.pandas_udf("bits binary, inner double, length double")
+    def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for vs in batches:
+            out = pd.DataFrame({"bits": pd.Series([b""] * len(vs), dtype=object), "inner": 0.0, "length": 0.0})
+            for d, own in vs.groupby(vs.map(len).to_numpy()):
+                codes = Codes.of(np.stack(own).astype(float))
+                at = own.index
+                out.loc[at, "inner"], out.loc[at, "length"] = codes.inner, codes.length
+                out.loc[at, "bits"] = pd.Series([b.tobytes() for b in codes.bits], at, dtype=object)
+            yield out
+
+    return rows.withColumn("_code", code("v")).select("id", "v", "_code.*")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the k candidates with the largest inner products. is_query:
     of the column ``id``."""
-    rows = lasting(usable(vectors, vec_id, embedding))
-    n, nq = rows.count(), rows.where(is_query).count()
-    blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-nq // QUERY_BLOCK))
+    rows = lasting(encoded(usable(vectors, vec_id, embedding)))
+    n, nq, longest = rows.agg(F.count("*"), F.count_if(is_query), F.max(F.size("v"))).first()
+    room = lambda m, size: max(1, -(-m * 8 * (longest or 1) // size))
+    blocks, query_blocks = room(n, BLOCK_BYTES), room(nq, QUERY_BYTES)
     number = lambda m, what: F.pmod(F.xxhash64(F.lit(what), "id"), F.lit(m)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    candidates = rows.select(number(blocks, "c").alias("b"), "id", "v").select("b", every(query_blocks).alias("qb"), F.col("id").alias("cid"), F.col("v").alias("cv"))
+    candidates = rows.withColumn("b", number(blocks, "c")).select(F.size("v").alias("d"), "b", every(query_blocks).alias("qb"), F.col("id").alias("cid"), F.col("v").alias("cv"), "bits", "inner", "length")
     asked = rows.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
-    queries = asked.select(number(query_blocks, "q").alias("qb"), "id", "v").select(every(blocks).alias("b"), "qb", "id", "v")
+    queries = asked.withColumn("qb", number(query_blocks, "q")).select(F.size("v").alias("d"), every(blocks).alias("b"), "qb", "id", "v")
 
     def search(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = not len(left) or not len(right)
-        got = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)) if empty else nearest_in_block(left["id"].to_numpy(), np.stack(left["v"]), right["cid"].to_numpy(), np.stack(right["cv"]), k)
-        return pd.DataFrame({"query_id": got[0], "vec_id": got[1], "score": got[2], "b": key[0]})
-
-    found = queries.groupBy("b", "qb").cogroup(candidates.groupBy("b", "qb")).applyInPandas(search, "query_id long, vec_id long, score double, b int")
-    best = lambda keys: Window.partitionBy(*keys).orderBy(F.desc("score"), "vec_id")
+        if not len(left) or not len(right):
+            got = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        else:
+            bits = np.frombuffer(b"".join(right["bits"]), np.uint8).reshape(len(right), -1)
+            codes = Codes(int(key[0]), bits, right["inner"].to_numpy(), right["length"].to_numpy())
+            got = nearest_in_block(left["id"].to_numpy(), np.stack(left["v"]).astype(float), right["cid"].to_numpy(), np.stack(right["cv"]).astype(float), codes, k)
+        return pd.DataFrame({"query_id": got[0], "vec_id": got[1], "score": got[2], "b": key[1]})
+
+    found = queries.groupBy("d", "b", "qb").cogroup(candidates.groupBy("d", "b", "qb")).applyInPandas(search, "query_id long, vec_id long, score double, b int")
+    # A score that is not a number comes last.
+    best = lambda keys: Window.partitionBy(*keys).orderBy(F.isnan("score"), F.desc("score"), "vec_id")
     found = found.withColumn("_g", (F.col("b") / 32).cast("int"))
     found = found.withColumn("_r", F.row_number().over(best(["query_id", "_g"]))).where(F.col("_r") <= k)
     ranked = found.withColumn("rank", F.row_number().over(best(["query_id"]))).where(F.col("rank") <= k)
