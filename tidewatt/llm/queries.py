@@ -52,10 +52,10 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidewatt.llm.urls import filter_urls, seed_labels
+    from tidewatt.llm.urls import filter_urls, rule_labels
 
     pages = _table(spark, sf_dir, "pages")
-    return filter_urls(pages, URL_RULES, seed_labels(pages))
+    return filter_urls(pages, URL_RULES, rule_labels(pages, URL_RULES))
 
 
 def op6_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:

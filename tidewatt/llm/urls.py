@@ -3,12 +3,15 @@
 Rules name a host suffix and a path prefix; the longest one that fits decides. URLs without a rule
 are judged by gradient-boosted trees (Spark ML) on features of the URL as text: lengths, depth,
 digit ratio, entropy of the host's characters, counts of parameters, hyphens and dots, and
-statistics of the host's last two and three labels: the smoothed share of blocked URLs among the
-labelled ones with that suffix, left out itself while learning.
+statistics of the host's last two and three labels and of the path's beginning, to the end of its
+first segment and one sign into the second: the smoothed share of blocked URLs among the labelled
+ones with that suffix or prefix. The statistics are of one half of the labelled URLs, by a hash, and
+the trees learn from the other, so that no URL's own label is in its features.
 
-Labelled URLs are an argument. :func:`seed_labels` makes some where a table has none: URLs whose
-host has a word from a fixed list are block, the others allow. At most about ``SAMPLE`` labelled
-URLs are learned from, chosen by a hash, so suffix statistics are bounded by it and broadcast.
+Labelled URLs are an argument. Where no table of them is at hand, :func:`rule_labels` takes those
+that the rules decide, so that the trees carry the rules over to URLs without one. At most about
+``SAMPLE`` labelled URLs are learned from, chosen by a hash, so the statistics are bounded by it and
+broadcast.
 
 A null URL, or one without ``://``, has an empty host and path, no rule, and is judged by the trees
 like any other. Where only one label occurs, that label is the verdict. Repeated rows are judged
@@ -27,10 +30,13 @@ from tidewatt.llm.lasting import lasting
 
 ALLOW, BLOCK = "allow", "block"
 SAMPLE = 20_000
-#: Fixed words of hosts that are not wanted.
-BLOCK_WORDS = ("ad", "ads", "adult", "banner", "bet", "bets", "casino", "cheap", "click", "escort", "loan", "lottery", "pill", "pills", "poker", "porn", "sex", "spam", "track", "tracker", "viagra", "xxx")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-FEATURES = ("url_length", "host_length", "path_length", "depth", "digits", "host_digits", "entropy", "parameters", "hyphens", "dots", "longest_label", "secure", "suffix2", "suffix3")
+FEATURES = ("url_length", "host_length", "path_length", "depth", "digits", "host_digits", "entropy", "parameters", "hyphens", "dots", "longest_label", "secure", "suffix2", "suffix3", "prefix1", "prefix2")
+#: What the statistics are of.
+ENDS = {
+    "suffix2": lambda: F.substring_index("host", ".", -2), "suffix3": lambda: F.substring_index("host", ".", -3),
+    "prefix1": lambda: F.regexp_extract("path", "^/[^/]*", 0), "prefix2": lambda: F.regexp_extract("path", "^/[^/]*/?.?", 0),
+}
 
 
 def host(url: Column) -> Column:
@@ -61,14 +67,11 @@ def rule_for(rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def seed_labels(urls: DataFrame, url: str = "url", words: tuple[str, ...] = BLOCK_WORDS) -> DataFrame:
-    """(url, blocked 0/1), labelled by whole words of the host."""
-    parts = F.split(host(F.col(url)), r"[^a-z]+")
-    return urls.where(F.col(url).isNotNull()).select(F.col(url).alias("url"), F.arrays_overlap(parts, F.array(*map(F.lit, words))).cast("double").alias("blocked"))
-
-
-def _suffix(n: int) -> Column:
-    return F.substring_index("host", ".", -n)
+def rule_labels(urls: DataFrame, rules: list[tuple[str, str]], url: str = "url") -> DataFrame:
+    """(url, blocked 0/1) of the URLs that the rules decide."""
+    _, verdict = rule_for(rules)
+    decided = with_parts(urls.select(F.col(url).alias("url"))).select("url", verdict.alias("verdict")).where("verdict is not null")
+    return decided.select("url", (F.col("verdict") == BLOCK).cast("double").alias("blocked"))
 
 
 def lexical(rows: DataFrame, url: str = "url") -> DataFrame:
@@ -91,7 +94,7 @@ def lexical(rows: DataFrame, url: str = "url") -> DataFrame:
 class UrlTrees:
     """Learns from (url, blocked); judges rows that have url, host and path."""
 
-    def __init__(self, labelled: DataFrame, sample: int = SAMPLE, trees: int = 12, depth: int = 4):
+    def __init__(self, labelled: DataFrame, sample: int = SAMPLE, trees: int = 12, depth: int = 5, step: float = 0.3):
         known = labelled.where("url is not null and blocked is not null")
         # One row for a URL: a page that is there many times would else fill the sample.
         known = known.groupBy("url").agg(F.max("blocked").cast("double").alias("blocked"))
@@ -104,18 +107,20 @@ class UrlTrees:
         if self.only:
             return
         self.prior = blocked / n
-        self.suffixes = {k: lasting(known.groupBy(_suffix(k).alias(f"_s{k}")).agg(F.sum("blocked").alias(f"_b{k}"), F.count("*").alias(f"_n{k}"))) for k in (2, 3)}
-        rows = self._statistics(lexical(known), F.col("blocked"))
-        assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("features", "blocked")
-        self.model = GBTClassifier(labelCol="blocked", maxIter=trees, maxDepth=depth, seed=42).fit(lasting(assembled))
-
-    def _statistics(self, rows: DataFrame, own: Column | None = None) -> DataFrame:
-        for k, table in self.suffixes.items():
-            less, one = (own, 1) if own is not None else (F.lit(0.0), 0)
-            b, n = F.coalesce(f"_b{k}", F.lit(0.0)), F.coalesce(f"_n{k}", F.lit(0))
-            seen = F.col(f"_n{k}").isNotNull().cast("int") * one
-            rows = rows.withColumn(f"_s{k}", _suffix(k)).join(F.broadcast(table), f"_s{k}", "left")
-            rows = rows.withColumn(f"suffix{k}", (b - less * seen + 2 * self.prior) / (n - seen + 2)).drop(f"_s{k}", f"_b{k}", f"_n{k}")
+        counted = F.pmod(F.xxhash64(F.lit("half"), "url"), F.lit(2)) == 0
+        self.shares = {k: lasting(known.where(counted).groupBy(end().alias(f"_s_{k}")).agg(F.sum("blocked").alias(f"_b_{k}"), F.count("*").alias(f"_n_{k}"))) for k, end in ENDS.items()}
+        rows = self._statistics(lexical(known.where(~counted)))
+        assembled = lasting(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("features", "blocked"))
+        if assembled.isEmpty():  # of a handful of URLs, none for the trees
+            self.only = BLOCK if self.prior >= 0.5 else ALLOW
+            return
+        self.model = GBTClassifier(labelCol="blocked", maxIter=trees, maxDepth=depth, stepSize=step, seed=42).fit(assembled)
+
+    def _statistics(self, rows: DataFrame) -> DataFrame:
+        for k, table in self.shares.items():
+            b, n = F.coalesce(f"_b_{k}", F.lit(0.0)), F.coalesce(f"_n_{k}", F.lit(0))
+            rows = rows.withColumn(f"_s_{k}", ENDS[k]()).join(F.broadcast(table), f"_s_{k}", "left")
+            rows = rows.withColumn(k, (b + 2 * self.prior) / (n + 2)).drop(f"_s_{k}", f"_b_{k}", f"_n_{k}")
         return rows
 
     def judge(self, rows: DataFrame) -> DataFrame:
