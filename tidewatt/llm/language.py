@@ -9,7 +9,11 @@ where that is narrow, as a mixture or an unknown language would be.
 A null text, or one without any letter, is ``und`` with score 0 and is rejected. So is every text
 where no language was learned. With a single learned language the margin is taken against no
 dictionary. Labels that are null, and null or empty texts, teach nothing. Repeated rows and ids are
-judged alike; ties go to the language that sorts first. Columns are only added.
+judged alike; texts that two languages make equally small go to the one that sorts first, and are
+rejected. Columns are only added.
+
+Short texts need a finer parser, and tiny ones all their windows, for sizes in whole bytes to tell
+languages apart; for long texts neither changes the outcome, and the parser takes four times as long.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ UNKNOWN = "und"
 #: The training sample: about so many snippets of each language, of so many characters.
 SNIPPETS = 512
 SNIPPET_CHARACTERS = 384
+#: Languages that are learned at most.
+LANGUAGES = 256
 #: Bytes compressed at a time.
 BLOCK = 4096
 LEVEL = 3
@@ -53,18 +59,19 @@ def letters(text: str) -> str:
 
 
 def learn_dictionaries(docs: DataFrame, snippets: int = SNIPPETS, characters: int = SNIPPET_CHARACTERS) -> dict[str, bytes]:
-    """language -> content, from rows (doc_id, text, lang). The sample is chosen by a hash of the
-    id at a rate set by each language's count, so it is bounded, evenly spread and repeatable; a
-    snippet starts at a hashed place in its text."""
+    """language -> content, from rows (doc_id, text, lang) of the LANGUAGES commonest languages.
+    The sample is chosen by a hash of id and text at a rate set by each language's count, so it is
+    bounded, evenly spread and repeatable; a snippet starts at a hashed place in its text. Rows that
+    repeat id and text give one snippet."""
     rows = docs.where("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return {}
     rate = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, snippets / n))])
-    h = F.xxhash64(F.lit("snippet"), "doc_id")
+    h = F.xxhash64(F.lit("snippet"), "doc_id", "text")
     chance = F.pmod(h, F.lit(1 << 30)) / float(1 << 30)
     start = F.pmod(F.shiftright(h, 30), F.greatest(F.lit(1), F.length("text") - characters + 1)).cast("int") + 1
-    sample = rows.where(chance < rate[F.col("lang")]).select("lang", h.alias("h"), F.substring(F.col("text"), start, F.lit(characters)).alias("s"))
+    sample = rows.where(chance < rate[F.col("lang")]).select("lang", h.alias("h"), F.substring(F.col("text"), start, F.lit(characters)).alias("s")).distinct()
     content: dict[str, list[str]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["h"], r["s"])):
         if _LETTER.search(r["s"]):
