@@ -124,15 +124,16 @@ def feature_column(text: str) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking:
     """From documents (doc_id, text) and labels (doc_id, quality). At most about ``sample``
-    labelled ids, a bound that allows them to be broadcast, pick their texts in one scan."""
+    labelled ids, a bound that allows them to be broadcast, pick their texts in one scan; of texts
+    that share an id the one with the least features is learned from, of labels the larger."""
     known = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", "quality")
     n = known.count()
     if not n:
         return Ranking(np.zeros((0, 16)), np.zeros(0))
     chance = F.pmod(F.xxhash64(F.lit("pairs"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = known.where(chance < sample / n).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", feature_column("text").alias("x")).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["x"]))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", feature_column("text").alias("x"))
+    rows = sorted(rows.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("x").alias("x")).collect(), key=lambda r: r["doc_id"])
     return Ranking(np.array([r["x"] for r in rows]).reshape(-1, 16), np.array([r["quality"] for r in rows]))
 
 
