@@ -66,10 +66,11 @@ def duration_minutes(iso: Column) -> Column:
 
 
 def contract(text: Column) -> Column:
-    """struct(start, end, minutes) of 'YYYYMMDD HH:MM-YYYYMMDD HH:MM'; null where it isn't one."""
+    """struct(start, end, minutes) of 'YYYYMMDD HH:MM-YYYYMMDD HH:MM'; null where it isn't one, or
+    doesn't end after its start."""
     at = lambda k: F.try_to_timestamp(F.split(text, "-")[k], F.lit("yyyyMMdd HH:mm")).cast("timestamp_ntz")
     good = text.rlike(r"^\d{8} \d{2}:\d{2}-\d{8} \d{2}:\d{2}$")
-    return F.when(good, F.struct(at(0).alias("start"), at(1).alias("end"), F.timestamp_diff("MINUTE", at(0), at(1)).cast("int").alias("minutes")))
+    return F.when(good & (at(1) > at(0)), F.struct(at(0).alias("start"), at(1).alias("end"), F.timestamp_diff("MINUTE", at(0), at(1)).cast("int").alias("minutes")))
 
 
 def number(text: Column) -> Column:

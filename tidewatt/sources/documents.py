@@ -18,12 +18,12 @@ from tidewatt.operators.reshape import mapped, point_time
 _POINT = "position INT, quantity DOUBLE, secondaryQuantity DOUBLE, `price.amount` DOUBLE, `imbalance_Price.amount` DOUBLE, `imbalance_Price.category` STRING, `activation_Price.amount` DOUBLE, Financial_Price ARRAY<STRUCT<amount DOUBLE, `priceDescriptor.type` STRING>>"
 _PERIOD = f"timeInterval STRUCT<start: STRING, `end`: STRING>, resolution STRING, Point ARRAY<STRUCT<{_POINT.replace(' INT', ': INT').replace(' DOUBLE', ': DOUBLE').replace(' STRING', ': STRING').replace(' ARRAY', ': ARRAY')}>>"
 _SERIES = f"mRID STRING, businessType STRING, `flowDirection.direction` STRING, `in_Domain.mRID` STRING, `out_Domain.mRID` STRING, curveType STRING, Period ARRAY<STRUCT<{_PERIOD.replace('timeInterval STRUCT', 'timeInterval: STRUCT').replace('resolution STRING', 'resolution: STRING').replace('Point ARRAY', 'Point: ARRAY')}>>"
-#: Generation types to output columns.
 #: Types of the parts of an imbalance price to output columns.
 PRICE_PARTS = {"A01": "scarcity", "A02": "incentive", "A03": "financial_neutrality"}
+#: Generation types to output columns.
 GENERATION = {
     "B01": "biomass", "B02": "coal", "B04": "gas", "B05": "coal", "B10": "hydro_pumped", "B11": "hydro_other", "B12": "hydro_other",
-    "B14": "nuclear", "B16": "solar", "B19": "wind",
+    "B14": "nuclear", "B16": "solar", "B18": "wind_offshore", "B19": "wind",
 }
 
 
