@@ -11,9 +11,11 @@ search of near duplicates, sets are partitioned by length so that two sets whose
 forbid the likeness never meet, and candidates must share one of a set's rarest signatures, as many
 as the likeness leaves without one in common. Every link is exact.
 
-Nulls count as empty texts. Rows are ordered by doc_id, nulls first, then by text; a repeated row's
-next document is its repetition. A single row follows itself. Tables without rows give none;
-columns other than doc_id and text are ignored, whatever their names.
+Nulls count as empty texts. Rows are ordered by doc_id, nulls first, and rows that share an id by a
+hash of the text; the next document of a row is the next one in that order with another id or
+text, and the last one's is the first. Rows that repeat id and text get equal results. A single row
+follows itself. Tables without rows give none; columns other than doc_id and text are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -31,8 +33,6 @@ COMMON = tuple(
     "los las una del que con por para como más pero sus fue son está".split()
 )
 SHORT = 2
-#: Rows of a bucket of consecutive ids, about.
-BUCKET_ROWS = 2000
 MARK = "§"
 
 
@@ -63,14 +63,19 @@ def signatures(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(_let(words(text), of), lambda h: h.bitwiseAND(low))))
 
 
+def compact(signature: Column) -> Column:
+    """The same 32 bits as integers."""
+    return F.transform(signature, lambda h: F.shiftright(F.shiftleft(h, 32), 32).cast("int"))
+
+
 def _let(value: Column, body) -> Column:
     """body(value), evaluating value once for each row."""
     return F.transform(F.array(value), body)[0]
 
 
 def written(signature: Column) -> Column:
-    """A set as a string."""
-    return F.array_join(F.transform(signature, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+    """A set of compact signatures as a string."""
+    return F.array_join(F.transform(signature, lambda h: F.lpad(F.lower(F.hex(h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -81,41 +86,49 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(_let(F.size(F.array_intersect(a, b)).cast("double"), by))
 
 
-def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds next_<column> of the next row by doc_id; the last row's is the first. Rows are put in
-    buckets of consecutive ids, so one shuffle by bucket serves; only each bucket's first row goes
-    to another one's last."""
-    spread = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).first()
-    low, high = spread["low"] or 0, spread["high"] or 0
-    width = max(1, -(-(high - low + 1) * BUCKET_ROWS // max(1, spread["n"])))
-    # floor keeps ids without doc_id, which come first, in a bucket of their own.
-    placed = rows.withColumn("_b", F.coalesce(F.floor((F.col("doc_id").cast("double") - float(low)) / float(width)), F.lit(-1)).cast("long"))
-    order = Window.partitionBy("_b").orderBy("doc_id", *columns)
-    packed = placed.withColumn("_all", F.struct(*columns))
-    seen = packed.withColumn("_next", F.lead("_all").over(order)).withColumn("_k", F.row_number().over(order))
-    firsts = packed.groupBy("_b").agg(F.min(F.struct("doc_id", *columns)).alias("_first"))
-    buckets = placed.select("_b").distinct()
-    chain = buckets.select("_b", F.coalesce(F.lead("_b").over(Window.orderBy("_b")), F.min("_b").over(Window.partitionBy())).alias("_after"))
-    after = chain.join(firsts.select(F.col("_b").alias("_after"), F.struct(*[F.col(f"_first.{c}") for c in columns]).alias("_over")), "_after").select("_b", "_over")
-    # min of a struct puts nulls first, as the order does.
-    whole = seen.join(after, "_b", "left").withColumn("_next", F.coalesce("_next", "_over"))
-    return whole.select(*rows.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in columns])
+def placed(keyed: DataFrame) -> DataFrame:
+    """Distinct doc_id, _h, _g and _half with _b, a bucket of the order; Spark samples its bounds, and the
+    hashes split rows that share an id."""
+    keys = keyed.select("doc_id", "_h", "_g", "_half").distinct()
+    return lasting(keys.repartitionByRange("doc_id", "_h", "_g").withColumn("_b", F.spark_partition_id()))
+
+
+def next_keys(keyed: DataFrame) -> DataFrame:
+    """_h, _g of the next document of that with _ph, _pg and _half."""
+    keys = placed(keyed)
+    order = Window.partitionBy("_b").orderBy("doc_id", "_h", "_g")
+    seen = keys.withColumn("_next", F.lead(F.struct("_h", "_g")).over(order))
+    # One row for each bucket, of which there are as many as shuffle partitions.
+    firsts = keys.groupBy("_b").agg(F.min(F.struct("doc_id", "_h", "_g")).alias("_f")).select("_b", F.struct("_f._h", "_f._g").alias("_f"))
+    chain = Window.orderBy("_b")
+    after = firsts.select("_b", F.coalesce(F.lead("_f").over(chain), F.first("_f").over(chain)).alias("_over"))
+    over = seen.join(after, "_b").withColumn("_next", F.coalesce("_next", "_over"))
+    return over.select(F.col("_next._h").alias("_h"), F.col("_next._g").alias("_g"), F.col("_h").alias("_ph"), F.col("_g").alias("_pg"), "_half")
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and
-    the sets' length, n_signatures."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, the
+    sets' length, n_signatures, and next_id. Signatures are made once, before one shuffle that both
+    roles of a document, as itself and as the next one, read; of the next one's text only what the
+    edited text takes moves on."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(rows.withColumn("sig", signatures(F.col("text"))), ["text", "sig"])
+    half = F.floor(F.length("text") / 2).cast("int")
+    keyed = rows.select("*", F.xxhash64("doc_id", "text").alias("_h"), F.xxhash64(F.lit(1), "doc_id", "text").alias("_g"), half.alias("_half"))
+    follow = next_keys(keyed)
+    signed = keyed.withColumn("sig", compact(signatures(F.col("text"))))
+    # The same columns on both sides, so that Spark reuses the exchange.
+    own = signed.select("_h", "_g", "doc_id", "text", "sig")
+    following = own if follow.count() == keyed.count() else own.dropDuplicates(["_h", "_g"])
+    nexts = following.join(follow, ["_h", "_g"]).select(F.col("_ph").alias("_h"), F.col("_pg").alias("_g"), F.col("doc_id").alias("next_id"), F.substring(F.col("text"), F.lit(1), F.col("_half")).alias("next_text"), F.col("sig").alias("next_sig"))
+    both = own.join(nexts, ["_h", "_g"])
     n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = rows.withColumn("edited", edited).withColumn("edited_sig", signatures(F.col("edited")))
-    return rows.select(
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.col("next_text"))
+    both = both.withColumn("edited", edited).withColumn("edited_sig", compact(signatures(F.col("edited"))))
+    return both.select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         written(F.col("sig")).alias("fingerprint"), written(F.col("edited_sig")).alias("edited_fingerprint"),
         likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"), likeness(F.col("sig"), F.col("next_sig")).alias("near_next"),
-        F.size("sig").alias("n_signatures"),
+        F.size("sig").alias("n_signatures"), "next_id",
     )
 
 
