@@ -35,6 +35,52 @@ def test_long_words_come_in_portions(library):
     assert ids.tolist() == library.encode(word.decode(), add_special_tokens=False).ids
 
 
+def test_every_code_point(library):
+    """Alone between letters, and after a mark, which shows its class in normal form."""
+    ours = Transducer(PATH)
+    points = [chr(i) for i in range(1, 0x110000) if not 0xD800 <= i < 0xE000]
+    for form in ("a{0}b 1{0}", "e\u0345{0}\u0301"):
+        texts = [" ".join(map(form.format, points[i : i + 512])) for i in range(0, len(points), 512)]
+        for text, ids, want in zip(texts, ours.encode_batch(texts), library.encode_batch(texts, add_special_tokens=False)):
+            assert ids.tolist() == want.ids, text
+
+
+def test_the_whole_table(library, sf):
+    import pandas as pd
+
+    for name, column in (("documents", "text"), ("pages", "html"), ("conversations", "text")):
+        texts = pd.read_parquet(f"{sf}/{name}.parquet")[column].fillna("").tolist()
+        for ids, want in zip(Transducer(PATH).encode_batch(texts), library.encode_batch(texts, add_special_tokens=False)):
+            assert ids.tolist() == want.ids
+
+
+@pytest.mark.parametrize("portion", [1, 2, 3, 7, 50])
+def test_runs_without_spaces_are_streamed(library, monkeypatch, portion):
+    from tidewatt.llm import bpe
+
+    monkeypatch.setattr(bpe, "PORTION", portion)
+    ours, rng = Transducer(PATH), random.Random(portion)
+    parts = ["'", "s", "re", "'ve", "l", "'ll", "a", "é", "e\u0301", "\u0345", "1", "ᄀ", "ᅡ", "ᆨ", "!!", "-", "が", "か\u3099", "Σ", " ", "\t", "\u3000", "\n", "\x1f", "İ", "𑤸", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts[: rng.choice((4, 16, 20, len(parts)))], k=rng.randint(1, 60))) for _ in range(300)] + ["x" * 3000 + "1" + "=" * 2500 + "'s"]
+    for text, ids, want in zip(texts, ours.encode_batch(texts), library.encode_batch(texts, add_special_tokens=False)):
+        assert ids.tolist() == want.ids, text
+
+
+def test_memory_stays_bounded_on_one_long_word(library):
+    import tracemalloc
+
+    rng = random.Random(9)
+    text = "".join(rng.choices("abcdefghijklmnop", k=1 << 19)) + "=" * 100_000
+    ours, count = Transducer(PATH), 0
+    ours.encode("x" * 5000)
+    tracemalloc.start()
+    for _, ids in ours.stream([text]):
+        count += len(ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == len(library.encode(text, add_special_tokens=False).ids) and peak < 8 * (1 << 20)
+
+
 def test_decoding_in_portions(library):
     ours = Transducer(PATH)
     ids = ours.encode("Été, 漢字 and the end €5")
@@ -145,8 +191,11 @@ def test_near_duplicates_equal_brute_force(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_crowded_keys_lose_no_link(spark, monkeypatch):
+@pytest.mark.parametrize("splits", [3, 0])
+def test_crowded_keys_lose_no_link(spark, monkeypatch, splits):
     monkeypatch.setattr(simhash, "BLOCK", 3)
+    monkeypatch.setattr(simhash, "TILE", 4)
+    monkeypatch.setattr(simhash, "SPLITS", splits)
     rng = random.Random(2)
     fps = set()
     for _ in range(6):
@@ -162,3 +211,14 @@ def test_crowded_keys_lose_no_link(spark, monkeypatch):
     edges = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"))
     roots = {r["node"]: r["root"] for r in components(edges, "a", "b").collect()}
     assert [roots.get(f, f) for f in fps] == slow_components(fps, [f % (1 << 64) for f in fps])
+
+
+def test_one_row_stays_whatever_the_ids(spark):
+    """Ids that repeat with other texts, and null ids, neither lose a text nor keep a copy."""
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"{x}{rng.randint(0, 99)}" for _ in range(60)) for x in "abcd")
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "x"), (1, b, "w"), (2, a, "x"), (None, a, "x"), (None, c, "x"), (None, c, "x"), (None, d, "x"), (3, d, "y"), (4, None, "x"), (5, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, root string")
+    want = [(1, a, "x"), (1, b, "w"), (3, d, "y"), (4, None, "x"), (None, c, "x")]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(map(tuple, simhash.kept(docs).collect()), key=key) == sorted(want, key=key)

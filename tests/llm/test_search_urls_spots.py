@@ -20,8 +20,8 @@ def brute(rows, k, every):
 
 @pytest.mark.parametrize("block", [8192, 16])
 def test_neighbours_equal_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(neighbours, "BLOCK", block)
-    monkeypatch.setattr(neighbours, "QUERY_BLOCK", max(2, block // 8))
+    monkeypatch.setattr(neighbours, "BLOCK_BYTES", 64 * block)
+    monkeypatch.setattr(neighbours, "QUERY_BYTES", 8 * block)
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.standard_normal(8).astype("f4") * (1 + i % 3)]) for i in range(150)]
     rows += [(200 + i, rows[7][1]) for i in range(40)] + [(300, None), (301, [0.0] * 8), (302, [float("nan")] * 8), (303, [1.0] * 7 + [None]), (304, [1.0]), (None, [1.0] * 8), (305, [float("inf")] * 8)]
@@ -49,6 +49,26 @@ def test_repeated_queries_are_searched_once(spark):
     assert [r[1] for r in least] == [*range(1, 21)] and np.isclose(least[0][3], max(np.dot(other[1], v) for i, v in rows if i))
 
 
+def test_values_of_any_size_and_length_take_part(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.standard_normal(24) * 10.0 ** (0 if i % 3 else rng.integers(-150, 150))).tolist()) for i in range(200)]
+    rows[0] = (0, [float(x) * 1e-200 for x in rng.standard_normal(24)])
+    rows[10] = (10, [float(x) * 1e200 for x in rng.standard_normal(24)])
+    rows[15] = (15, (np.array(rows[5][1]) * 1e150).tolist())
+    rows += [(300 + i, rng.standard_normal(3).tolist()) for i in range(30)] + [(400, [1e-320] * 24), (401, [1.7e308] * 24)]
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 5 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    by = {i: np.array(v) for i, v in rows}
+    with np.errstate(all="ignore"):
+        for i in by:
+            if i % 5 == 0:
+                score = {j: float((by[i] * v).sum()) for j, v in by.items() if j != i and len(v) == len(by[i])}
+                want = sorted(score, key=lambda j: (-score[j] if score[j] == score[j] else np.inf, j))[:20]
+                assert len(got[i]) == 20 and len({j for j, _ in got[i]} & set(want)) >= 19
+                assert all(s == score[j] or s == pytest.approx(score[j]) for j, s in got[i] if score[j] == score[j])
+
+
 def test_recall_on_the_table(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
     rows = df.select("vec_id", "embedding").collect()
@@ -69,8 +89,9 @@ def test_recall_on_the_table(spark, sf):
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     c, q = rng.standard_normal((400, 64)), rng.standard_normal((20, 64))
-    estimate, error = neighbours.Codes(c).estimates(q / np.linalg.norm(q, axis=1)[:, None] @ neighbours.rotation(64))
-    true = q / np.linalg.norm(q, axis=1)[:, None] @ c.T
+    q, c = (x / np.linalg.norm(x, axis=1)[:, None] for x in (q, c))
+    estimate, error = neighbours.Codes.of(c).estimates(q @ neighbours.rotation(64))
+    true = q @ c.T
     assert np.mean((estimate - error <= true) & (true <= estimate + error)) > 0.99
 
 
@@ -90,9 +111,10 @@ def slow_parts(url):
 def test_urls(spark):
     some = [None, "", "x", "a/b://c", "http://", "HTTP://WWW.Example.ORG/es/1?x=1#y", "http://example.org/en/12", "http://example.org?/es/", "http://notexample.org/es/", "http://a.com/fr/x", "http://a.com/de/", "http://a.com#/de/", "http://É.com/fr/",
             "http://org", "http://org/", "http://u:p@h.com:80/de/1/2", "http://x.net/a?u=http://b.org/c", "http://a.b?c/d"]
-    some += [f"http://{'casino-win' if i % 4 == 0 else 'news'}.example.net/en/{i}?page={i}" for i in range(60)] + ["http://casino-win.example.net/new", "http://news.example.net/new"]
+    some += [f"http://{'casino-win' if i % 4 == 0 else 'news'}.example.net/en/{i}?page={i}" for i in range(60)] + ["http://casino-win.example.net/new", "http://news.example.net/new", "http://a.net/" + "x/" * 200_000]
+    some[-3:] = [some[-1], *some[-3:-1]]
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(some)] + [(0, None, "x")], "page_id long, url string, verdict string")
-    labelled = urls.seed_labels(pages)
+    labelled = pages.where("url is not null").select("url", F.contains("url", F.lit("//casino")).cast("double").alias("blocked"))
     got = {r["page_id"]: r for r in urls.filter_urls(pages, RULES, labelled).collect()}
     for i, u in enumerate(some):
         host, path = slow_parts(u)
@@ -103,6 +125,57 @@ def test_urls(spark):
     assert got[len(some) - 2]["verdict"] == "block" and got[len(some) - 1]["verdict"] == "allow"
     assert urls.filter_urls(pages.limit(0), RULES, labelled).count() == 0
     assert {r["verdict"] for r in urls.filter_urls(pages, [], labelled.limit(0)).collect()} == {"allow"}
+    two = [spark.createDataFrame([(f"http://{x}.com/", 0.0), ("http://b.net/", 1.0)], "url string, blocked double") for x in ("a", "c", "d", "e", "f")]
+    assert all({r["verdict"] for r in urls.filter_urls(pages.limit(3), [], t).collect()} <= {"allow", "block"} for t in two)
+
+
+def slow_features(url):
+    import math
+    from collections import Counter
+
+    host, path = slow_parts(url)
+    u = url or ""
+    digits = lambda t: sum(c in "0123456789" for c in t) / max(1, len(t))
+    query = u.split("?", 1)[1].split("#")[0].split("?")[-1] if "?" in u else ""
+    return {
+        "url_length": len(u), "host_length": len(host), "path_length": len(path), "depth": path.count("/"), "digits": digits(u), "host_digits": digits(host),
+        "entropy": -sum(n / len(host) * math.log2(n / len(host)) for n in Counter(host).values()), "parameters": query.count("&") + 1 if query else 0,
+        "hyphens": host.count("-"), "dots": host.count("."), "longest_label": max(map(len, host.split("."))), "secure": float(u.startswith("https:")),
+    }
+
+
+def slow_ends(url):
+    host, path = slow_parts(url)
+    first = "/" + path[1:].split("/")[0] if path else ""
+    rest = path[len(first) :]
+    return {"suffix2": ".".join(host.split(".")[-2:]), "suffix3": ".".join(host.split(".")[-3:]), "prefix1": first, "prefix2": first + rest[:2]}
+
+
+def test_url_features_equal_brute_force(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("url").union(spark.createDataFrame([("http://a-b.c?x=1&y#z",), ("no scheme",), ("HTTPS://É.x/ü/2",)], "url string"))
+    labels = {r["url"]: r["blocked"] for r in urls.rule_labels(pages, RULES).collect()}
+    every = [r["url"] for r in pages.distinct().collect()]
+    decided = lambda u: max((r for r in RULES if ("." + slow_parts(u)[0]).endswith("." + r[1].partition("/")[0]) and slow_parts(u)[1].startswith("/" + r[1].partition("/")[2])), key=lambda r: len(r[1]), default=None)
+    assert labels == {u: float(decided(u)[0] == "block") for u in every if decided(u)}
+    trees = urls.UrlTrees(urls.rule_labels(pages, RULES))
+    prior = sum(labels.values()) / len(labels)
+    half = {r["url"] for r in pages.distinct().where(F.pmod(F.xxhash64(F.lit("half"), "url"), F.lit(2)) == 0).collect()}
+    for r in trees._statistics(urls.lexical(urls.with_parts(pages.distinct()))).collect():
+        want = slow_features(r["url"])
+        for k, end in slow_ends(r["url"]).items():
+            same = [b for u, b in labels.items() if u in half and slow_ends(u)[k] == end]
+            want[k] = (sum(same) + 2 * prior) / (len(same) + 2)
+        assert {k: r[k] for k in want} == pytest.approx(want), r["url"]
+
+
+def test_held_out_urls(spark):
+    """Of the URLs that rules decide, a quarter is kept from the trees."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    labelled = urls.rule_labels(pages, RULES).distinct().withColumn("held", F.crc32("url") % 4 == 0)
+    trees = urls.UrlTrees(labelled.where("not held").select("url", "blocked"))
+    judged = trees.judge(urls.with_parts(labelled.where("held"))).select("blocked", "blocked_score").collect()
+    assert len(judged) > 200
+    assert np.mean([(r["blocked_score"] >= 0.5) == r["blocked"] for r in judged]) > 0.95
 
 
 def test_spot_fingerprints(spark):
@@ -110,13 +183,13 @@ def test_spot_fingerprints(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t in texts.items()] + [(None, "a null id", "x"), (6, texts[6], "x")], "doc_id long, text string, fingerprint string")
     got = spots.fingerprint_documents(docs).collect()
     assert len(got) == 11
-    order = sorted(((r[0], r[1] or "") for r in docs.select("doc_id", "text").collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    order = [(None, "a null id"), *((i, t or "") for i, t in sorted(texts.items()))]
     edited = {}
     for k, (i, t) in enumerate(order):
         h = len(t) // 2
-        edited.setdefault(i, []).append(hashlib.sha256((t[: len(t) - h] + order[(k + 1) % len(order)][1][:h]).encode()).hexdigest())
+        edited[i] = hashlib.sha256((t[: len(t) - h] + order[(k + 1) % len(order)][1][:h]).encode()).hexdigest()
     for r in got:
-        assert r["edited_sha256"] in edited[r["doc_id"]] and 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        assert r["edited_sha256"] == edited[r["doc_id"]] and 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
     by = {r["doc_id"]: r for r in got}
     assert by[1]["fingerprint"] == by[6]["fingerprint"] != by[9]["fingerprint"]
     assert by[2]["fingerprint"] == by[3]["fingerprint"] == by[4]["fingerprint"] == "" and by[5]["n_signatures"] == 1
@@ -167,12 +240,28 @@ def test_license_query_equals_sql(spark, sf):
     assert sorted((tuple(r[c] for c in names) for r in op7_license_scan(spark, sf).collect()), key=key) == sorted(q.fetchall(), key=key)
 
 
-def test_next_row_over_many_buckets(spark, monkeypatch):
-    monkeypatch.setattr(spots, "BUCKET_ROWS", 3)
-    ids = sorted(random.Random(0).sample(range(10_000), 60)) + [1_000_000]
-    docs = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
-    got = {r["doc_id"]: r["next_text"] for r in spots.with_next(docs, ["text"]).collect()}
-    assert got == {i: f"t{ids[(k + 1) % len(ids)]}" for k, i in enumerate(ids)}
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_next_row_over_many_buckets(spark, kind):
+    ids = sorted(random.Random(0).sample(range(10_000), 300)) + [10**12]
+    rows = [(i if kind == "long" else f"{i:020}", f"t{i}") for i in ids]
+    docs = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(5)
+    got = {r["doc_id"]: r["next_id"] for r in spots.fingerprint_documents(docs).collect()}
+    assert got == {i: rows[(k + 1) % len(rows)][0] for k, (i, _) in enumerate(rows)}
+
+
+def test_next_row_with_crowds(spark):
+    """Many rows without an id, many that share one and many copies are spread over buckets, and each has one next row."""
+    rows = [(None, f"null {i}") for i in range(400)] + [(7, f"seven {i}") for i in range(400)] + [(9, "a copy")] * 400 + [(10**15, "last")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_h"), F.xxhash64(F.lit(1), "doc_id", "text").alias("_g"), F.lit(1).alias("_half"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sizes = [r["count"] for r in spots.placed(keyed).groupBy("_b").count().collect()]
+    got = spots.fingerprint_documents(docs).collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 2 and max(sizes) < 500
+    assert len(got) == len(rows)
+    assert [r["next_id"] for r in got if r["doc_id"] == 9] == [10**15] * 400 and [r["next_id"] for r in got if r["doc_id"] == 10**15] == [None]
+    assert sorted(r["next_id"] for r in got if r["doc_id"] == 7) == [7] * 399 + [9] and sorted(r["next_id"] or 0 for r in got if r["doc_id"] is None) == [0] * 399 + [7]
 
 
 def test_near_pairs_lose_no_link(spark):
@@ -199,3 +288,18 @@ def test_licences(spark):
     assert [got[i]["license"] for i in range(1, 10)] == ["Apache-2.0", "MIT", "MIT", "CC-BY-NC-4.0", None, None, "Proprietary", "Apache-2.0", "Apache-2.0"]
     assert [got[i]["inherited_from"] for i in (1, 2, 4, 8)] == [None, "/a/b", None, "/a"]
     assert licences.scan(df).count() == len(files) and licences.scan(df.limit(0)).count() == 0
+
+
+def test_wrapped_and_whole_licences(spark):
+    """Headers over several lines, in long lines and in comments; whole licence files by body or title."""
+    bsd = licences.TEMPLATES["BSD-3-Clause"][1]
+    mit = licences.TEMPLATES["MIT"][2]
+    wrap = lambda t, n, sign="": "\n".join(sign + " ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    gpl = licences._FREE.format("GNU General Public License", 3)
+    files = [
+        (1, "/a/LICENSE", "Copyright (c) 2020 Somebody\n\n" + wrap(mit, 9)), (2, "/b/COPYING", "Copyright 2019, X.\n\n" + wrap(bsd, 11)), (3, "/c/LICENSE", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\n" + wrap("a free text of some other words here " * 900, 12)),
+        (4, "/d/x.c", wrap(gpl, 10, "// ") + "\nint main() {}\n" * 300), (5, "/e/y.py", "word " * 4000 + "end. Released under the MIT License. " + "word " * 4000), (6, "/f/z.c", wrap("x y z. " + licences.TEMPLATES["Apache-2.0"][2], 8, " * ")),
+        (7, "/g/long.txt", "license " * 100_000), (8, "/h/LICENSE", wrap(licences.TEMPLATES["BSD-2-Clause"][0], 10)),
+    ]
+    got = {r["id"]: r["own_license"] for r in licences.scan(spark.createDataFrame(files, "id long, path string, text string")).collect()}
+    assert got == {1: "MIT", 2: "BSD-3-Clause", 3: "GPL-2.0", 4: "GPL-3.0", 5: "MIT", 6: "Apache-2.0", 7: None, 8: "BSD-2-Clause"}
