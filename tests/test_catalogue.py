@@ -3,7 +3,7 @@ import math
 import duckdb
 import pytest
 
-from tidewatt.plans import catalogue
+from tidewatt.plans import catalogue, market_queries  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

@@ -1,5 +1,6 @@
 from datetime import date, datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,9 +128,57 @@ def test_generation_and_flows(spark):
 
 
 def test_prices_and_load(spark):
-    p = points(spark, dict(price=4.0, business_type="A95", direction="A01"), dict(price=None, doc=1, business_type="A95", direction="A01"), dict(price=2.0, business_type="A95", direction="A02"))
-    assert market.day_ahead_prices(p).first()["price"] == 4.0 or market.day_ahead_prices(p).first()["price"] == 2.0
+    p = points(spark, dict(price=4.0, business_type="A95", direction="A01"), dict(price=None, doc=1, business_type="A95", direction="A01"), dict(price=2.0, series=1, business_type="A95", direction="A02"))
+    assert market.day_ahead_prices(p).first()["price"] == 2.0
     b = market.balancing_energy(p, {("A95", "A01"): "fcr_up", ("A95", "A02"): "fcr_down"}).first()
     assert (b["fcr_up"], b["fcr_down"]) == (4.0, 2.0)
     got = market.load(points(spark, dict(quantity=1.0), dict(quantity=None, doc=1)), points(spark, dict(quantity=3.0, position=2))).orderBy("period").collect()
     assert [tuple(r)[1:] for r in got] == [(5, None, None), (6, None, 3.0)]
+
+
+def test_outage_documents(spark):
+    resource = "production_RegisteredResource"
+    series = (
+        f"<TimeSeries><mRID>1</mRID><{resource}.location.name>Plant</{resource}.location.name><{resource}.pSRType.powerSystemResources.nominalP>100</{resource}.pSRType.powerSystemResources.nominalP>"
+        "<start_DateAndOrTime.date>2024-01-01</start_DateAndOrTime.date><start_DateAndOrTime.time>05:00:00Z</start_DateAndOrTime.time><end_DateAndOrTime.date>2024-01-02</end_DateAndOrTime.date>{0}"
+        "<Available_Period><timeInterval><start>2024-01-01T05:00Z</start><end>2024-01-01T06:00Z</end></timeInterval><resolution>PT60M</resolution><Point><position>1</position><quantity>120</quantity></Point></Available_Period>"
+        "<Available_Period><timeInterval><start>2024-01-01T06:00Z</start><end>2024-01-01T07:00Z</end></timeInterval><resolution>PT60M</resolution><Point><position>1</position></Point></Available_Period></TimeSeries>"
+    )
+    own = "<Reason><code>B18</code><text>own</text></Reason>"
+    head = "<mRID>d</mRID><Reason><code>B19</code></Reason>"
+    text = f"<D>{head}{series.format('')}{series.format(own)}</D>"
+    a, b = documents.outages(spark.createDataFrame([(text,)], "text string")).collect()
+    assert (a["doc_status"], a["revision_number"], a["location_name"], a["max_unavailable_mw"]) == ("A05", 0, "Plant", -20.0)
+    assert (a["unavail_start"], a["unavail_end"]) == (datetime(2024, 1, 1, 5), datetime(2024, 1, 2))
+    assert [(p["position"], p["point_start"].hour, p["available_mw"]) for p in a["points"]] == [(1, 5, 120.0), (2, 6, None)]
+    assert (a["reason_code"], a["reason_text"], b["reason_code"], b["reason_text"]) == ("B19", None, "B18", "own")
+
+
+def test_plant_outages(spark):
+    hour = lambda h, m=0: datetime(2024, 1, 1, h, m)
+    rows = [("p", "gas", True, 1, 90.0, hour(0), hour(1), 1), ("p", "gas", True, 2, 50.0, hour(0, 30), hour(2), 2), ("p", "gas", False, 3, 10.0, hour(0), hour(2), 3), ("q", None, True, 1, 5.0, hour(1), hour(1, 5), 4), ("r", "gas", True, 1, 7.0, hour(2), hour(2), 5)]
+    events = spark.createDataFrame(rows, "plant string, fuel string, active boolean, revision int, unavailable_mw double, start timestamp_ntz, end timestamp_ntz, id int")
+    hours = spark.createDataFrame([(hour(h),) for h in range(3)], "slot timestamp_ntz")
+    got = [tuple(r) for r in market.plant_outages(hours, events).orderBy("slot").collect()]
+    assert got == [(hour(0), 1, 50.0, {"gas": 50.0}), (hour(1), 2, 55.0, {"gas": 50.0, "?": 5.0}), (hour(2), 0, 0.0, None)]
+
+
+def test_areas_are_kept_apart(spark):
+    both = lambda **x: points(spark, dict(doc=0, **x), dict(doc=1, **{k: v * 10 for k, v in x.items()})).withColumn("country_code", F.when(F.col("doc") == 0, "CZ").otherwise("SK"))
+    got = market.load(both(quantity=1.0), both(quantity=2.0)).orderBy("country_code").collect()
+    assert [(r["country_code"], r["actual_load_mw"], r["forecast_load_mw"]) for r in got] == [("CZ", 1.0, 2.0), ("SK", 10.0, 20.0)]
+    prices = market.day_ahead_prices(both(price=3.0)).orderBy("country_code").collect()
+    assert [r["price"] for r in prices] == [3.0, 30.0]
+
+
+def test_wind_of_documents(spark):
+    series = lambda kind, q: f"<TimeSeries><MktPSRType><psrType>{kind}</psrType></MktPSRType><Period><timeInterval><start>2024-01-01T00:00Z</start><end>2024-01-01T00:15Z</end></timeInterval><resolution>PT15M</resolution><Point><position>1</position>{q}</Point></Period></TimeSeries>"
+    text = f"<D>{series('B19', '<quantity>4</quantity>')}{series('B18', '')}{series('B16', '<quantity>9</quantity>')}</D>"
+    p = documents.curve_points(spark.createDataFrame([(0, text)], "doc int, text string"))
+    assert [tuple(r)[1:] for r in market.wind(p).collect()] == [(5, 4.0, 0.0, 4.0)]
+
+
+def test_two_level_headers():
+    sheet = pd.DataFrame([["", "", "Total", None, "Daily market", None], ["Delivery day", "Period", "Buy (MW)", "Sell (MW)", "Buy (MW)", "Sell (MW)"], ["2024-01-01", "00:00 - 00:15", 1, 2, 3, 4], [None, None, 9, 9, 9, 9]])
+    got = documents.located_two_levels(sheet, 0, {"day": ("", "Delivery day"), "buy": ("Daily market", "Buy (MW)"), "sell": ("Total", "Sell (MW)"), "none": ("Total", "x")})
+    assert got.values.tolist() == [["2024-01-01", 3, 2, None]]

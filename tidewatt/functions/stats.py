@@ -37,6 +37,12 @@ def slope(y: Column | str, x: Column | str) -> Column:
     return F.regr_slope(y, x)
 
 
+def half_even(x: Column | str, digits: int = 2) -> Column:
+    """A number's decimal spelling, rounded half to even, as decimal(28, digits)."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.bround(x.cast("string").cast("decimal(28,12)"), digits).cast(f"decimal(28,{digits})")
+
+
 def none_as_zero(*columns: Column | str) -> Column:
     """Sum of columns in which nulls count as 0."""
     total = F.lit(0.0)

@@ -19,7 +19,9 @@ def islands(df: DataFrame, at: str, unit_seconds: int) -> DataFrame:
     """first, last, n of runs of consecutive instants. The runs are found per day, joined over
     midnight within decades, and over the ends of decades, so tasks see a day's points, a decade's
     runs, or two runs of each decade."""
-    step = lambda c: F.unix_seconds(c.cast("timestamp")) / unit_seconds
+    # Wall clocks are counted as they read, whatever the session's zone.
+    epoch = F.expr("timestamp_ntz '1970-01-01 00:00:00'")
+    step = lambda c: F.timestamp_diff("SECOND", epoch, c.cast("timestamp_ntz")) / unit_seconds
     points = df.select(F.floor(step(F.col(at))).cast("long").alias("k")).where("k is not null").distinct()
     per_day = max(1, 86400 // unit_seconds)
     numbered = points.withColumn("d", F.floor(F.col("k") / per_day)).withColumn("g", F.col("k") - F.row_number().over(Window.partitionBy("d").orderBy("k")))
@@ -33,7 +35,7 @@ def islands(df: DataFrame, at: str, unit_seconds: int) -> DataFrame:
     every = Window.partitionBy().orderBy("a")
     ends = joined.where("edge").select("a", "b").withColumn("o", F.when(F.col("a") == F.lag("b").over(every) + 1, 0).otherwise(1)).withColumn("r", F.sum("o").over(every.rowsBetween(Window.unboundedPreceding, 0)))
     whole = joined.where("not edge").select("a", "b").unionByName(ends.groupBy("r").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("r"))
-    back = lambda c: F.timestamp_seconds(c * unit_seconds).cast("timestamp_ntz")
+    back = lambda c: F.timestamp_add("SECOND", c * unit_seconds, epoch)
     return whole.select(back(F.col("a")).alias("first"), back(F.col("b")).alias("last"), (F.col("b") - F.col("a") + 1).alias("n"))
 
 
@@ -51,6 +53,17 @@ def coverage(df: DataFrame, day: str, per_day: int) -> DataFrame:
     return found.select("first_day", "last_day", "actual", expected.alias("expected"), F.round(100.0 * F.col("actual") / expected, 2).alias("percent"))
 
 
+def without_data(wanted: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Those that the table has no row for, such as areas and days still to be fetched."""
+    return wanted.join(table.select(*keys), keys, "left_anti")
+
+
+def unanswered(requests: DataFrame, log: DataFrame, field: str, now: Column, hours: int = 24) -> DataFrame:
+    """Requests that no log row of the last hours with status 200 names in its response_body's field."""
+    done = log.where((F.col("response_status") == 200) & (F.col("created_at") > now - F.make_dt_interval(F.lit(0), F.lit(hours))))
+    return requests.join(done.select(F.get_json_object("response_body", f"$.{field}").alias(field)), field, "left_anti")
+
+
 def status(percent: Column) -> Column:
     return F.when(percent.isNull() | (percent == 0), "EMPTY").when(percent >= 99, "OK").when(percent >= 90, "WARN").otherwise("GAPS")
 

@@ -60,6 +60,20 @@ def combine(a: DataFrame, b: DataFrame, keys: list[str], defaults: dict[str, obj
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
+def consolidate(parts: dict[object, DataFrame], column: str) -> DataFrame:
+    """Tables under one another; the column says which one a row is from. What a table lacks is null."""
+    out = None
+    for name, df in parts.items():
+        part = df.withColumn(column, F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def duplicated(df: DataFrame, value: str, names: list[str]) -> DataFrame:
+    """One value under several names, such as one that holds for both directions."""
+    return df.withColumns({n: F.col(value) for n in names}).drop(value)
+
+
 def mapped(column: Column, table: dict[str, str]) -> Column:
     """The table's value, null for what it lacks."""
     return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[column]

@@ -68,14 +68,39 @@ def append_newer(target: DataFrame, source: DataFrame, column: str, default: Col
     return target.unionByName(new)
 
 
+def append_lookback(target: DataFrame, source: DataFrame, column: str, keys: list[str], days: int = 90, default: str = "1970-01-01") -> DataFrame:
+    """Source rows from so many days before the target's high-water mark on are added where their
+    key is absent. The source's other columns, such as an id, are left behind."""
+    low = F.coalesce(F.max(column) - F.make_dt_interval(F.lit(days)), F.lit(default).cast(target.schema[column].dataType))
+    mark = target.agg(low.alias("_mark"))
+    recent = source.crossJoin(F.broadcast(mark)).where(F.col(column) >= F.col("_mark"))
+    return insert_absent(target, recent.select(*target.columns), keys)
+
+
+def sync(registry: dict[str, tuple[str, list[str]]], targets: dict[str, DataFrame], sources: dict[str, DataFrame], days: int = 90) -> dict[str, DataFrame]:
+    """append_lookback for each table of the registry (time column, keys) that has a source."""
+    return {n: append_lookback(targets[n], sources[n], at, keys, days) for n, (at, keys) in registry.items() if n in sources and n in targets}
+
+
+def audit_rows(df: DataFrame, payload: list[str], body: list[str], at: Column) -> DataFrame:
+    """Rows for a log: the other columns, payload and response_body as JSON, and the time. A body
+    whose columns are all null is null."""
+    answered = None
+    for c in body:
+        answered = F.col(c).isNotNull() if answered is None else answered | F.col(c).isNotNull()
+    rest = [c for c in df.columns if c not in {*payload, *body}]
+    return df.select(*rest, F.to_json(F.struct(*payload)).alias("payload"), F.when(answered, F.to_json(F.struct(*body))).alias("response_body"), at.alias("created_at"))
+
+
 def delete_without(target: DataFrame, complete: DataFrame, keys: list[str]) -> DataFrame:
     """Only rows whose keys are complete stay."""
     return target.join(complete.select(*keys).distinct(), keys, "left_semi")
 
 
 def swap_in(df: DataFrame, path: str) -> None:
-    """Writes beside the table, then renames through the path's own file system: readers see the
-    old or the new table. Works where df reads from the path itself."""
+    """Writes beside the table, then renames twice through the path's own file system. Between the
+    renames readers can find no table; otherwise they see the old or the new one. Works where df
+    reads from the path itself."""
     spark = df.sparkSession
     jvm = spark._jvm
     to = jvm.org.apache.hadoop.fs.Path(path)

@@ -453,7 +453,8 @@ def last_wins(spark, sf_dir):
     return _t(spark, sf_dir, "events").groupBy("user_id").agg(stats.last_by("value", "ts", "event_id").alias("last_value"), F.max("ts").alias("last_ts"))
 
 
-@query()
+@query("""with p as (select o_custkey, cast(row_number() over (partition by o_custkey order by o_orderkey) as int) as position, o_totalprice quantity from orders), t as (select *, timestamp '2024-03-31' + to_minutes(cast((position - 1) * 15 as int)) "at" from p)
+ select o_custkey, position, "at", cast(hour(l) * 4 + minute(l) // 15 + 1 as int) as period, quantity from (select *, ("at" at time zone 'UTC') at time zone 'Europe/Prague' l from t)""")
 def xml_curve_points(spark, sf_dir):
     """Customers' orders as curve documents of one series each, parsed back to points."""
     o = _t(spark, sf_dir, "orders").withColumn("_p", F.row_number().over(_by_customer()))

@@ -3,14 +3,14 @@ documents to quarters and hours. The operators do the work; this is the wiring."
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatt.functions import stats
 from tidewatt.functions import timegrid as T
-from tidewatt.operators import resample, reshape
+from tidewatt.operators import intervals, resample, reshape
 from tidewatt.operators.resample import Rule
-from tidewatt.sources.documents import PRICE_PARTS
+from tidewatt.sources.documents import GENERATION, PRICE_PARTS
 
 #: Fixed limits of the features: minutes a quarter must have, and the prices that count as floor and peak.
 LEAST_MINUTES, FLOOR_EUR, PEAK_EUR = 12, -500, 500
@@ -87,10 +87,21 @@ def _all(rule: str, names: str) -> dict[str, Rule]:
     return {n: (rule, n) for n in names.split()}
 
 
+def _statistics(names: str, unit: str) -> dict[str, Rule]:
+    """Means of the quarters' means and medians, and the last of their last values."""
+    return {f"{n}_{s}_{unit}": ("last" if s == "last_at_interval" else "mean", f"{n}_{s}_{unit}") for n in names.split() for s in ("mean", "median", "last_at_interval")}
+
+
 #: Hours from quarters: table -> (keys beside the day, rules). All have the gate of four quarters.
 ROLL_UPS: dict[str, tuple[list[str], dict[str, Rule]]] = {
     "imbalance": ([], _all("mean", "system_imbalance_mean_mw system_imbalance_median_mw")),
     "estimated_price": ([], _all("mean", "estimated_price_czk_mwh")),
+    "re_price": ([], _statistics("price_afrr_plus price_afrr_minus price_mfrr_plus price_mfrr_minus price_mfrr_5", "eur_mwh")),
+    "svr_activation": ([], _statistics("afrr_plus afrr_minus mfrr_plus mfrr_minus", "mw")),
+    "export_import_svr": ([], _statistics("imbalance_netting mari_mfrr picasso_afrr sum_exchange", "mw")),
+    "minute_generation": ([], _all("mean", "tpp_mw ccgt_mw npp_mw hpp_mw pspp_mw altpp_mw appp_mw wpp_mw pvpp_mw")),
+    "generation_plan": ([], _all("mean", "total_mw")),
+    "generation_res": ([], _statistics("wind solar", "mw")),
     "derived": ([], _all("last", "imb_roll_2h imb_roll_4h imb_integral_4h solar_error_mw wind_error_mw gen_total_error_mw")),
     "da_period_summary": ([], _all("mean", "clearing_price supply_next_price supply_price_gap demand_next_price demand_price_gap") | _all("sum", "clearing_volume supply_next_volume supply_volume_gap demand_next_volume demand_volume_gap")),
     "da_curve_depth": ([], _all("mean", "clearing_price " + " ".join(f"{d}_{w}" for d in ("supply", "supply_matched", "demand", "demand_matched") for w in ("mw", "price", "slope")))),
@@ -99,9 +110,12 @@ ROLL_UPS: dict[str, tuple[list[str], dict[str, Rule]]] = {
     "weather_forecast": (["forecast_made_at"], _all("mean", "temperature radiation direct_radiation cloud wind")),
     "weather_current": ([], _all("mean", "temperature radiation direct_radiation cloud wind")),
     "load": (["area_id", "country_code"], _all("mean", "actual_load_mw forecast_load_mw")),
-    "generation": (["area_id", "country_code"], _all("mean", "gen_biomass_mw gen_coal_mw gen_gas_mw gen_hydro_other_mw gen_hydro_pumped_mw gen_nuclear_mw gen_solar_mw gen_wind_mw")),
+    "generation": (["area_id", "country_code"], _all("mean", "gen_biomass_mw gen_coal_mw gen_gas_mw gen_hydro_other_mw gen_hydro_pumped_mw gen_nuclear_mw gen_solar_mw gen_wind_mw gen_wind_offshore_mw")),
+    "generation_forecast": (["area_id", "country_code"], _all("mean", "forecast_solar_mw forecast_wind_mw forecast_wind_offshore_mw")),
+    "scheduled_flows": ([], _all("mean", "scheduled_de_mw scheduled_at_mw scheduled_pl_mw scheduled_sk_mw scheduled_total_net_mw")),
+    "day_ahead_prices": (["area_id", "country_code"], _all("mean", "price_eur_mwh")),
     "flows": (["area_id"], _all("mean", "flow_de_mw flow_at_mw flow_pl_mw flow_sk_mw flow_total_net_mw")),
-    "imbalance_prices": (["area_id", "country_code"], _all("mean", "pos_imb_price_mwh neg_imb_price_mwh") | _all("sum", "imbalance_mwh difference_mwh") | _all("last", "situation status") | _all("any", "currency")),
+    "imbalance_prices": (["area_id", "country_code"], _all("mean", " ".join(f"{side}_imb_{v}_mwh" for side in ("pos", "neg") for v in ("price", *PRICE_PARTS.values()))) | _all("sum", "imbalance_mwh difference_mwh") | _all("last", "situation status") | _all("any", "currency")),
     "outages": (["area_id", "country_code"], {"total_out_mw": ("mean", "total_out_mw"), "peak_out_mw": ("max", "total_out_mw"), "n_units": ("max", "n_units")}),
 }
 
@@ -123,13 +137,20 @@ def on_grid(points: DataFrame) -> DataFrame:
 #: A period of local time, and the same with fold, which tells an autumn's repeated hour apart.
 LOCAL_KEY = ["trade_date", "period"]
 _KEY = [*LOCAL_KEY, "fold"]
+_AREA = ["area_id", "country_code"]
 _SERIES = ["doc", "series", "part", "period_start", "resolution"]
 
 
+def _key(points: DataFrame, fold: bool = True) -> list[str]:
+    """The period, within the areas where points name them, so that several areas can be in one frame."""
+    return [*[c for c in _AREA if c in points.columns], *(_KEY if fold else LOCAL_KEY)]
+
+
 def _filled(points: DataFrame, values: list[str], extra: list[str]) -> DataFrame:
     """All positions of each period, forward-filled from 0, on the grid."""
-    per = points.groupBy(*_SERIES).agg(*[F.first(c, ignorenulls=True).alias(c) for c in extra])
-    full = reshape.fill_forward(points, _SERIES, "position", "length", values).join(per, _SERIES)
+    series = [*[c for c in _AREA if c in points.columns], *_SERIES]
+    per = points.groupBy(*series).agg(*[F.first(c, ignorenulls=True).alias(c) for c in extra])
+    full = reshape.fill_forward(points, series, "position", "length", values).join(per, series)
     return on_grid(full.withColumn("at", reshape.point_time(F.col("period_start"), F.col("position"), F.col("resolution"))))
 
 
@@ -141,31 +162,32 @@ def imbalance_prices(prices: DataFrame, volumes: DataFrame) -> DataFrame:
     """Prices of positive (A04) and negative (A05) imbalance with the volumes and situation of the
     system; prices without volumes have 0.0 and surplus. Documents have doc, series, part. A point
     without one of the parts of a price has 0.0 for it."""
+    key = _key(prices)
     parts = [*PRICE_PARTS.values()]
     none = F.lit(None).cast("double")
     p = _filled(prices.withColumns({c: F.coalesce(c if c in prices.columns else none, F.lit(0.0)) for c in parts}), ["price", *parts], ["category"])
     of = lambda c, value: F.coalesce(F.max_by(F.when(F.col("category") == c, F.col(value)), F.when(F.col("category") == c, _sequence())), F.lit(0.0))
     columns = {f"{side}_imb_{v}_mwh": of(c, v) for c, side in (("A04", "pos"), ("A05", "neg")) for v in ["price", *parts]}
-    p = p.groupBy(*_KEY).agg(*[c.alias(n) for n, c in columns.items()])
+    p = p.groupBy(*key).agg(*[c.alias(n) for n, c in columns.items()])
     v = _filled(volumes, ["quantity", "difference"], ["direction"])
     situation = reshape.mapped(F.col("direction"), {"A01": "surplus", "A02": "deficit", "A03": "balanced"})
-    v = v.groupBy(*_KEY).agg(F.max_by("quantity", _sequence()).alias("imbalance_mwh"), F.max_by("difference", _sequence()).alias("difference_mwh"), F.max_by(situation, _sequence()).alias("situation"))
-    return reshape.combine(p, v, _KEY, {**dict.fromkeys(columns, 0.0), "imbalance_mwh": 0.0, "situation": "surplus"})
+    v = v.groupBy(*key).agg(F.max_by("quantity", _sequence()).alias("imbalance_mwh"), F.max_by("difference", _sequence()).alias("difference_mwh"), F.max_by(situation, _sequence()).alias("situation"))
+    return reshape.combine(p, v, key, {**dict.fromkeys(columns, 0.0), "imbalance_mwh": 0.0, "situation": "surplus"})
 
 
 def load(actual: DataFrame, forecast: DataFrame, fold: bool = False) -> DataFrame:
     """Last value wins; a null quantity counts as a value. fold: key rows by fold as well; without,
     the later of an autumn's repeated hours overwrites the earlier, as in the table's key."""
-    key = _KEY if fold else LOCAL_KEY
+    key = _key(actual, fold)
     last = lambda df, name: on_grid(df).groupBy(*key).agg(F.max_by("quantity", _sequence()).alias(name))
     return last(actual, "actual_load_mw").join(last(forecast, "forecast_load_mw"), key, "full_outer")
 
 
 def generation(points: DataFrame, kinds: dict[str, str], how: str = "sum", fold: bool = False) -> DataFrame:
     """A column for each kind of plant; points have psr_type. The finest resolution of a period and
-    column counts; there, series are summed, or the first counts (how="first", for forecasts).
+    column counts; there, series are summed, or the first (for forecasts) or last counts.
     fold: key rows by fold as well; without, an autumn's repeated hours fall together."""
-    key = _KEY if fold else LOCAL_KEY
+    key = _key(points, fold)
     rows = on_grid(points).withColumn("_column", reshape.mapped(F.col("psr_type"), kinds)).where("_column is not null").withColumn("_seq", _sequence())
     fine = reshape.finest(rows, [*key, "_column"], "resolution")
     names = sorted(set(kinds.values()))
@@ -173,29 +195,41 @@ def generation(points: DataFrame, kinds: dict[str, str], how: str = "sum", fold:
     return out.select(*key, *[F.col(n).alias(f"gen_{n}_mw") for n in names])
 
 
+def wind(points: DataFrame, fold: bool = False) -> DataFrame:
+    """Onshore, offshore and total wind of an area; the last of the finest resolution counts. The
+    total is null where both are."""
+    kinds = {k: c for k, c in GENERATION.items() if c.startswith("wind")}
+    out = generation(points.withColumn("quantity", F.coalesce("quantity", F.lit(0.0))), kinds, "last", fold)
+    on, off = F.col("gen_wind_mw"), F.col("gen_wind_offshore_mw")
+    total = F.when(on.isNotNull() | off.isNotNull(), stats.none_as_zero(on, off))
+    return out.select(*_key(points, fold), on.alias("wind_onshore_mw"), off.alias("wind_offshore_mw"), total.alias("wind_total_mw"))
+
+
 def flows(points: DataFrame, home: str, borders: dict[str, str]) -> DataFrame:
     """Signed flows by border, positive into home; of the finest resolution the last value wins and
     is not netted."""
+    key = _key(points)
     rows = on_grid(points).withColumn("_in", F.col("in_domain") == home)
     border = reshape.mapped(F.when(F.col("_in"), F.col("out_domain")).otherwise(F.col("in_domain")), borders)
     rows = rows.withColumn("_border", border).where("_border is not null").withColumn("_v", F.when(F.col("_in"), F.col("quantity")).otherwise(-F.col("quantity"))).withColumn("_seq", _sequence())
     names = sorted(set(borders.values()))
-    out = reshape.widen(reshape.finest(rows, [*_KEY, "_border"], "resolution"), _KEY, "_border", "_v", names, "last", "_seq")
-    return out.select(*_KEY, *[F.col(n).alias(f"flow_{n}_mw") for n in names], stats.none_as_zero(*names).alias("flow_total_net_mw"))
+    out = reshape.widen(reshape.finest(rows, [*key, "_border"], "resolution"), key, "_border", "_v", names, "last", "_seq")
+    return out.select(*key, *[F.col(n).alias(f"flow_{n}_mw") for n in names], stats.none_as_zero(*names).alias("flow_total_net_mw"))
 
 
 def scheduled_exchanges(points: DataFrame, home: str, borders: dict[str, str]) -> DataFrame:
     """Signed sums by border, positive into home; a total of 0 is null."""
+    key = _key(points)
     rows = on_grid(points).withColumn("_in", F.col("in_domain") == home)
     rows = rows.withColumn("_border", reshape.mapped(F.when(F.col("_in"), F.col("out_domain")).otherwise(F.col("in_domain")), borders)).where("_border is not null")
-    net = reshape.signed_net(rows, [*_KEY, "_border"], "quantity", F.col("_in"))
+    net = reshape.signed_net(rows, [*key, "_border"], "quantity", F.col("_in"))
     names = sorted(set(borders.values()))
-    return reshape.widen(net, _KEY, "_border", "quantity", names).select(*_KEY, *[F.col(n).alias(f"exchange_{n}_mw") for n in names])
+    return reshape.widen(net, key, "_border", "quantity", names).select(*key, *[F.col(n).alias(f"exchange_{n}_mw") for n in names])
 
 
 def scheduled_generation(points: DataFrame) -> DataFrame:
     """The sum of all series; 0 is null."""
-    return reshape.signed_net(on_grid(points), _KEY, "quantity", F.lit(True)).withColumnRenamed("quantity", "scheduled_mw")
+    return reshape.signed_net(on_grid(points), _key(points), "quantity", F.lit(True)).withColumnRenamed("quantity", "scheduled_mw")
 
 
 def balancing_energy(points: DataFrame, kinds: dict[tuple[str, str], str]) -> DataFrame:
@@ -203,14 +237,48 @@ def balancing_energy(points: DataFrame, kinds: dict[tuple[str, str], str]) -> Da
     rows = on_grid(points).where("price is not null").withColumn("_seq", _sequence())
     column = reshape.mapped(F.concat_ws("/", "business_type", "direction"), {"/".join(k): v for k, v in kinds.items()})
     names = list(kinds.values())
-    return reshape.widen(rows.withColumn("_column", column).where("_column is not null"), _KEY, "_column", "price", names, "last", "_seq")
+    return reshape.widen(rows.withColumn("_column", column).where("_column is not null"), _key(points), "_column", "price", names, "last", "_seq")
 
 
 def day_ahead_prices(points: DataFrame) -> DataFrame:
     """The last price that is not null."""
-    return reshape.last_known(on_grid(points).withColumn("_seq", _sequence()), _KEY, "price", "_seq", skip_null=True)
+    return reshape.last_known(on_grid(points).withColumn("_seq", _sequence()), _key(points), "price", "_seq", skip_null=True)
 
 
 def total_of_areas(df: DataFrame, values: list[str]) -> DataFrame:
     """Sums over areas by period (and fold, where there is one), such as a country of several operators."""
     return df.groupBy("country_code", *[k for k in _KEY if k in df.columns]).agg(*[F.sum(v).alias(v) for v in values])
+
+
+def plant_outages(hours: DataFrame, events: DataFrame) -> DataFrame:
+    """Per hour of the grid (column slot): plants, total_mw, and by_fuel, a map from fuel to MW. Of
+    a plant's active events in the hour the latest revision counts, and of equal ones the largest.
+    events: plant, fuel, active, revision, unavailable_mw, start, end, id (which breaks ties). Hours without one are there with 0."""
+    touched = intervals.slots_of(events.where("active and unavailable_mw is not null"), "start", "end", "60 minutes")
+    now = intervals.latest(touched, ["slot", "plant"], [F.desc("revision"), F.desc("unavailable_mw"), F.asc("id")])
+    fuels = now.groupBy("slot", "fuel").agg(F.count("*").alias("plants"), F.sum("unavailable_mw").alias("mw"))
+    per = fuels.groupBy("slot").agg(F.sum("plants").alias("plants"), F.sum("mw").alias("total_mw"), F.map_from_entries(F.collect_list(F.struct(F.coalesce("fuel", F.lit("?")), "mw"))).alias("by_fuel"))
+    return hours.join(per, "slot", "left").select(*hours.columns, F.coalesce("plants", F.lit(0)).alias("plants"), F.coalesce("total_mw", F.lit(0.0)).alias("total_mw"), "by_fuel")
+
+
+def settlement_prices(contracts: DataFrame, contract: str, by_minutes: dict[int, DataFrame], price: str) -> DataFrame:
+    """Adds the price of each contract's delivery from the table of its duration (15 and 60 minutes,
+    say); null where the duration has no table or the table no row. Tables have trade_date, time_interval."""
+    prices = reshape.consolidate({k: df.select("trade_date", "time_interval", price) for k, df in by_minutes.items()}, "_minutes")
+    c = contracts.withColumn("_c", T.contract(F.trim(contract)))
+    label = F.concat(F.date_format("_c.start", "HH:mm"), F.lit("-"), F.date_format("_c.end", "HH:mm"))
+    c = c.withColumns({"trade_date": F.to_date("_c.start"), "time_interval": label, "_minutes": F.col("_c.minutes")})
+    return c.join(prices, ["trade_date", "time_interval", "_minutes"], "left").select(*contracts.columns, "trade_date", "time_interval", price)
+
+
+def trade_ticks(rows: DataFrame, file: list[str], position: str, day: Column) -> DataFrame:
+    """Ticks of spreadsheets' rows as text: contract, qty_mw, qty_mwh, price_eur_mwh, exec_time.
+    Repeated headers and rows without a quantity (cancelled ones say SN) go; numbers that can't be
+    read are null. trade_id numbers a day's remaining rows from YYYYMMDD00000; rows whose contract
+    can't be read use up a number and go. A time that can't be read is the day's start."""
+    numbers = {c: F.col(c).try_cast("double") for c in ("qty_mw", "qty_mwh", "price_eur_mwh")}
+    kept = rows.where("contract is not null").withColumns(numbers).where("qty_mw is not null")
+    index = F.row_number().over(Window.partitionBy(*file).orderBy(position)) - 1
+    out = kept.withColumn("trade_id", F.date_format(day, "yyyyMMdd").cast("long") * 100000 + index).withColumn("_c", T.contract(F.trim("contract"))).where("_c is not null")
+    at = F.coalesce(F.try_to_timestamp(F.trim("exec_time"), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"), day.cast("timestamp_ntz"))
+    return out.select(*file, "trade_id", F.trim("contract").alias("contract"), F.col("_c.start").alias("contract_start"), F.col("_c.end").alias("contract_end"), F.col("_c.minutes").alias("contract_duration"), *numbers, at.alias("exec_time"))

@@ -17,7 +17,7 @@ from tidewatt.operators.reshape import mapped, point_time
 
 _POINT = "position INT, quantity DOUBLE, secondaryQuantity DOUBLE, `price.amount` DOUBLE, `imbalance_Price.amount` DOUBLE, `imbalance_Price.category` STRING, `activation_Price.amount` DOUBLE, Financial_Price ARRAY<STRUCT<amount DOUBLE, `priceDescriptor.type` STRING>>"
 _PERIOD = f"timeInterval STRUCT<start: STRING, `end`: STRING>, resolution STRING, Point ARRAY<STRUCT<{_POINT.replace(' INT', ': INT').replace(' DOUBLE', ': DOUBLE').replace(' STRING', ': STRING').replace(' ARRAY', ': ARRAY')}>>"
-_SERIES = f"mRID STRING, businessType STRING, `flowDirection.direction` STRING, `in_Domain.mRID` STRING, `out_Domain.mRID` STRING, curveType STRING, Period ARRAY<STRUCT<{_PERIOD.replace('timeInterval STRUCT', 'timeInterval: STRUCT').replace('resolution STRING', 'resolution: STRING').replace('Point ARRAY', 'Point: ARRAY')}>>"
+_SERIES = f"mRID STRING, businessType STRING, `flowDirection.direction` STRING, `in_Domain.mRID` STRING, `out_Domain.mRID` STRING, curveType STRING, MktPSRType STRUCT<psrType: STRING>, Period ARRAY<STRUCT<{_PERIOD.replace('timeInterval STRUCT', 'timeInterval: STRUCT').replace('resolution STRING', 'resolution: STRING').replace('Point ARRAY', 'Point: ARRAY')}>>"
 #: Types of the parts of an imbalance price to output columns.
 PRICE_PARTS = {"A01": "scarcity", "A02": "incentive", "A03": "financial_neutrality"}
 #: Generation types to output columns.
@@ -77,7 +77,7 @@ def curve_points(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     length = (F.timestamp_diff("MINUTE", start, at(F.col("_p.timeInterval.end"))) / minutes).cast("int")
     return points.select(
         *kept, "series", "part", F.col("_s.businessType").alias("business_type"), F.col("_s")["flowDirection.direction"].alias("direction"),
-        F.col("_s")["in_Domain.mRID"].alias("in_domain"), F.col("_s")["out_Domain.mRID"].alias("out_domain"), minutes.alias("resolution"), length.alias("length"),
+        F.col("_s")["in_Domain.mRID"].alias("in_domain"), F.col("_s")["out_Domain.mRID"].alias("out_domain"), F.col("_s.MktPSRType.psrType").alias("psr_type"), minutes.alias("resolution"), length.alias("length"),
         start.alias("period_start"), point_time(start, F.col("_x.position"), minutes).alias("at"), F.col("_x.position").alias("position"),
         F.col("_x.quantity").alias("quantity"), F.col("_x.secondaryQuantity").alias("difference"),
         F.coalesce(F.col("_x")["imbalance_Price.amount"], F.col("_x")["price.amount"], F.col("_x")["activation_Price.amount"]).alias("price"), F.col("_x")["imbalance_Price.category"].alias("category"),
@@ -130,6 +130,13 @@ def columnar_json(docs: DataFrame, field: str, columns: list[str]) -> DataFrame:
     return rows.select(*kept, F.try_to_timestamp(F.replace("_r.time", F.lit("T"), F.lit(" ")), F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz").alias("at"), *[F.col(f"_r.{c}").alias(c) for c in columns])
 
 
+def current_json(docs: DataFrame, field: str, columns: list[str]) -> DataFrame:
+    """{field: {"time": ..., column: ...}} as a row."""
+    parsed = docs.withColumn("_j", F.from_json("text", f"{field} STRUCT<time: STRING, {', '.join(f'{c}: DOUBLE' for c in columns)}>")[field])
+    at = F.try_to_timestamp(F.replace("_j.time", F.lit("T"), F.lit(" ")), F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")
+    return parsed.select(*[c for c in docs.columns if c != "text"], at.alias("at"), *[F.col(f"_j.{c}").alias(c) for c in columns])
+
+
 def rate(text: Column, currency: str = "EUR", amount: int = 1) -> Column:
     """The rate of a currency in {"rates": [{"currencyCode", "amount", "rate"}]}."""
     rates = F.from_json(text, "rates ARRAY<STRUCT<currencyCode: STRING, amount: INT, rate: DOUBLE>>")["rates"]
@@ -163,19 +170,55 @@ def located(sheet: pd.DataFrame, at: int, columns: list[str]) -> pd.DataFrame:
     return pd.DataFrame({c: body.iloc[:, names.index(c)].to_numpy() if c in names else None for c in columns})
 
 
+def located_two_levels(sheet: pd.DataFrame, at: int, columns: dict[str, tuple[str, str]]) -> pd.DataFrame:
+    """Columns by their group (in row ``at``, over its columns or merged over several) and name (in
+    the row below it); rows without a value in the first column are left out."""
+    groups = sheet.iloc[at].ffill().fillna("").astype(str).str.strip()
+    names = sheet.iloc[at + 1].fillna("").astype(str).str.strip()
+    where = {pair: i for i, pair in reversed([*enumerate(zip(groups, names, strict=True))])}
+    body = sheet.iloc[at + 2 :]
+    out = pd.DataFrame({c: body.iloc[:, where[pair]].to_numpy() if pair in where else None for c, pair in columns.items()})
+    return out[out.iloc[:, 0].notna()].reset_index(drop=True)
+
+
+_OUTAGE_SERIES = (
+    "mRID: STRING, businessType: STRING, curveType: STRING, `biddingZone_Domain.mRID`: STRING, `quantity_Measure_Unit.name`: STRING, `production_RegisteredResource.mRID`: STRING,"
+    " `production_RegisteredResource.name`: STRING, `production_RegisteredResource.location.name`: STRING, `production_RegisteredResource.pSRType.psrType`: STRING,"
+    " `production_RegisteredResource.pSRType.powerSystemResources.nominalP`: DOUBLE, `start_DateAndOrTime.date`: STRING, `start_DateAndOrTime.time`: STRING,"
+    " `end_DateAndOrTime.date`: STRING, `end_DateAndOrTime.time`: STRING, Reason: ARRAY<STRUCT<code: STRING, text: STRING>>,"
+    " Available_Period: ARRAY<STRUCT<timeInterval: STRUCT<start: STRING, `end`: STRING>, resolution: STRING, Point: ARRAY<STRUCT<position: INT, quantity: DOUBLE>>>>"
+)
+_OUTAGE = f"mRID STRING, revisionNumber INT, type STRING, `process.processType` STRING, createdDateTime STRING, docStatus STRUCT<value: STRING>, Reason ARRAY<STRUCT<code: STRING, text: STRING>>, TimeSeries ARRAY<STRUCT<{_OUTAGE_SERIES}>>"
+
+
+def _utc(text: Column) -> Column:
+    """The instant of '2024-01-01T00:00Z' or '2024-01-01T00:00:00Z', without a zone."""
+    plain = F.replace(F.replace(text, F.lit("T"), F.lit(" ")), F.lit("Z"), F.lit(""))
+    return F.coalesce(F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm")), F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss"))).cast("timestamp_ntz")
+
+
 def outages(docs: DataFrame) -> DataFrame:
     """An event for each time series of an outage document: nominal power and the least available
-    quantity over all its points, with the points numbered on over the periods."""
-    kind = "mRID STRING, revisionNumber INT, createdDateTime STRING, TimeSeries ARRAY<STRUCT<mRID: STRING, businessType: STRING, `production_RegisteredResource.mRID`: STRING, `production_RegisteredResource.pSRType.psrType`: STRING, `production_RegisteredResource.pSRType.powerSystemResources.nominalP`: DOUBLE, Available_Period: ARRAY<STRUCT<resolution: STRING, Point: ARRAY<STRUCT<position: INT, quantity: DOUBLE>>>>>>"
-    parsed = docs.withColumn("_d", F.from_xml(without_namespaces(F.col("text")), kind))
+    quantity over all its points, with the points numbered on over the periods, whose times they
+    carry. Without a status a document is active (A05); a series without a reason has its
+    document's. max_unavailable_mw may be negative, and is null without a nominal or available power."""
+    parsed = docs.withColumn("_d", F.from_xml(without_namespaces(F.col("text")), _OUTAGE))
     kept = [c for c in docs.columns if c != "text"]
     rows = parsed.select(*kept, "_d", F.explode("_d.TimeSeries").alias("_s"))
-    points = F.flatten(F.transform("_s.Available_Period", lambda p: p["Point"]))
-    least = F.array_min(F.transform(points, lambda p: p["quantity"]))
-    nominal = F.col("_s")["production_RegisteredResource.pSRType.powerSystemResources.nominalP"]
+    of = lambda name: F.col("_s")[name]
+    times = lambda p: (_utc(p["timeInterval"]["start"]).alias("point_start"), _utc(p["timeInterval"]["end"]).alias("point_end"), p["resolution"].alias("resolution"))
+    points = F.flatten(F.transform("_s.Available_Period", lambda p: F.transform(p["Point"], lambda x: F.struct(*times(p), x["quantity"].alias("available_mw")))))
+    least = F.array_min(F.transform(points, lambda p: p["available_mw"]))
+    nominal = of("production_RegisteredResource.pSRType.powerSystemResources.nominalP")
+    end = lambda side: _utc(F.concat(of(f"{side}_DateAndOrTime.date"), F.lit("T"), F.coalesce(of(f"{side}_DateAndOrTime.time"), F.lit("00:00Z"))))
+    reason = lambda part: F.coalesce(F.get("_s.Reason", F.lit(0))[part], F.get("_d.Reason", F.lit(0))[part])
     return rows.select(
-        *kept, F.col("_d.mRID").alias("doc_mrid"), F.col("_d.revisionNumber").alias("revision_number"), F.col("_s.mRID").alias("timeseries_mrid"), F.col("_s.businessType").alias("business_type"),
-        F.col("_s")["production_RegisteredResource.mRID"].alias("unit"), F.col("_s")["production_RegisteredResource.pSRType.psrType"].alias("psr_type"),
-        nominal.alias("nominal_mw"), least.alias("min_available_mw"), F.greatest(nominal - least, F.lit(0.0)).alias("max_unavailable_mw"),
-        F.transform(points, lambda p, i: F.struct((i + 1).alias("position"), p["quantity"].alias("available_mw"))).alias("points"),
+        *kept, F.col("_d.mRID").alias("doc_mrid"), F.coalesce("_d.revisionNumber", F.lit(0)).alias("revision_number"), F.col("_s.mRID").alias("timeseries_mrid"),
+        F.col("_d.type").alias("doc_type"), of("businessType").alias("business_type"), F.coalesce("_d.docStatus.value", F.lit("A05")).alias("doc_status"), F.col("_d")["process.processType"].alias("process_type"),
+        _utc(F.col("_d.createdDateTime")).alias("created_datetime"), of("biddingZone_Domain.mRID").alias("bidding_zone"),
+        of("production_RegisteredResource.mRID").alias("unit"), of("production_RegisteredResource.name").alias("unit_name"), of("production_RegisteredResource.location.name").alias("location_name"),
+        of("production_RegisteredResource.pSRType.psrType").alias("psr_type"), of("quantity_Measure_Unit.name").alias("quantity_unit"), of("curveType").alias("curve_type"),
+        end("start").alias("unavail_start"), end("end").alias("unavail_end"),
+        nominal.alias("nominal_mw"), least.alias("min_available_mw"), (nominal - least).alias("max_unavailable_mw"), reason("code").alias("reason_code"), reason("text").alias("reason_text"),
+        F.transform(points, lambda p, i: p.withField("position", i + 1)).alias("points"),
     )
