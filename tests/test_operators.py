@@ -201,3 +201,21 @@ def test_tables_round_half_up_and_prune(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "load")).where("country_code = 'CZ'")
     assert back.first()["actual_load_mw"] == Decimal("1.001") and back.first()["area_id"] is None
     assert "PartitionFilters: [isnotnull(country_code" in back._jdf.queryExecution().toString()
+
+
+def test_as_of_over_blocks(spark):
+    rates = spark.createDataFrame([(date(2024, 1, 5), 1.0), (date(2024, 6, 1), None), (date(2024, 6, 2), 2.0)], "day date, rate double")
+    days = spark.createDataFrame([(date(2024, 1, 1),), (date(2024, 1, 5),), (date(2024, 5, 1),), (date(2024, 6, 1),), (date(2025, 1, 1),)], "day date")
+    for block_days in (1, 28, 10_000):
+        got = intervals.as_of(days, rates, [], "day", "rate", block_days).orderBy("day").collect()
+        assert [r["rate"] for r in got] == [None, 1.0, 1.0, 1.0, 2.0]
+
+
+def test_islands_whatever_the_zone(spark):
+    at = [datetime(2024, 3, 31, h) for h in range(5)]
+    df = spark.createDataFrame([(t,) for t in at], "at timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Prague")
+    try:
+        assert [tuple(r) for r in checks.islands(df, "at", 3600).collect()] == [(at[0], at[-1], 5)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

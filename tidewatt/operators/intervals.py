@@ -46,11 +46,21 @@ def capacity(grid: DataFrame, events: DataFrame, start: str, end: str, step: str
     return grid.join(per, "slot", "left").select(*grid.columns, F.coalesce("n_units", F.lit(0)).alias("n_units"), *[F.coalesce(c, F.lit(0.0)).alias(c) for c in names])
 
 
-def as_of(left: DataFrame, right: DataFrame, keys: list[str], on: str, value: str) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, keys: list[str], on: str, value: str, block_days: int = 28) -> DataFrame:
     """Adds value of right's last row at or before each left row. Both sides are put in one order
-    and the value is carried along, so no pairs arise."""
+    and the value is carried along, so no pairs arise. Without keys the order is made in blocks of
+    days, and each block is handed the last value of those before it, of which there is one a block."""
     a = left.withColumn("_side", F.lit(1)).withColumn("_v", F.lit(None).cast(right.schema[value].dataType))
     b = right.select(*keys, on, F.col(value).alias("_v")).withColumn("_side", F.lit(0))
     both = a.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(on, "_side").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(value, F.last("_v", ignorenulls=True).over(w)).where("_side = 1").drop("_side", "_v")
+    parts = keys
+    if not keys:
+        parts = ["_block"]
+        both = both.withColumn("_block", F.floor(F.datediff(on, F.lit("1970-01-01").cast("date")) / block_days))
+        ends = both.groupBy("_block").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col(on))).alias("_end"))
+        before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        both = both.join(ends.select("_block", F.last("_end", ignorenulls=True).over(before).alias("_carried")), "_block", "left")
+    w = Window.partitionBy(*parts).orderBy(on, "_side").rowsBetween(Window.unboundedPreceding, 0)
+    known = F.last("_v", ignorenulls=True).over(w)
+    out = both.withColumn(value, known if keys else F.coalesce(known, "_carried")).where("_side = 1")
+    return out.drop("_side", "_v", "_block", "_carried")

@@ -39,30 +39,29 @@ def summary(bids: DataFrame, prices: DataFrame, keys: list[str], ties: list[str]
     return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("supply_volume_gap", "demand_volume_gap")})
 
 
-def wall(bids: DataFrame, cleared: DataFrame, keys: list[str], side: str, up: bool, ties: list[str], name: str) -> DataFrame:
-    """keys, <name>_mw, <name>_price, <name>_slope: where going away from the clearing price meets
-    the largest jump between neighbouring bids; of equal jumps the closest. The slope is null at 0 MW."""
-    p, c = F.col("price"), F.col("clearing_price")
-    rows = bids.where(F.col("side") == side).join(cleared.select(*keys, "clearing_price"), keys).where(p > c if up else p < c)
-    order = Window.partitionBy(*keys).orderBy(p.asc() if up else p.desc(), *ties)
-    steps = rows.select(
-        *keys, "price", "clearing_price", *[t for t in ties if t not in {"price", *keys}],
-        F.lag("price").over(order).alias("_before"), F.coalesce(F.sum("volume_bid").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_mw"),
-    ).where("_before is not null")
-    jump = F.abs(p - F.col("_before"))
-    top = Window.partitionBy(*keys).orderBy(jump.desc(), F.col("_mw").asc(), *ties)
-    best = steps.withColumn("_r", F.row_number().over(top)).where("_r = 1")
-    away = p - c
-    return best.select(*keys, F.col("_mw").alias(f"{name}_mw"), away.alias(f"{name}_price"), F.when(F.col("_mw") > 0, away / F.col("_mw")).alias(f"{name}_slope"))
+#: Walls: side, and whether they lie where prices rise from the clearing price.
+_WALLS = {"supply": ("sell", True), "supply_matched": ("sell", False), "demand": ("buy", False), "demand_matched": ("buy", True)}
 
 
 def walls(bids: DataFrame, cleared: DataFrame, keys: list[str], ties: list[str]) -> DataFrame:
-    """Walls in four directions: past the clearing price for sells (supply) and buys (demand), and
-    back over the matched bids of each."""
-    out = cleared.select(*keys, "clearing_price")
-    for side, up, name in (("sell", True, "supply"), ("sell", False, "supply_matched"), ("buy", False, "demand"), ("buy", True, "demand_matched")):
-        out = out.join(wall(bids, cleared, keys, side, up, ties, name), keys, "left")
-    return out
+    """keys, clearing_price, and for each of four ways <name>_mw, _price, _slope: where going away
+    from the clearing price meets the largest jump between neighbouring bids; of equal jumps the
+    closest. The ways lead past the clearing price for sells (supply) and buys (demand), and back
+    over the matched bids of each. The slope is null at 0 MW. A bid lies on one way at most, so all
+    four share the exchange and the sort of the books."""
+    p, c = F.col("price"), F.col("clearing_price")
+    on = [F.when((F.col("side") == side) & (p > c if up else p < c), name) for name, (side, up) in _WALLS.items()]
+    rows = bids.join(cleared.select(*keys, "clearing_price"), keys).withColumn("_way", F.coalesce(*on)).where("_way is not null")
+    rising = F.col("_way").isin([name for name, (_, up) in _WALLS.items() if up])
+    order = Window.partitionBy(*keys, "_way").orderBy(F.when(rising, p).otherwise(-p), *ties)
+    steps = rows.withColumns({"_before": F.lag("price").over(order), "_mw": F.coalesce(F.sum("volume_bid").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))}).where("_before is not null")
+    step = F.struct((-F.abs(p - F.col("_before"))).alias("_jump"), F.col("_mw").alias("mw"), *[F.col(t).alias(f"_{t}") for t in ties], (p - c).alias("price"))
+    best = steps.groupBy(*keys).agg(*[F.min(F.when(F.col("_way") == name, step)).alias(name) for name in _WALLS])
+    columns = []
+    for name in _WALLS:
+        mw, price = F.col(f"{name}.mw"), F.col(f"{name}.price")
+        columns += [mw.alias(f"{name}_mw"), price.alias(f"{name}_price"), F.when(mw > 0, price / mw).alias(f"{name}_slope")]
+    return cleared.select(*keys, "clearing_price").join(best, keys, "left").select(*keys, "clearing_price", *columns)
 
 
 def curve(bids: DataFrame, keys: list[str], ties: list[str]) -> DataFrame:

@@ -313,7 +313,7 @@ def price_by_duration(spark, sf_dir):
     return market.settlement_prices(contracts, "contract", {15: table(F.col("_a"), 15), 60: table(F.date_trunc("hour", "ts"), 60)}, "price")
 
 
-@query("""with k as (select *, row_number() over (partition by cast(l_shipdate as date) order by l_orderkey, l_linenumber) - 1 i from lineitem where l_linenumber <> 4)
+@query("""with k as (select *, row_number() over (partition by cast(l_shipdate as date) order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 i from lineitem where l_linenumber <> 4)
  select cast(l_shipdate as date) as day, cast(strftime(l_shipdate, '%Y%m%d') as bigint) * 100000 + i trade_id, 15 contract_duration, l_quantity qty_mw, case when l_returnflag <> 'N' then l_extendedprice end price_eur_mwh, case when l_linenumber = 1 then cast(l_shipdate as date) + interval 9 hour else cast(l_shipdate as date) + interval 0 hour end exec_time
  from k where l_linenumber <> 3""")
 def trade_ticks(spark, sf_dir):
@@ -322,7 +322,7 @@ def trade_ticks(spark, sf_dir):
     n = F.col("l_linenumber")
     d = F.date_format("day", "yyyyMMdd")
     rows = li.select(
-        "day", F.struct("l_orderkey", "l_linenumber").alias("at"), F.when(n == 3, "Kontrakt").otherwise(F.concat(d, F.lit(" 10:00-"), d, F.lit(" 10:15"))).alias("contract"), F.when(n == 4, "SN").otherwise(F.col("l_quantity").cast("string")).alias("qty_mw"),
+        "day", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("at"), F.when(n == 3, "Kontrakt").otherwise(F.concat(d, F.lit(" 10:00-"), d, F.lit(" 10:15"))).alias("contract"), F.when(n == 4, "SN").otherwise(F.col("l_quantity").cast("string")).alias("qty_mw"),
         F.lit("1.5").alias("qty_mwh"), F.when(F.col("l_returnflag") != "N", F.col("l_extendedprice").cast("string")).otherwise("SN").alias("price_eur_mwh"), F.when(n == 1, F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit(" 09:00:00"))).otherwise("later").alias("exec_time"),
     )
     return market.trade_ticks(rows, ["day"], "at", F.col("day")).select("day", "trade_id", "contract_duration", "qty_mw", "price_eur_mwh", "exec_time")
