@@ -65,12 +65,18 @@ def duration_minutes(iso: Column) -> Column:
     return F.when(iso.rlike(r"^PT(\d+H)?(\d+M)?$") & iso.rlike(r"\d"), part("H") * 60 + part("M"))
 
 
+def clock_seconds(clock: Column) -> Column:
+    """Seconds on the wall clock since 1970-01-01 00:00, whatever the session's zone."""
+    days = F.datediff(clock, F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(clock) * 3600 + F.minute(clock) * 60 + F.second(clock)
+
+
 def contract(text: Column) -> Column:
     """struct(start, end, minutes) of 'YYYYMMDD HH:MM-YYYYMMDD HH:MM'; null where it isn't one, or
     doesn't end after its start."""
     at = lambda k: F.try_to_timestamp(F.split(text, "-")[k], F.lit("yyyyMMdd HH:mm")).cast("timestamp_ntz")
     good = text.rlike(r"^\d{8} \d{2}:\d{2}-\d{8} \d{2}:\d{2}$")
-    return F.when(good & (at(1) > at(0)), F.struct(at(0).alias("start"), at(1).alias("end"), F.timestamp_diff("MINUTE", at(0), at(1)).cast("int").alias("minutes")))
+    return F.when(good & (at(1) > at(0)), F.struct(at(0).alias("start"), at(1).alias("end"), ((clock_seconds(at(1)) - clock_seconds(at(0))) / 60).cast("int").alias("minutes")))
 
 
 def number(text: Column) -> Column:

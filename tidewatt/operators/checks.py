@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatt.functions.timegrid import spine
+from tidewatt.functions.timegrid import clock_seconds, spine
 
 
 def missing_dates(df: DataFrame, day: str) -> DataFrame:
@@ -19,9 +19,7 @@ def islands(df: DataFrame, at: str, unit_seconds: int) -> DataFrame:
     """first, last, n of runs of consecutive instants. The runs are found per day, joined over
     midnight within decades, and over the ends of decades, so tasks see a day's points, a decade's
     runs, or two runs of each decade."""
-    # Wall clocks are counted as they read, whatever the session's zone.
-    epoch = F.expr("timestamp_ntz '1970-01-01 00:00:00'")
-    step = lambda c: F.timestamp_diff("SECOND", epoch, c.cast("timestamp_ntz")) / unit_seconds
+    step = lambda c: clock_seconds(c) / unit_seconds
     points = df.select(F.floor(step(F.col(at))).cast("long").alias("k")).where("k is not null").distinct()
     per_day = max(1, 86400 // unit_seconds)
     numbered = points.withColumn("d", F.floor(F.col("k") / per_day)).withColumn("g", F.col("k") - F.row_number().over(Window.partitionBy("d").orderBy("k")))
@@ -35,7 +33,8 @@ def islands(df: DataFrame, at: str, unit_seconds: int) -> DataFrame:
     every = Window.partitionBy().orderBy("a")
     ends = joined.where("edge").select("a", "b").withColumn("o", F.when(F.col("a") == F.lag("b").over(every) + 1, 0).otherwise(1)).withColumn("r", F.sum("o").over(every.rowsBetween(Window.unboundedPreceding, 0)))
     whole = joined.where("not edge").select("a", "b").unionByName(ends.groupBy("r").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("r"))
-    back = lambda c: F.timestamp_add("SECOND", c * unit_seconds, epoch)
+    day = lambda c: F.floor(c * unit_seconds / 86400).cast("int")
+    back = lambda c: F.expr("timestamp_ntz '1970-01-01 00:00:00'") + F.make_dt_interval(day(c), F.lit(0), F.lit(0), F.pmod(c * unit_seconds, F.lit(86400)))
     return whole.select(back(F.col("a")).alias("first"), back(F.col("b")).alias("last"), (F.col("b") - F.col("a") + 1).alias("n"))
 
 

@@ -47,7 +47,7 @@ def minute_features(prices: DataFrame, imbalance: DataFrame, exchange: DataFrame
     limits = exchange.groupBy(F.to_date(ts).alias("_day")).agg(stats.quantile(F.abs("picasso_afrr_mw"), 0.95).alias("_limit"))
     j = j.join(limits, "_day", "left")
     full = F.coalesce(F.abs("picasso_afrr_mw") >= F.coalesce("_limit", F.lit(999999)) * 0.95, F.lit(False))
-    minute = F.expr(f"timestampdiff(MINUTE, _start, {ts})")
+    minute = F.minute(ts) - F.minute("_start")
     up = F.col("afrr_plus_mw") + F.col("mfrr_plus_mw")
     x = "system_imbalance_mw"
     features: dict[str, Column] = {}

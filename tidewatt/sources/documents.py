@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.functions.timegrid import duration_minutes
+from tidewatt.functions.timegrid import clock_seconds, duration_minutes
 from tidewatt.operators.reshape import mapped, point_time
 
 _POINT = "position INT, quantity DOUBLE, secondaryQuantity DOUBLE, `price.amount` DOUBLE, `imbalance_Price.amount` DOUBLE, `imbalance_Price.category` STRING, `activation_Price.amount` DOUBLE, Financial_Price ARRAY<STRUCT<amount DOUBLE, `priceDescriptor.type` STRING>>"
@@ -74,7 +74,7 @@ def curve_points(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     at = lambda c: F.try_to_timestamp(F.replace(F.replace(c, F.lit("T"), F.lit(" ")), F.lit("Z"), F.lit("")), F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")
     minutes = duration_minutes(F.col("_p.resolution"))
     start = at(F.col("_p.timeInterval.start"))
-    length = (F.timestamp_diff("MINUTE", start, at(F.col("_p.timeInterval.end"))) / minutes).cast("int")
+    length = ((clock_seconds(at(F.col("_p.timeInterval.end"))) - clock_seconds(start)) / 60 / minutes).cast("int")
     return points.select(
         *kept, "series", "part", F.col("_s.businessType").alias("business_type"), F.col("_s")["flowDirection.direction"].alias("direction"),
         F.col("_s")["in_Domain.mRID"].alias("in_domain"), F.col("_s")["out_Domain.mRID"].alias("out_domain"), F.col("_s.MktPSRType.psrType").alias("psr_type"), minutes.alias("resolution"), length.alias("length"),
