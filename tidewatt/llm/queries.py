@@ -1,4 +1,4 @@
-"""The queries of the ten operators, as the catalogue registers them."""
+"""The queries of the operators, as the catalogue registers them."""
 
 from __future__ import annotations
 
@@ -97,8 +97,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatt.llm.codes import compress
+
+    return compress(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op7_license_scan, op8_bpe, op9_quality_ranking, op10_html_extraction)}
+    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op7_license_scan, op8_bpe, op9_quality_ranking, op10_html_extraction, op12_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
