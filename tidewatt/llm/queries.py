@@ -103,8 +103,14 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatt.llm.spelling import variants
+
+    return variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op7_license_scan, op8_bpe, op9_quality_ranking, op10_html_extraction, op12_vector_codes)}
+    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op7_license_scan, op8_bpe, op9_quality_ranking, op10_html_extraction, op12_vector_codes, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
