@@ -97,6 +97,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatt.llm import secret_spans
+
+    docs = _table(spark, sf_dir, "documents")
+    field = secret_spans.train(docs)
+    return docs.select("doc_id", secret_spans.scan(field, "text").alias("_s")).select("doc_id", "_s.*")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatt.llm.codes import compress
 
@@ -110,7 +118,7 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op7_license_scan, op8_bpe, op9_quality_ranking, op10_html_extraction, op12_vector_codes, op13_spelling_variants)}
+    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_nearest_neighbours, op5_url_filter, op6_spot_signatures, op7_license_scan, op8_bpe, op9_quality_ranking, op10_html_extraction, op11_secret_spans, op12_vector_codes, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
