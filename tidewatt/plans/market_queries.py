@@ -208,27 +208,39 @@ def _tag(name: str, value: Column | str) -> Column:
     return F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
 
 
-@query("select l_orderkey, l_shipdate + interval 7 minute \"at\", l_quantity value1, case when l_linenumber % 3 <> 0 then l_extendedprice end value2 from lineitem where l_linenumber <> 5")
+_COMMENT = "<!-- <{0}/> stands no more -->"
+
+
+@query("select l_orderkey, l_shipdate + interval 7 minute \"at\", l_quantity value1, case when l_linenumber % 3 <> 0 then l_extendedprice end value2, 'a & ' || l_returnflag \"name\" from lineitem where l_linenumber <> 5")
 def xml_attribute_rows(spark, sf_dir):
-    day = F.when(F.col("l_linenumber") == 5, "no date").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T00:07:00'"))
+    """Lines as elements in either quotes, with entities, comments and attributes of like names beside them."""
+    day = F.when(F.col("l_linenumber") == 5, "no date").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T00:07:00+01:00'"))
     value = F.when(F.col("l_linenumber") % 3 != 0, F.col("l_extendedprice").cast("string")).otherwise("-")
-    item = F.concat(F.lit('<item date="'), day, F.lit('" value1="'), "l_quantity", F.lit('" value2="'), value, F.lit('"/>'))
-    return sources.attribute_rows(_line_docs(spark, sf_dir, item), "item", 2)
+    quote = F.when(F.col("l_linenumber") % 2 == 0, "'").otherwise('"')
+    said = lambda name, v: F.concat(F.lit(f" {name}="), quote, v, quote)
+    item = F.concat(F.lit("<item"), said("data-value1", F.lit("7")), said("date", day), said("name", F.concat(F.lit("a &amp; "), "l_returnflag")), said("value1", F.col("l_quantity").cast("string")), said("value2", value), F.lit("><![CDATA[<item/>]]></item>"), F.lit(_COMMENT.format("item date='2024-01-01T00:00:00' value1='9'")))
+    return sources.attribute_rows(_line_docs(spark, sf_dir, item, '<x:D xmlns:x="urn:d">', "</x:D>"), "item", 2, ("name",))
 
 
 @query("""select cast(l_shipdate as date) delivery_date, cast(case when l_linenumber % 2 = 0 then (l_linenumber - 1) * 4 + q.range else l_linenumber end as int) "period", case when l_linestatus = 'O' then 'sell' else 'buy' end side, l_extendedprice price, l_quantity volume_bid, l_tax volume_matched, case when l_linenumber % 2 = 0 then '60min' else '15min' end order_resolution
  from lineitem join range(1, 5) q on l_linenumber % 2 = 0 or q.range = 1""")
 def xml_bids(spark, sf_dir):
-    when = F.when(F.col("l_linenumber") % 2 == 0, _tag("hour", F.col("l_linenumber").cast("string"))).otherwise(_tag("period", F.col("l_linenumber").cast("string")))
+    """Lines as bids: quarters by children, hours with half of their values as attributes, both around comments."""
+    hourly = F.col("l_linenumber") % 2 == 0
+    n = F.col("l_linenumber").cast("string")
     side = F.when(F.col("l_linestatus") == "O", "S").otherwise("B")
-    item = _tag("data", F.concat(_tag("date", F.date_format("l_shipdate", "yyyy-MM-dd")), when, _tag("price", F.col("l_extendedprice").cast("string")), _tag("energy_order", F.col("l_quantity").cast("string")), _tag("energy_match", F.col("l_tax").cast("string")), _tag("trade_type", side)))
+    rest = F.concat(_tag("price", F.col("l_extendedprice").cast("string")), F.lit(_COMMENT.format("price")), _tag("energy_order", F.col("l_quantity").cast("string")), _tag("energy_match", F.concat(F.lit("<![CDATA["), F.col("l_tax").cast("string"), F.lit("]]>"))))
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    item = F.when(hourly, F.concat(F.lit("<data hour='"), n, F.lit("' trade_type='"), side, F.lit("' date='"), day, F.lit("'>"), rest, F.lit("</data>")))
+    item = item.otherwise(_tag("data", F.concat(_tag("date", day), F.lit("<period>"), F.lit(_COMMENT.format("period")), n, F.lit("</period>"), _tag("trade_type", side), rest)))
     return sources.bids(_line_docs(spark, sf_dir, item))
 
 
-@query("select cast(l_orderkey as varchar) k, cast(l_linenumber as varchar) line, case when l_linenumber <> 2 then l_returnflag end flag from lineitem")
+@query("select cast(l_orderkey as varchar) k, cast(l_linenumber as varchar) line, case when l_linenumber <> 2 then l_returnflag || ' & <b>' end flag from lineitem")
 def xml_column_rows(spark, sf_dir):
-    cell = lambda k, v: F.concat(F.lit(f'<Column id="{k}">'), v, F.lit("</Column>"))
-    item = _tag("Row", F.concat(cell("a", F.col("l_orderkey").cast("string")), cell("b", F.col("l_linenumber").cast("string")), F.when(F.col("l_linenumber") != 2, cell("c", F.col("l_returnflag"))).otherwise("")))
+    cell = lambda k, v: F.concat(F.lit(f"<Column type='t' id='{k}'>"), v, F.lit("</Column>"))
+    flag = cell("c", F.concat(F.col("l_returnflag"), F.lit(" &amp; <![CDATA[<b>]]>")))
+    item = _tag("Row", F.concat(cell("a", F.col("l_orderkey").cast("string")), F.lit(_COMMENT.format('Column id="b"')), cell("b", F.col("l_linenumber").cast("string")), F.when(F.col("l_linenumber") != 2, flag).otherwise("")))
     return sources.column_rows(_line_docs(spark, sf_dir, item), {"a": "k", "b": "line", "c": "flag"})
 
 

@@ -41,32 +41,75 @@ def file_day(path: Column) -> Column:
     return F.coalesce(iso, other)
 
 
-def without_namespaces(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, r'\sxmlns(:\w+)?="[^"]*"', ""), r"(</?)\w+:", "$1")
-
-
-def attribute_rows(docs: DataFrame, row_tag: str, values: int) -> DataFrame:
-    """at, value1..valueN of elements that carry a date and numbered values as attributes; rows
-    whose date can't be read are dropped, values that can't are null."""
-    tags = F.explode(F.regexp_extract_all("text", F.lit(rf"<{row_tag}\b([^>]*)>"), F.lit(1))).alias("_a")
-    got = lambda name: F.regexp_extract("_a", rf'\b{name}="([^"]*)"', 1)
-    rows = docs.select(*[c for c in docs.columns if c != "text"], tags)
-    at = F.try_to_timestamp(F.substring(F.replace(got("date"), F.lit("T"), F.lit(" ")), 1, 19)).cast("timestamp_ntz")
-    kept = [c for c in docs.columns if c != "text"]
-    return rows.select(*kept, at.alias("at"), *[got(f"value{k}").try_cast("double").alias(f"value{k}") for k in range(1, values + 1)]).where("at is not null")
-
-
-def column_rows(docs: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Rows whose cells are <Column id="k">v</Column>; names: id -> output name."""
-    rows = docs.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?s)<Row\b[^>]*>(.*?)</Row>"), F.lit(1))).alias("_r"))
-    cell = lambda k: F.nullif(F.regexp_extract("_r", rf'(?s)<Column\b[^>]*\bid="{k}"[^>]*>(.*?)</Column>', 1), F.lit(""))
+def _xml(text: Column, columns: str) -> Column:
+    """The named parts of a document's root, without namespaces; others are left out."""
+    return F.from_xml(text, columns, {"ignoreNamespace": "true"})
+
+
+def _elements(docs: DataFrame, path: tuple[str, ...], kind: str) -> DataFrame:
+    """docs without text, with _r, a row for each element at the path below the root."""
+    *above, tag = path
+    schema = f"`{tag}`: ARRAY<STRUCT<{kind}>>"
+    for name in reversed(above):
+        schema = f"`{name}`: STRUCT<{schema}>"
+    parsed = docs.withColumn("_d", _xml(F.col("text"), schema.replace(": ", " ", 1)))
+    found = F.col("_d")
+    for name in path:
+        found = found[name]
+    return parsed.select(*[c for c in docs.columns if c != "text"], F.explode(found).alias("_r"))
+
+
+def malformed(docs: DataFrame, column: str = "text") -> DataFrame:
+    """The documents that are no well-formed XML, which the readers take no or few rows from."""
+    told = F.from_xml(F.col(column), "_broken STRING", {"columnNameOfCorruptRecord": "_broken"})["_broken"]
+    return docs.where(F.col(column).isNotNull() & (told.isNotNull() | (F.trim(column) == "")))
+
+
+def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str, one_line: bool = False) -> DataFrame:
+    """The elements of that tag, at any depth, of files of any size, with broken, the text of an element that
+    can't be read, whose other columns are null. A file is read element by element, in one task; with
+    one_line, where each element stands on a line of its own, the parts of a large file go to many tasks."""
+    reader = spark.read.format("xml").option("rowTag", row_tag).option("multiLine", str(not one_line).lower()).option("columnNameOfCorruptRecord", "broken").option("ignoreNamespace", "true")
+    rows = reader.schema(f"{schema}, broken STRING").load(path)
+    # Lines around the elements, such as the root's own, are no broken elements.
+    return rows.where(F.col("broken").isNull() | F.col("broken").rlike(rf"<(\w+:)?{row_tag}\b")) if one_line else rows
+
+
+def attribute_rows(docs: DataFrame, row_tag: str, values: int, texts: tuple[str, ...] = (), within: tuple[str, ...] = ()) -> DataFrame:
+    """at, value1..valueN and the texts of elements that carry a date and numbered values as
+    attributes; rows whose date can't be read are dropped, values that can't are null. within: the
+    elements between the root and the rows."""
+    names = ["date", *[f"value{k}" for k in range(1, values + 1)], *texts]
+    rows = _elements(docs, (*within, row_tag), ", ".join(f"`_{n}`: STRING" for n in names))
+    return _dated(rows.select(*[c for c in docs.columns if c != "text"], *[F.col("_r")[f"_{n}"].alias(f"_{n}") for n in names]), values, texts)
+
+
+def attribute_files(spark: SparkSession, path: str, row_tag: str, values: int, texts: tuple[str, ...] = (), one_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """As attribute_rows of all files at path, and the texts of elements that can't be read."""
+    names = ["date", *[f"value{k}" for k in range(1, values + 1)], *texts]
+    rows = xml_rows(spark, path, row_tag, ", ".join(f"`_{n}` STRING" for n in names), one_line)
+    return _dated(rows.where("broken is null").drop("broken"), values, texts), rows.where("broken is not null").select("broken", F.col("_date").alias("date"))
+
+
+def _dated(rows: DataFrame, values: int, texts: tuple[str, ...]) -> DataFrame:
+    at = F.try_to_timestamp(F.replace(F.substring("_date", 1, 19), F.lit("T"), F.lit(" "))).cast("timestamp_ntz")
+    kept = [c for c in rows.columns if not c.startswith("_")]
+    numbers = [F.col(f"_value{k}").try_cast("double").alias(f"value{k}") for k in range(1, values + 1)]
+    return rows.select(*kept, at.alias("at"), *numbers, *[F.col(f"_{t}").alias(t) for t in texts]).where("at is not null")
+
+
+def column_rows(docs: DataFrame, names: dict[str, str], within: tuple[str, ...] = ()) -> DataFrame:
+    """Rows whose cells are <Column id="k">v</Column>; names: id -> output name. Of cells that share
+    an id the first counts; an empty one is null."""
+    rows = _elements(docs, (*within, "Row"), "Column: ARRAY<STRUCT<_id: STRING, _VALUE: STRING>>")
+    cell = lambda k: F.nullif(F.get(F.filter("_r.Column", lambda c: c["_id"] == k), F.lit(0))["_VALUE"], F.lit(""))
     return rows.select(*[cell(k).alias(v) for k, v in names.items()])
 
 
 def curve_points(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     """A row for each point of each period of each time series: series attributes, start of the
     point, position, resolution in minutes, values, and how many positions the period has."""
-    parsed = docs.withColumn("_d", F.from_xml(without_namespaces(F.col("text")), f"TimeSeries ARRAY<STRUCT<{_nested(_SERIES)}>>"))
+    parsed = docs.withColumn("_d", _xml(F.col("text"), f"TimeSeries ARRAY<STRUCT<{_nested(_SERIES)}>>"))
     kept = [c for c in docs.columns if c != "text"]
     series = parsed.select(*kept, F.posexplode("_d.TimeSeries").alias("series", "_s"))
     periods = series.select(*kept, "series", "_s", F.posexplode("_s.Period").alias("part", "_p"))
@@ -102,10 +145,10 @@ def _nested(columns: str) -> str:
     return ", ".join(out)
 
 
-def bids(docs: DataFrame) -> DataFrame:
+def bids(docs: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """Bids of a matching-curve document. Rows of hours are repeated for their four quarters;
     unknown sides are dropped."""
-    rows = attribute_or_child(docs, "data", ("date", "period", "hour", "time_interval", "price", "energy_order", "energy_match", "trade_type", "order_resolution"))
+    rows = attribute_or_child(docs, "data", ("date", "period", "hour", "time_interval", "price", "energy_order", "energy_match", "trade_type", "order_resolution"), within)
     side = mapped(F.col("trade_type"), {"B": "buy", "S": "sell"})
     hourly = F.col("period").isNull() & F.col("hour").isNotNull()
     rows = rows.withColumn("_q", F.explode(F.when(hourly, F.sequence(F.lit(1), F.lit(4))).otherwise(F.array(F.lit(0)))))
@@ -114,10 +157,10 @@ def bids(docs: DataFrame) -> DataFrame:
     return rows.select(F.col("date").try_cast("date").alias("delivery_date"), number.alias("period"), side.alias("side"), *[F.col(c).try_cast("double").alias(n) for c, n in (("price", "price"), ("energy_order", "volume_bid"), ("energy_match", "volume_matched"))], resolution.alias("order_resolution")).where("side is not null and period is not null")
 
 
-def attribute_or_child(docs: DataFrame, tag: str, names: tuple[str, ...]) -> DataFrame:
+def attribute_or_child(docs: DataFrame, tag: str, names: tuple[str, ...], within: tuple[str, ...] = ()) -> DataFrame:
     """Elements by tag, with values from attributes or child elements; null where neither is."""
-    rows = docs.select(F.explode(F.regexp_extract_all(without_namespaces(F.col("text")), F.lit(rf"(?s)(<{tag}\b[^>]*?/>|<{tag}\b.*?</{tag}>)"), F.lit(1))).alias("_r"))
-    value = lambda n: F.coalesce(F.nullif(F.regexp_extract("_r", rf'^<{tag}\b[^>]*\b{n}="([^"]*)"', 1), F.lit("")), F.nullif(F.regexp_extract("_r", rf"(?s)<{n}>\s*(.*?)\s*</{n}>", 1), F.lit("")))
+    rows = _elements(docs, (*within, tag), ", ".join(f"`_{n}`: STRING, `{n}`: STRING" for n in names))
+    value = lambda n: F.coalesce(F.nullif(F.col("_r")[f"_{n}"], F.lit("")), F.nullif(F.trim(F.col("_r")[n]), F.lit("")))
     return rows.select(*[value(n).alias(n) for n in names])
 
 
@@ -202,7 +245,7 @@ def outages(docs: DataFrame) -> DataFrame:
     quantity over all its points, with the points numbered on over the periods, whose times they
     carry. Without a status a document is active (A05); a series without a reason has its
     document's. max_unavailable_mw may be negative, and is null without a nominal or available power."""
-    parsed = docs.withColumn("_d", F.from_xml(without_namespaces(F.col("text")), _OUTAGE))
+    parsed = docs.withColumn("_d", _xml(F.col("text"), _OUTAGE))
     kept = [c for c in docs.columns if c != "text"]
     rows = parsed.select(*kept, "_d", F.explode("_d.TimeSeries").alias("_s"))
     of = lambda name: F.col("_s")[name]
