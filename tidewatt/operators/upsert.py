@@ -7,6 +7,9 @@ null key never matches and is appended each time, as with a unique index.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,6 +85,98 @@ def sync(registry: dict[str, tuple[str, list[str]]], targets: dict[str, DataFram
     return {n: append_lookback(targets[n], sources[n], at, keys, days) for n, (at, keys) in registry.items() if n in sources and n in targets}
 
 
+def partitions_of(df: DataFrame, partition: list[str], most: int = 100_000) -> list[tuple]:
+    """The values of the partition columns that rows have; a table has far fewer partitions than
+    ``most``, beyond which this raises."""
+    found = df.select(*partition).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} partitions are touched: write the table as a whole")
+    return [tuple(r) for r in found]
+
+
+def in_partitions(df: DataFrame, partition: list[str], values: list[tuple]) -> DataFrame:
+    """The rows of those partitions: filters on each column, which prune files, and where several
+    columns go together a semi-join with the values, whose number :func:`partitions_of` bounds."""
+    for i, name in enumerate(partition):
+        inside = F.col(name).isin(sorted({v[i] for v in values if v[i] is not None}))
+        df = df.where(inside | F.col(name).isNull() if any(v[i] is None for v in values) else inside)
+    if len(partition) == 1 or not values:
+        return df
+    wanted = df.sparkSession.createDataFrame(values, df.select(*[F.col(c).alias(f"_{c}") for c in partition]).schema)
+    on = None
+    for name in partition:
+        same = F.col(name).eqNullSafe(F.col(f"_{name}"))
+        on = same if on is None else on & same
+    return df.join(F.broadcast(wanted), on, "left_semi")
+
+
+def rewrite_partitions(path: str, source: DataFrame, partition: list[str], plan: Callable[[DataFrame, DataFrame], DataFrame], also: list[tuple] = []) -> list[tuple]:
+    """plan(target, source) replaces the partitions of the Parquet table at path that the source
+    touches, and those in ``also``; other partitions are neither read nor written. plan must leave
+    rows in their partitions. Returns the touched partitions.
+
+    The new files are staged and moved in when all are written, by dynamic partition overwrite, so a
+    run that fails before leaves the table as it was, and one that fails between partitions can be
+    run again if the plan gives the same when applied twice, as merges do. Partitions that lose all
+    rows are deleted last."""
+    spark = source.sparkSession
+    touched = sorted({*partitions_of(source, partition), *also}, key=repr)
+    if not touched:
+        return []
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(root):
+        target = spark.read.schema(source.schema).parquet(path)
+        target = in_partitions(target.select(*source.columns), partition, touched)
+    else:
+        target = source.limit(0)
+    new = plan(target, source).select(*source.columns)
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    spark.catalog.refreshByPath(path)
+    if also:
+        there = {*partitions_of(source, partition)}
+        left = [v for v in touched if v not in there]
+        held = {*partitions_of(in_partitions(new, partition, left), partition)} if left else set()
+        for value in [v for v in left if v not in held]:
+            where = spark.createDataFrame([value], source.select(*partition).schema).select(*[F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias(c) for c in partition]).first()
+            fs.delete(jvm.org.apache.hadoop.fs.Path("/".join([path, *[f"{c}={where[c]}" for c in partition]])), True)
+        spark.catalog.refreshByPath(path)
+    return touched
+
+
+def merge_partitions(path: str, source: DataFrame, keys: list[str], partition: list[str], sequence: str | None = None) -> list[tuple]:
+    """:func:`merge` into the partitioned table at path, on the touched partitions only. The
+    partition columns belong to the key: a key never moves between partitions."""
+    if not set(partition) <= set(keys):
+        raise ValueError("merge_partitions: the partition columns must be part of the key")
+    return rewrite_partitions(path, source, partition, lambda target, new: merge(target, new, keys, sequence))
+
+
+def merge_changed_partitions(path: str, source: DataFrame, keys: list[str], columns: list[str], stamp: dict[str, Column], partition: list[str], sequence: str | None = None) -> list[tuple]:
+    """:func:`merge_changed` likewise; partitions where nothing changed are left alone, too."""
+    if not set(partition) <= set(keys):
+        raise ValueError("merge_changed_partitions: the partition columns must be part of the key")
+    spark = source.sparkSession
+    new = last_of(source, keys, sequence)
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    if root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+        touched = partitions_of(new, partition)
+        target = in_partitions(spark.read.schema(source.schema).parquet(path).select(*source.columns), partition, touched)
+        changed = merge_changed(target, new, keys, columns, stamp).where("change <> 'same'").select(*source.columns)
+    else:
+        changed = new.withColumns(stamp).select(*source.columns)
+    return rewrite_partitions(path, changed, partition, lambda old, rows: merge(old, rows, keys))
+
+
+def replace_days_partitioned(path: str, source: DataFrame, day: str, first: date, last: date) -> list[tuple]:
+    """The days from first to last of a table partitioned by day go, and the source, of those days, comes in."""
+    days = [(first + timedelta(days=i),) for i in range((last - first).days + 1)]
+    inside = source.where(F.col(day).between(F.lit(first), F.lit(last)))
+    return rewrite_partitions(path, inside, [day], lambda target, new: new, days)
+
+
 def audit_rows(df: DataFrame, payload: list[str], body: list[str], at: Column) -> DataFrame:
     """Rows for a log: the other columns, payload and response_body as JSON, and the time. A body
     whose columns are all null is null."""

@@ -6,15 +6,17 @@ or documents' points, and an order with its lines is one document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatt.functions import stats
 from tidewatt.functions import timegrid as T
-from tidewatt.operators import checks, intervals, reshape, upsert
+from tidewatt.operators import checks, intervals, ledger, resample, reshape, upsert
 from tidewatt.plans import market
 from tidewatt.plans.catalogue import QUERIES, SQL, _t, query
+from tidewatt.scratch import scratch
 from tidewatt.sources import documents as sources
+from tidewatt.streaming import live
 
 _LABEL = "strftime(time_bucket(interval 15 minute, {0}), '%H:%M') || '-' || strftime(time_bucket(interval 15 minute, {0}) + interval 15 minute, '%H:%M')"
 _LOCAL = "(({0} at time zone 'UTC') at time zone 'Europe/Prague')"
@@ -411,3 +413,108 @@ def combined_defaults(spark, sf_dir):
 @query("select event_type, value, case event_type when 'click' then 'B16' when 'view' then 'B18' when 'purchase' then 'B19' when 'signup' then 'B02' when 'error' then 'B05' end psr_type, event_id from events")
 def mapped_codes(spark, sf_dir):
     return _t(spark, sf_dir, "events").select("event_type", "value", reshape.mapped(F.col("event_type"), _PSR).alias("psr_type"), "event_id")
+
+
+# Streams: the tables' rows as files in any order, through keyed state and timers.
+
+
+@query(SQL["latest_version"])
+def stream_latest_version(spark, sf_dir):
+    """Orders as versions of their customers' outages, in any order; the last that comes out of each is the latest."""
+    o = _t(spark, sf_dir, "orders").withColumn("at", F.col("o_orderdate").cast("timestamp"))
+    path = scratch(spark, "versions")
+    stream = live.replayed(o, f"{path}/in", 4, F.col("o_orderkey"), 2)
+    order = [("o_orderdate", True), ("o_totalprice", True), ("o_orderkey", True)]
+    out = live.emptied(live.superseding(stream, ["o_custkey"], order, "at", "at", "20000 days"), f"{path}/out", f"{path}/state")
+    last = out.groupBy("o_custkey").agg(F.max_by(F.struct("o_orderkey", "o_orderstatus", "o_orderdate"), "batch").alias("r"))
+    return last.select("o_custkey", "r.*")
+
+
+@query(SQL["resample60_gated"])
+def stream_hours_gated(spark, sf_dir):
+    """Quarters in any order; hours come out when their fourth quarter has come."""
+    e = _t(spark, sf_dir, "events")
+    start = T.floor_to(F.col("ts"), 15)
+    q = e.groupBy("event_type", start.alias("start")).agg(F.avg("value").alias("value_mean"), stats.median("value").alias("value_median"), stats.last_by("value", "ts", "event_id").alias("value_last"))
+    q = q.withColumn("time_interval", T.label(F.col("start"))).withColumn("start", F.col("start").cast("timestamp"))
+    path = scratch(spark, "hours")
+    values = ["value_mean", "value_median", "value_last"]
+    stream = live.replayed(q, f"{path}/in", 4, F.concat("event_type", F.col("start").cast("string")), 2)
+    out = live.emptied(live.gated_hours(stream, ["event_type"], "start", values, "20000 days"), f"{path}/out", f"{path}/state")
+    rules = {"value_mean": ("mean", "value_mean"), "value_median": ("mean", "value_median"), "value_last": ("last", "value_last")}
+    whole = out.withColumn("trade_date", F.to_date("hour_start"))
+    return resample.roll_up(whole, rules, ["event_type"]).withColumns({c: F.round(c, 8) for c in ("value_mean", "value_median")})
+
+
+# Late data: only what is stale is computed again.
+
+
+@query("""with q as (select time_bucket(interval 15 minute, ts) b, avg(value) v from events group by 1), h as (select date_trunc('hour', b) hour_start, avg(v) v from q group by 1)
+ select hour_start, round(v, 10) v, round(avg(v) over (order by hour_start rows 15 preceding), 10) roll_16, round(sum(v) over (order by hour_start rows 15 preceding), 10) integral_16 from h""")
+def dirty_recompute(spark, sf_dir):
+    """Each ninth day's events come late: quarters, hours and rolling frames that they make stale are
+    computed again, and equal a run over everything."""
+    e = _t(spark, sf_dir, "events").select("event_id", "ts", "value")
+    late = F.dayofmonth("ts") % 9 == 0
+    path = scratch(spark, "layers")
+
+    def stored(df, name):
+        df.write.parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}")
+
+    def quarters(rows):
+        return rows.groupBy(T.floor_to(F.col("ts"), 15).alias("b")).agg(F.avg("value").alias("v"))
+
+    def hours(rows):
+        return rows.groupBy(F.date_trunc("hour", "b").alias("hour_start")).agg(F.avg("v").alias("v"))
+
+    frames = {"roll_16": ("mean", 15), "integral_16": ("sum", 15)}
+
+    def rolled(rows):
+        return resample.rolling_blocks(rows.withColumn("day", F.to_date("hour_start")), "v", "day", ["hour_start"], frames).drop("day")
+
+    early = e.where(~late)
+    q0 = stored(quarters(early), "q0")
+    h0 = stored(hours(q0), "h0")
+    r0 = stored(rolled(h0), "r0")
+    # The late rows arrive.
+    stale_q = stored(ledger.touched(e.where(late), "ts", []), "stale_q")
+    q1 = stored(ledger.recomputed(q0, stale_q, [], "b", lambda stale: quarters(ledger.only(e, stale.withColumnRenamed("b", "start"), [], T.floor_to(F.col("ts"), 15)))), "q1")
+    stale_h = stored(ledger.coarser(stale_q, []), "stale_h")
+    h1 = stored(ledger.recomputed(h0, stale_h, [], "hour_start", lambda stale: hours(ledger.only(q1, stale.withColumnRenamed("hour_start", "start"), [], F.date_trunc("hour", "b")))), "h1")
+    stale_r = stored(ledger.reached(h1, stale_h, [], "hour_start", 15), "stale_r")
+    return ledger.recomputed(r0, stale_r, [], "hour_start", lambda stale: _framed(h1, stale, frames)).select("hour_start", *[F.round(c, 10).alias(c) for c in ("v", *frames)])
+
+
+def _framed(hours: DataFrame, stale: DataFrame, frames: dict) -> DataFrame:
+    """Frames of stale rows, from them and the rows that their frames reach back to."""
+    most = max(n for _, n in frames.values())
+    needed = ledger.reached(hours, stale.withColumnRenamed("hour_start", "start"), [], "hour_start", most, backward=True)
+    rows = hours.join(needed.withColumnRenamed("start", "hour_start"), "hour_start", "left_semi")
+    out = resample.rolling_blocks(rows.withColumn("day", F.to_date("hour_start")), "v", "day", ["hour_start"], frames).drop("day")
+    return out.join(stale, "hour_start", "left_semi")
+
+
+@query("""with s as (select event_type, date_trunc('hour', ts) "start", count(*) n from events group by 1, 2) select event_type, "start", n from s""")
+def gaps_refilled(spark, sf_dir):
+    """A table of hours that lacks some whole days is searched for gaps, and refilled from its source."""
+    e = _t(spark, sf_dir, "events")
+    source = e.groupBy("event_type", F.date_trunc("hour", "ts").alias("start")).agg(F.count("*").alias("n"))
+    edge = Window.partitionBy("event_type")
+    ends = source.withColumns({"_a": F.min("start").over(edge), "_b": F.max("start").over(edge)})
+    table = ends.where((F.dayofmonth("start") % 5 != 0) | (F.col("start") == F.col("_a")) | (F.col("start") == F.col("_b"))).drop("_a", "_b")
+    missing = ledger.gaps(table, "start", ["event_type"], F.min("start"), F.max("start"), "1 hour")
+    return ledger.refilled(table, source, missing, ["event_type"], "start")
+
+
+@query("""select event_id, cast(ts as date) as day, case when day(ts) in (5, 6) then value * 2 else value end "value" from events union all select event_id + 10000000, cast(ts as date) + 60, value from events where day(ts) = 5""")
+def upsert_partitions(spark, sf_dir):
+    """Events by day, of which two days are corrected and one is copied 60 days on; only those partitions are written."""
+    e = _t(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"), "value")
+    path = scratch(spark, "events")
+    upsert.merge_partitions(path, e, ["day", "event_id"], ["day"])
+    fifth = e.where(F.dayofmonth("day") == 5)
+    changed = e.where(F.dayofmonth("day").isin(5, 6)).withColumn("value", F.col("value") * 2)
+    added = fifth.select((F.col("event_id") + 10000000).alias("event_id"), F.date_add("day", 60).alias("day"), "value")
+    upsert.merge_partitions(path, changed.unionByName(added), ["day", "event_id"], ["day"])
+    return spark.read.schema(e.schema).parquet(path).select("event_id", "day", "value")
