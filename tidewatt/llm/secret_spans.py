@@ -6,8 +6,7 @@ its features are a token's shape, its neighbours' words and shapes, and features
 Its best path is found by Viterbi's algorithm, and what it marks beyond the base spans is added as
 kind ``model``.
 
-The field learns from a bounded sample: snippets around base spans, and snippets of texts without
-one. Values of the former are also replaced by random ones of other alphabets and lengths, and the
+The field learns from a bounded sample: snippets around base spans, and snippets from any places. Values of the former are also replaced by random ones of other alphabets and lengths, and the
 words before them by others, so that shape and place are learned and not the patterns again; ordinary
 words and numbers in the same places are learned to be outside.
 
@@ -36,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "model")
-#: Texts with base spans, and texts without, that are learned from at most; snippets of each, code points around.
+#: Texts with base spans, and texts of any kind, that are learned from at most; snippets of each of the former, code points around.
 SAMPLE = 240
 SNIPPETS = 3
 AROUND = 160
@@ -233,8 +232,8 @@ def _snippets(text: str) -> list[str]:
 
 
 def learning_snippets(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[list[str], list[str]]:
-    """Snippets with base spans, and without, of at most ``sample`` texts each, chosen by a hash of the
-    text; one scan, and no whole text leaves its task."""
+    """Snippets around base spans, and from hashed places of any texts, of at most ``sample`` texts
+    each, chosen by a hash of the text; no whole text leaves its task."""
 
     @F.pandas_udf("array<string>")
     def around(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -242,10 +241,10 @@ def learning_snippets(docs: DataFrame, text: str = "text", sample: int = SAMPLE)
             yield pd.Series([_snippets(t) for t in texts], dtype=object)
 
     t = F.col(text)
-    rows = docs.select(F.xxhash64(F.lit("secrets"), t).alias("h"), t.rlike(LIKELY).alias("m"), t.alias("t")).where("t is not null and t <> ''")
+    rows = docs.select(F.xxhash64(F.lit("secrets"), t).alias("h"), t.alias("t")).where("t is not null and t <> ''")
     start = F.pmod(F.shiftright("h", 20), F.greatest(F.lit(1), F.length("t") - 2 * AROUND)).cast("int") + 1
-    plain = rows.where("not m").select("h", F.array(F.substring(F.col("t"), start, F.lit(2 * AROUND))).alias("s"))
-    marked = rows.where("m").select("h", around("t").alias("s"))
+    plain = rows.select("h", F.array(F.substring(F.col("t"), start, F.lit(2 * AROUND))).alias("s"))
+    marked = rows.where(F.col("t").rlike(LIKELY)).select("h", around("t").alias("s"))
     out = []
     for kind in (marked, plain):
         first = kind.groupBy("h").agg(F.min("s").alias("s")).orderBy("h").limit(sample).collect()
