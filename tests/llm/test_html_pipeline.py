@@ -96,55 +96,130 @@ def test_the_tree_judges_names(spark):
 
 
 def slow_tree(rows):
-    """importance() in plain Python, from the markup of one host's distinct pages."""
+    """importance() in plain Python, from (host, markup) of distinct pages."""
     import math
     from collections import Counter, defaultdict
 
-    words, seen, shapes = defaultdict(Counter), Counter(), defaultdict(Counter)
-    for markup in rows:
-        page = html.Page(markup, "h.com", kept=None)
-        here = defaultdict(set)
-        for path, text in page.blocks:
+    words, seen, shapes, whole, sizes, linked = defaultdict(Counter), Counter(), defaultdict(Counter), defaultdict(Counter), Counter(), Counter()
+    for host, markup in rows:
+        page = html.Page(markup, host, kept=None)
+        here, texts = defaultdict(set), defaultdict(str)
+        for (path, text), links in zip(page.blocks, page.linked):
             here[path] |= set(text.split())
+            sizes[path] += len(text.split())
+            linked[path] += links
+            for k in range(16, len(path) + 1, 8):
+                texts[path[:k]] += text
         for path, link in page.links:
             if path in here:
                 here[path].add("link " + link)
         for path, own in here.items():
             seen[path] += 1
             words[path].update(own)
+        for path, text in texts.items():
+            whole[path][text] += 1
         for path, names in page.children.items():
             shapes[path][" ".join(names)] += 1
     entropy = lambda c, m: math.log(c) / math.log(m) if m > 1 else 0.0
-    out = {}
+    tree = {}
     for path in {p[:k] for p in words for k in range(8, len(p) + 1, 8)}:
         leaves = [p for p in words if p.startswith(path)]
         known = [1 - entropy(c, seen[p]) for p in leaves for c in words[p].values()]
-        information = sum(c * (1 - entropy(c, seen[p])) for p in leaves for c in words[p].values())
-        n = sum(shapes[path].values())
-        variety = math.exp(-sum(c / n * math.log(c / n) for c in shapes[path].values())) if n else 0
-        out[path] = [max(seen[p] for p in leaves), sum(known) / len(known), information, variety]
-    total = max(out[html.step("h.com")][2], 1e-9)
-    containers = [p for p, v in out.items() if v[2] / total >= html.MOST and v[3] >= html.VARIED]
-    container = min(containers, key=len, default=None)
-    for path, v in out.items():
-        kind, mass = path[-8:-7], v[2] / total
-        inside = container and path.startswith(container) or kind == html.HEADING
-        share = html.HINTED if kind == html.HINT else html.NAMED_AS if kind == html.NAMED and mass < html.MOST else 1
-        out[path] = (v[0], v[1], mass, v[1] * share * (1 if inside else min(1, mass / html.SHARE)))
+        pages, n, said = max(seen[p] for p in leaves), sum(shapes[path].values()), sum(whole[path].values())
+        size = sum(sizes[p] for p in leaves)
+        tree[path] = {
+            "pages": pages, "content": sum(known) / len(known), "information": sum(c * (1 - entropy(c, seen[p])) for p in leaves for c in words[p].values()), "size": size / pages,
+            "linked": sum(linked[p] for p in leaves) / max(1, size), "variety": math.exp(-sum(c / n * math.log(c / n) for c in shapes[path].values())) if n else 0,
+            "whole": sum(c / said * (1 - entropy(c, said)) for c in whole[path].values()) if said else 1.0,
+        }
+    containers, headed, pool = set(), set(), defaultdict(lambda: [0, 0, 0])
+    for path, v in tree.items():
+        v["mass"] = v["information"] / max(tree[path[:8]]["information"], 1e-9)
+        own = pool[path[8:]]
+        own[0] += v["pages"]
+        own[1] += v["pages"] * v["mass"]
+        own[2] += v["pages"] * v["size"]
+    for site in {p[:8] for p in tree}:
+        varied = [p for p, v in tree.items() if p[:8] == site and v["mass"] >= html.MOST and v["variety"] >= html.VARIED]
+        containers |= {min(varied, key=len)} if varied else set()
+    for path, v in tree.items():
+        if path[-8:-7] == html.ARTICLE:
+            containers.add(path)
+        if path[-8:-7] == html.FIRST and v["content"] >= 0.5 and len(path) > 16:
+            containers.add(path[:-8])
+            headed.add(path[:-8])
+    out = {}
+    for path, v in tree.items():
+        kind, (n, mass, size) = path[-8:-7], pool[path[8:]]
+        drawn = lambda own, all_: (v["pages"] * own + html.DRAWN * all_ / n) / (v["pages"] + html.DRAWN)  # noqa: E731, B023
+        room = min(1, max(drawn(v["mass"], mass) / html.SHARE, drawn(v["size"], size) / html.LONG)) ** (1 - 1 / n)
+        text = kind in (html.HEADING, html.FIRST, html.PART)
+        if any(path.startswith(c) for c in containers):
+            own = v["content"] if v["linked"] >= html.LIST else 1 if text else max(v["content"], v["whole"])
+        else:
+            own = v["content"] * (1 if kind in (html.HEADING, html.FIRST) else room)
+        if any(c.startswith(path) for c in containers):
+            own = max(own, 1)
+        stays = v["mass"] > html.MOST and (drawn(v["mass"], mass) > html.MOST or v["size"] >= html.LONG) or path in headed and v["size"] >= html.LONG
+        share = html.HINTED if kind == html.HINT else html.NAMED_AS if kind == html.NAMED and not stays else 1
+        out[path] = tuple(v[k] for k in ("pages", "content", "whole", "mass", "size", "linked", "variety")) + (own * share,)
     return out
 
 
 def test_importance_equals_brute_force(spark, sf):
-    made = [f"<body><div class='a-ad'>x{i % 5} y{i % 3}</div><article>{article(i)}<h2>head {i}</h2><div class='ad'><a href='/{i % 4}'>same</a></div></article><p>root {i}" for i in range(30)]
-    table = [r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").orderBy("page_id").limit(40).collect()]
+    made = [("h.com", f"<body><div class='a-ad'>x{i % 5} y{i % 3}</div><article>{article(i)}<h2>head {i}</h2><div class='ad'><a href='/{i % 4}'>same</a> or</div></article><p>root {i}") for i in range(30)]
+    made += [(f"h{i % 4}.com", f"<body><div class='search'><h1>own {i}</h1><p>{article(i, 3)}</p></div><div><ul><li><a href='/'>one</a></ul></div>") for i in range(6)]
+    table = [("h.com", r["html"]) for r in spark.read.parquet(f"{sf}/pages.parquet").orderBy("page_id").limit(40).collect()]
     for pages in (made, list(dict.fromkeys(table))):
-        rows = [(i, "http://h.com/", m) for i, m in enumerate(pages + pages[:1] * 9)]
-        got = {bytes(r["path"]): (r["pages"], r["content"], r["mass"], r["importance"]) for r in html.importance(html.style_features(spark.createDataFrame(rows, PAGES))).collect()}
+        rows = [(i, f"http://{h}/", m) for i, (h, m) in enumerate(pages + pages[:1] * 9)]
+        got = {bytes(r["path"]): tuple(r)[2:] for r in html.importance(html.style_features(spark.createDataFrame(rows, PAGES))).collect()}
         want = slow_tree(pages)
         assert got.keys() == want.keys()
         assert all(got[p] == pytest.approx(want[p], abs=1e-5) for p in want)
 
 
+def many(i, n):
+    return " ".join(f"w{i}x{k} the and" for k in range(n // 3))
+
+
+def test_what_recurs_in_articles_stays(spark):
+    rows = [(i, f"http://a.com/{i}", f"<body><nav>m</nav><div class='wrap'><h1>title {i}</h1><h2>Introduction</h2><p>{many(i, 60)}</p>{'<p>' + many(i + 1000, 30) + '</p>' if i % 2 else ''}<h2>Summary</h2><p>{many(i + 500, 30 + 3 * (i % 7))}</p><table><tr><th>Price</th><td>{i * 17}</td></tr></table><div class='z'>Always the same</div><ul><li><a href='/x'>one</a></li><li><a href='/y'>two</a></li></ul></div><div class='foot'>All the same here</div></body>") for i in range(40)]
+    got = extracted(spark, rows)
+    for i in range(40):
+        assert all(w in got[i]["text"] for w in (f"title {i}", "Introduction", "Summary", "Price", f"w{i}x0"))
+        assert not any(w in got[i]["text"] for w in ("All the same", "Always the same", "one two"))
+
+
+@pytest.mark.parametrize("long", [100, 400])
+@pytest.mark.parametrize("tag", ["article", "div", "p"])
+def test_short_articles_beside_long_columns_stay(spark, long, tag):
+    head = lambda i: "" if tag == "p" else f"<h1>head{i} of it</h1>"
+    rows = [(i, f"http://b.com/{i}", f"<body><{tag}>{head(i)}<p>{many(i, 24)}</p></{tag}><div class='col'><p>{many(i + 1000, long)}</p>{('<p>' + many(i + 3000, 30) + '</p>') * (i % 4)}</div></body>") for i in range(20)]
+    got = extracted(spark, rows)
+    assert all(f"w{i}x0" in got[i]["text"] and (f"head{i}" in got[i]["text"] or not head(i)) for i in range(20))
+
+
+@pytest.mark.parametrize("pages", [1, 2, 3, 7, 8])
+def test_hosts_of_few_pages_are_judged_alike(spark, pages):
+    rows = [(i, f"http://c.com/{i}", f"<body><div class='x'>Read this every time</div><div class='notice'><p>{many(i, 90)}</p>{('<p>' + many(i + 500, 20) + '</p>') * (i % 5)}</div><div class='y'>ending of all</div></body>") for i in range(pages)]
+    rows += [(100, "http://d.com/", f"<body><section class='search'><h1>Search algorithms</h1><p>{many(1, 90)}</p></section></body>"), (101, "http://e.com/", f"<div id='menu'><h1>Menu of the week</h1><p>{many(2, 90)}</p></div>"), (102, "http://f.com/", f"<div class='banner'><p>{many(3, 90)}</p></div><div class='menu'>a b c</div>")]
+    got = extracted(spark, rows)
+    assert all(f"w{i}x0" in got[i]["text"] and (pages == 1 or "Read this" not in got[i]["text"] and "ending" not in got[i]["text"]) for i in range(pages))
+    assert got[100]["text"].startswith("Search algorithms w1x0") and got[101]["text"].startswith("Menu of the week w2x0") and got[102]["text"] == many(3, 90)
+
+
+def test_lists_in_one_stream_with_pages(spark, sf, monkeypatch):
+    """With very many judged nodes lists go before their hosts' pages, a large host's to several tasks."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").withColumn("url", F.when(F.col("page_id") % 3 > 0, "http://one.com/").otherwise(F.col("url")))
+    pages = pages.unionByName(spark.createDataFrame([(9001, None, None), (9002, "x", "")], PAGES))
+    order = lambda df: sorted(map(tuple, df.collect()))
+    want = order(html.extract(pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), "html")))
+    monkeypatch.setattr(html, "NODES", -1)
+    monkeypatch.setattr(html, "HOT", 6)
+    assert order(html.extract(pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), "html"))) == want
+    assert html.extract(pages.limit(0)).collect() == []
+
+
 def test_templates_go_and_articles_stay(spark):
     rows = []
     for i in range(40):
@@ -186,10 +261,8 @@ def test_articles_of_the_table(spark, sf):
 
 
 def test_the_tree_finds_the_articles_without_names(spark):
-    """On the table, with one host's pages in place of each, no class word is needed."""
-    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("url", F.concat(F.lit("http://h"), F.col("page_id") % 8, F.lit(".com/"), "page_id"))
-    lists = html.judged_nodes(pages, frozenset()).collect()
-    assert len(lists) == 8 and all(r["removed"] for r in lists)
+    """On the table, whose hosts have one to some dozens of pages, no class word is needed."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     found = list(articles(html.extract(pages, frozenset()).join(pages.select("page_id", "html"), "page_id").collect()))
     assert sum(a == b for a, b in found) >= 0.95 * len(found)
 

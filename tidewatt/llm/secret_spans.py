@@ -6,9 +6,10 @@ its features are a token's shape, its neighbours' words and shapes, and features
 Its best path is found by Viterbi's algorithm, and what it marks beyond the base spans is added as
 kind ``model``.
 
-The field learns from a bounded sample: snippets around base spans, and snippets from any places. Values of the former are also replaced by random ones of other alphabets and lengths, and the
-words before them by others, so that shape and place are learned and not the patterns again; ordinary
-words and numbers in the same places are learned to be outside.
+The field learns from a bounded sample: snippets around base spans, and snippets from any places.
+Values of the former are also replaced by random ones of other alphabets and lengths, and the words
+before them by others, so that shape and place are learned and not the patterns again; ordinary words
+and numbers in the same places are learned to be outside.
 
 Where the score of outside leads by more than transitions can make up for, a token is outside on
 every best path. These are found for all tokens at once, and only the runs between them are
