@@ -290,6 +290,36 @@ def test_licences(spark):
     assert licences.scan(df).count() == len(files) and licences.scan(df.limit(0)).count() == 0
 
 
+REAL = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0",
+    "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+
+
+def test_real_licence_files(spark):
+    """Licences as they are distributed, each in its directory with a file that inherits."""
+    from pathlib import Path
+
+    there = [(n, p) for n in REAL if (p := Path("/usr/share/common-licenses") / n).exists()]
+    if not there:
+        pytest.skip("no licences on this machine")
+    files = [(n, f"/src/{n}/LICENSE", p.read_text(errors="replace")) for n, p in there] + [(f"{n}.c", f"/src/{n}/lib/x.c", "int main() {}") for n, _ in there]
+    files += [("none", "/other/x.c", "All the rights and wrongs"), ("own", "/src/GPL-2/y.c", "Copyright X. All rights reserved.\nsome code")]
+    got = {r["id"]: r["license"] for r in licences.scan(spark.createDataFrame(files, "id string, path string, text string")).collect()}
+    assert {n: got[n] for n, _ in there} == {n: REAL[n] for n, _ in there}
+    assert all(got[f"{n}.c"] == REAL[n] for n, _ in there) and got["none"] is None and got["own"] == "Proprietary"
+
+
+@pytest.mark.parametrize("each", [1, 3, 7])
+def test_headers_of_any_length(spark, each):
+    """Whole licences wrapped to lines of few words, between other lines, and a reserved right inside of one."""
+    wrap = lambda t, sign: "\n".join(sign + " ".join(t.split()[i : i + each]) for i in range(0, len(t.split()), each))
+    code = "\n".join(f"int f{i}(void);" for i in range(300))
+    files = [(k, f"/d/{k}.c", f"{code}\n{wrap(licences.TEMPLATES[k][-1].replace('AS IS', 'AS IS All rights reserved'), '// ')}\n{code}") for k in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0")]
+    got = {r["id"]: r["own_license"] for r in licences.scan(spark.createDataFrame(files, "id string, path string, text string")).collect()}
+    assert got == {k: k for k, *_ in files}
+
+
 def test_wrapped_and_whole_licences(spark):
     """Headers over several lines, in long lines and in comments; whole licence files by body or title."""
     bsd = licences.TEMPLATES["BSD-3-Clause"][1]
