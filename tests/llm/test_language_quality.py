@@ -55,3 +55,74 @@ def test_quality_edge_cases(spark):
 def test_every_labelled_document_is_in_a_pair():
     better, worse = quality.pairs(np.array([1] * 70 + [0] * 9))
     assert set(better) == set(range(70)) and set(worse) == set(range(70, 79))
+
+
+def slow_judge(content, text):
+    """Every block compressed anew under every dictionary, sizes summed, the smallest taken."""
+    import zstandard
+
+    raw = language.letters(text).encode()
+    step = -(-len(raw) // language.WINDOWS)
+    if len(raw) <= language.SHORT:
+        blocks = [raw[max(0, i - language.WINDOW * step) : i] for i in range(min(4 * step, len(raw)), len(raw) + 1, step)]
+        plain = dict(window_log=18, chain_log=18, hash_log=17, search_log=6, min_match=3, target_length=256, strategy=zstandard.STRATEGY_BTOPT)
+        made = zstandard.ZstdCompressionParameters(format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False, **plain)
+    else:
+        blocks = [raw[i : i + language.BLOCK] for i in range(0, len(raw), language.BLOCK)]
+        made = zstandard.ZstdCompressionParameters.from_level(language.LEVEL, source_size=language.BLOCK, dict_size=max(map(len, content.values())), format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
+    sizes = {}
+    for lang, own in content.items():
+        lead = own[-language.LEAD :]
+        size = lambda data: len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(own, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=made).compress(data))  # noqa: E731, B023
+        sizes[lang] = sum(size(lead + b) - size(lead) for b in blocks)
+    return min(sorted(sizes), key=sizes.get), sizes
+
+
+def test_languages_equal_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    content = language.learn_dictionaries(language.training_rows(docs))
+    compressors = language.Compressors(content)
+    texts = [r["text"] for r in docs.orderBy("doc_id").limit(12).collect()]
+    for text in [*texts, *[t[50:90] for t in texts], *[t[50:250] for t in texts[:6]]]:
+        if language._LETTER.search(text):
+            want, sizes = slow_judge(content, text)
+            got, _, rejected = compressors.judge(text)
+            low, high = sorted(sizes.values())[:2]
+            assert got == want and rejected == ((high - low) / max(1, high) < language.NARROW)
+
+
+def test_every_language_is_learned(spark):
+    import random
+
+    rng = random.Random(3)
+    words = {f"l{k:03}": ["".join(chr(97 + rng.randrange(26)) for _ in range(6)) for _ in range(8)] for k in range(300)}
+    docs = spark.createDataFrame([(i, " ".join(own * 4), lang) for i, (lang, own) in enumerate(words.items())], "doc_id long, text string, lang string")
+    content = language.learn_dictionaries(docs)
+    assert sorted(content) == sorted(words)
+    compressors = language.Compressors(content)
+    assert all(compressors.judge(" ".join(words[k][::-1]))[0] == k for k in ("l000", "l256", "l299"))
+
+
+def test_ties_of_languages_go_to_the_first():
+    same = b" the river and the road " * 30
+    assert language.Compressors({"b": same, "a": same}).judge("the river and the road")[::2] == ("a", True)
+
+
+def test_ranking_has_the_least_loss():
+    rng = np.random.default_rng(0)
+    x = rng.normal(0, 1, (80, 4))
+    label = (x[:, 0] + rng.normal(0, 1, 80) > 0).astype(int)
+    ranking = quality.Ranking(x, label)
+    better, worse = quality.pairs(label)
+    z = np.clip((x - ranking.middle) / ranking.scale, -6, 6)
+    z = np.concatenate([z, z**2 - 1], axis=1)
+
+    def loss(w):
+        return np.log1p(np.exp(-(z[better] - z[worse]) @ w)).sum() + quality.RIDGE / 2 * (w**2).sum()
+
+    at = loss(ranking.weights)
+    for k in range(8):
+        for d in (-1e-2, 1e-2):
+            assert loss(ranking.weights + d * np.eye(8)[k]) > at
+    scores = ranking.scores(x)
+    assert np.isclose(np.quantile(scores, np.mean(label == 0)), quality.CUT, atol=0.02)

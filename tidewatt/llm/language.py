@@ -12,8 +12,12 @@ dictionary. Labels that are null, and null or empty texts, teach nothing. Repeat
 judged alike; texts that two languages make equally small go to the one that sorts first, and are
 rejected. Columns are only added.
 
-Short texts need a finer parser, and tiny ones all their windows, for sizes in whole bytes to tell
-languages apart; for long texts neither changes the outcome, and the parser takes four times as long.
+Sizes in whole bytes tell long texts' languages apart, but not those of short ones: these are cut into
+``WINDOWS`` overlapping windows, whose sizes together resolve fractions of a byte, and are compressed
+with a finer parser. For long texts neither changes the outcome, and the parser takes four times as long.
+
+Every language is learned. The sample has ``SNIPPETS`` snippets of each, or fewer where there are so
+many languages that all would have more than ``SAMPLE``.
 """
 
 from __future__ import annotations
@@ -30,8 +34,8 @@ UNKNOWN = "und"
 #: The training sample: about so many snippets of each language, of so many characters.
 SNIPPETS = 512
 SNIPPET_CHARACTERS = 384
-#: Languages that are learned at most.
-LANGUAGES = 256
+#: Snippets of all languages, about; more languages than that are an error in the labels.
+SAMPLE = 131_072
 #: Bytes compressed at a time.
 BLOCK = 4096
 LEVEL = 3
@@ -42,9 +46,8 @@ SURE = 0.08
 #: Texts up to so many bytes are compressed with an optimal parser, which finds matches from 3 bytes on.
 SHORT = 384
 LEAD = 512
-#: Texts up to so many bytes are cut into all windows of WINDOW bytes, whose sizes together resolve
-#: fractions of a byte.
-TINY = 96
+#: Windows of a short text, about, and the bytes of one where all windows fit in.
+WINDOWS = 48
 WINDOW = 12
 
 _LETTER = regex.compile(r"\p{L}")
@@ -59,15 +62,18 @@ def letters(text: str) -> str:
 
 
 def learn_dictionaries(docs: DataFrame, snippets: int = SNIPPETS, characters: int = SNIPPET_CHARACTERS) -> dict[str, bytes]:
-    """language -> content, from rows (doc_id, text, lang) of the LANGUAGES commonest languages.
+    """language -> content, from rows (doc_id, text, lang).
     The sample is chosen by a hash of id and text at a rate set by each language's count, so it is
     bounded, evenly spread and repeatable; a snippet starts at a hashed place in its text. Rows that
     repeat id and text give one snippet."""
     rows = docs.where("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(SAMPLE + 1).collect()}
     if not counts:
         return {}
-    rate = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, snippets / n))])
+    if len(counts) > SAMPLE:
+        raise ValueError(f"more than {SAMPLE} languages")
+    snippets = max(1, min(snippets, SAMPLE // len(counts)))
+    rate = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, snippets / n))])
     h = F.xxhash64(F.lit("snippet"), "doc_id", "text")
     chance = F.pmod(h, F.lit(1 << 30)) / float(1 << 30)
     start = F.pmod(F.shiftright(h, 30), F.greatest(F.lit(1), F.length("text") - characters + 1)).cast("int") + 1
@@ -106,8 +112,9 @@ class Compressors:
         if not text or not self.languages or not _LETTER.search(text):
             return UNKNOWN, 0.0, True
         raw = letters(text).encode("utf-8", "surrogatepass")
-        if len(raw) <= TINY:
-            blocks = [raw[max(0, i - WINDOW) : i] for i in range(min(4, len(raw)), len(raw) + 1)]
+        if len(raw) <= SHORT:
+            step = -(-len(raw) // WINDOWS)
+            blocks = [raw[max(0, i - WINDOW * step) : i] for i in range(min(4 * step, len(raw)), len(raw) + 1, step)]
         else:
             blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
         sizes = [sum(map(size, blocks)) for size in self._each[len(raw) > SHORT]]
