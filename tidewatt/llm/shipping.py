@@ -9,11 +9,16 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 NAME = "tidewatt_llm_workers.zip"
+#: Rows in an Arrow batch, unless the session says otherwise: whole texts are long, and a worker holds a batch of them at a time.
+BATCH = 1024
+_KEY, _DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Hands this subpackage's modules to the workers, once for each Spark context."""
+    """Hands this subpackage's modules to the workers, once for each Spark context, in batches of texts that fit them."""
     context = spark.sparkContext
+    if spark.conf.get(_KEY, _DEFAULT) == _DEFAULT:
+        spark.conf.set(_KEY, str(BATCH))
     if NAME in context._python_includes:
         return
     root = Path(__file__).resolve().parent.parent
