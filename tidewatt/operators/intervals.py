@@ -64,3 +64,22 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], on: str, value: st
     known = F.last("_v", ignorenulls=True).over(w)
     out = both.withColumn(value, known if keys else F.coalesce(known, "_carried")).where("_side = 1")
     return out.drop("_side", "_v", "_block", "_carried")
+
+
+def known_at(asked: DataFrame, versions: DataFrame, keys: list[str], at: str, decided: str, start: str, end: str, created: str, order: list[str], values: list[str], step: str) -> DataFrame:
+    """Adds to each row of asked, for its keys, its slot ``at`` and its own time of decision, the values of
+    the version valid in the slot that was the newest then: of those created at or before the decision
+    the last by created and order. A revision that arrives late changes only decisions after it; rows
+    without a version have nulls.
+
+    Versions are expanded to the slots that they are valid in, which bounds the work by them, and both sides
+    are put in one order by time within a key's slot, where what is known is carried along: no pairs
+    arise, and a key with very many rows is dealt out by slots."""
+    marks = slots_of(versions.where(F.col(created).isNotNull()), start, end, step)
+    told = marks.select(*keys, F.col("slot").alias(at), F.col(created).alias("_t"), F.lit(0).alias("_side"), F.struct(*[F.col(c) for c in order], F.lit(0)).alias("_o"), F.struct(*values).alias("_v"))
+    rows = asked.withColumn("_t", F.col(decided)).withColumn("_side", F.lit(1))
+    both = rows.unionByName(told, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, at).orderBy("_t", "_side", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumn("_known", F.last("_v", ignorenulls=True).over(w)).where("_side = 1")
+    known = F.when(F.col(decided).isNotNull(), F.col("_known"))
+    return out.select(*asked.columns, *[known[c].alias(c) for c in values])

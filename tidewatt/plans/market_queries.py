@@ -6,15 +6,20 @@ or documents' points, and an order with its lines is one document.
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatt.functions import stats
 from tidewatt.functions import timegrid as T
-from tidewatt.operators import checks, intervals, ledger, resample, reshape, upsert
+from tidewatt.operators import checks, intervals, ledger, quantiles, resample, reshape, upsert
 from tidewatt.plans import market
 from tidewatt.plans.catalogue import QUERIES, SQL, _t, query
 from tidewatt.scratch import scratch
+from tidewatt.sources import archives, arrivals, sheets
 from tidewatt.sources import documents as sources
 from tidewatt.streaming import live
 
@@ -270,10 +275,8 @@ def json_rates(spark, sf_dir):
     return docs.select("o_orderkey", sources.rate(F.col("text")).alias("rate"))
 
 
-@query("""with l as (select *, row_number() over (partition by l_orderkey order by l_linenumber) rn from lineitem) select l_orderkey, cast(l_orderkey % 4 as int) revision_number, case when l_orderkey % 2 = 0 then 'A09' else 'A05' end doc_status, 'B95' reason_code, min(l_shipdate) unavail_start, min(l_shipdate) + interval 2 hour unavail_end,
- 100.0::double nominal_mw, min(l_quantity) min_available_mw, 100 - min(l_quantity) max_unavailable_mw, count(*) points, min(l_shipdate) + interval 30 minute point_end from l group by l_orderkey""")
-def xml_outages(spark, sf_dir):
-    """An order as an outage with its lines as points."""
+def _outage_docs(spark, sf_dir) -> DataFrame:
+    """An order as the document of an outage, with its lines as points."""
     start = F.min("l_shipdate")
     at = lambda c, minutes, form: F.date_format(c + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)), form)
     point = _tag("Point", F.concat(_tag("position", F.col("l_linenumber").cast("string")), _tag("quantity", F.col("l_quantity").cast("string"))))
@@ -287,7 +290,17 @@ def xml_outages(spark, sf_dir):
     )
     status = F.when(F.col("l_orderkey") % 2 == 0, _tag("docStatus", _tag("value", F.lit("A09")))).otherwise("")
     reason = _tag("Reason", F.concat(_tag("code", F.lit("B95")), _tag("text", F.lit("x"))))
-    docs = li.select("l_orderkey", F.concat(F.lit('<D xmlns="urn:o">'), _tag("revisionNumber", (F.col("l_orderkey") % 4).cast("string")), status, reason, _tag("TimeSeries", series), F.lit("</D>")).alias("text"))
+    return li.select("l_orderkey", F.concat(F.lit('<D xmlns="urn:o">'), _tag("revisionNumber", (F.col("l_orderkey") % 4).cast("string")), status, reason, _tag("TimeSeries", series), F.lit("</D>")).alias("text"))
+
+
+@query("""with l as (select *, row_number() over (partition by l_orderkey order by l_linenumber) rn from lineitem) select l_orderkey, cast(l_orderkey % 4 as int) revision_number, case when l_orderkey % 2 = 0 then 'A09' else 'A05' end doc_status, 'B95' reason_code, min(l_shipdate) unavail_start, min(l_shipdate) + interval 2 hour unavail_end,
+ 100.0::double nominal_mw, min(l_quantity) min_available_mw, 100 - min(l_quantity) max_unavailable_mw, count(*) points, min(l_shipdate) + interval 30 minute point_end from l group by l_orderkey""")
+def xml_outages(spark, sf_dir):
+    """An order as an outage with its lines as points."""
+    return _outages(_outage_docs(spark, sf_dir))
+
+
+def _outages(docs: DataFrame) -> DataFrame:
     o = sources.outages(docs)
     return o.select("l_orderkey", "revision_number", "doc_status", "reason_code", "unavail_start", "unavail_end", "nominal_mw", "min_available_mw", "max_unavailable_mw", F.size("points").cast("long").alias("points"), F.col("points")[0]["point_end"].alias("point_end"))
 
@@ -518,3 +531,119 @@ def upsert_partitions(spark, sf_dir):
     added = fifth.select((F.col("event_id") + 10000000).alias("event_id"), F.date_add("day", 60).alias("day"), "value")
     upsert.merge_partitions(path, changed.unionByName(added), ["day", "event_id"], ["day"])
     return spark.read.schema(e.schema).parquet(path).select("event_id", "day", "value")
+
+
+# Archives, spreadsheets, arrivals; decisions and quantiles.
+
+
+@query(SQL["xml_outages"])
+def archived_outages(spark, sf_dir):
+    """The documents of outages in archives of some, of which each third is in an archive of its own within."""
+
+    @F.pandas_udf("binary")
+    def packed(each: pd.Series) -> pd.Series:
+        def archive(entries) -> bytes:
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                for name, content in entries:
+                    z.writestr(name, content)
+            return out.getvalue()
+
+        def one(rows) -> bytes:
+            entries = [(f"{r['l_orderkey']}.xml", r["text"]) for r in rows]
+            return archive([(f"{n}.zip", archive([(n, t)])) if i % 3 == 0 else (n, t) for i, (n, t) in enumerate(entries)] + [("notes.txt", "no document")])
+
+        return pd.Series([one(rows) for rows in each])
+
+    docs = _outage_docs(spark, sf_dir)
+    boxes = docs.groupBy(F.floor(F.col("l_orderkey") / 50).alias("box")).agg(F.sort_array(F.collect_list(F.struct("l_orderkey", "text"))).alias("d")).select(packed("d").alias("content"))
+    texts = archives.documents(boxes).select(F.regexp_extract("member", r"(\d+)\.xml$", 1).cast("long").alias("l_orderkey"), "text")
+    return _outages(texts)
+
+
+def _workbooks(rows: DataFrame, file: list[str], order: str, cells: Column, head: list[list], sheet: str) -> DataFrame:
+    """A workbook for each file: the head, and the rows' cells in order. Cells are text."""
+
+    @F.pandas_udf("binary")
+    def made(each: pd.Series) -> pd.Series:
+        return pd.Series([archives.workbook({sheet: head + [list(r["c"]) for r in rows]}) for rows in each])
+
+    return rows.groupBy(*file).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), cells.alias("c")))).alias("r")).select(*file, made("r").alias("content"))
+
+
+@query("""with k as (select l_orderkey, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as int) n, l_extendedprice p, l_quantity v, l_tax x from lineitem)
+ select l_orderkey, n as "period", p price, v volume, cast(null as double) purchase_60, x exported, true is_15min from k where l_orderkey % 2 = 0
+ union all select l_orderkey, cast((n - 1) * 4 + q.range as int), p, v / 4, v / 4, x / 4, false from k cross join range(1, 5) q where l_orderkey % 2 = 1""")
+def sheet_prices(spark, sf_dir):
+    """Orders as day-ahead workbooks, of quarters or, each second one, in the hourly layout, told apart by their cells."""
+    li = _t(spark, sf_dir, "lineitem")
+    order = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
+    li = li.withColumn("n", order)
+    text = lambda c: F.col(c).cast("string")
+    title = [["Day-Ahead Market"], []]
+    quarters = title + [["Period", "Time interval", "15 min price\n(EUR/MWh)", "Volume\n(MWh)", "Export\n(MWh)"]]
+    hours = title + [["Hour", "Price (EUR/MWh)", "Volume\n(MWh)", "Export"], [None, None, "Sale"]]
+    new = _workbooks(li.where("l_orderkey % 2 = 0"), ["l_orderkey"], "n", F.array(text("n"), T.period_label(F.col("n")), text("l_extendedprice"), text("l_quantity"), text("l_tax")), quarters, "Results")
+    old = _workbooks(li.where("l_orderkey % 2 = 1"), ["l_orderkey"], "n", F.array(text("n"), text("l_extendedprice"), text("l_quantity"), text("l_tax")), hours, "Results")
+    out = sheets.day_ahead(archives.workbook_rows(new.unionByName(old)), ["l_orderkey"])
+    return out.select("l_orderkey", "period", F.col("price_15min_eur_mwh").alias("price"), F.col("volume_mwh").alias("volume"), F.col("purchase_60min_products_mwh").alias("purchase_60"), F.col("export_mwh").alias("exported"), "is_15min")
+
+
+@query("""with k as (select l_orderkey, l_shipdate, l_quantity, l_extendedprice, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 i from lineitem where l_linenumber <> 4)
+ select l_orderkey, 2024010500000 + i trade_id, l_quantity qty_mw, l_extendedprice price_eur_mwh, l_shipdate exec_time from k""")
+def sheet_ticks(spark, sf_dir):
+    """Orders as workbooks of trades; each fourth line is cancelled."""
+    li = _t(spark, sf_dir, "lineitem").withColumn("n", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")))
+    cells = F.array(F.lit("20240105 10:00-20240105 10:15"), F.lit(None), F.lit(None), F.lit("N"), F.when(F.col("l_linenumber") == 4, "SN").otherwise(F.col("l_quantity").cast("string")), F.lit("1.5"), F.col("l_extendedprice").cast("string"), F.lit("2"), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    books = _workbooks(li, ["l_orderkey"], "n", cells, [["Trades"], [], ["of the day"], ["Kontrakt"], ["Kontrakt", None, None, None, "MW"]], "Trades")
+    return sheets.ticks(archives.workbook_rows(books), ["l_orderkey"], F.lit("2024-01-05").cast("date")).select("l_orderkey", "trade_id", "qty_mw", "price_eur_mwh", "exec_time")
+
+
+@query("""select event_id, event_type, case when event_type = 'view' then value + 1 else value end "value" from events""")
+def arrivals_read_once(spark, sf_dir):
+    """Events as files by type, read in three runs: all but one type, a new and a changed one, and nothing new."""
+    e = _t(spark, sf_dir, "events")
+    path = scratch(spark, "arrivals")
+
+    def deliver(rows: DataFrame) -> None:
+        line = F.to_json(F.struct("event_id", "event_type", "value")).alias("value")
+        rows.select(line, F.col("event_type").alias("kind")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind").text(f"{path}/in")
+
+    def read(found: DataFrame) -> DataFrame:
+        lines = found.select("path", F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("_l")).where("_l <> ''")
+        return lines.select("path", F.from_json("_l", "event_id LONG, event_type STRING, value DOUBLE").alias("_r")).select("path", "_r.*")
+
+    def run(n: int) -> DataFrame:
+        arrivals.take_in(spark, f"{path}/in", f"{path}/table", f"{path}/ledger", read, n, "part-*")
+        return spark.read.parquet(f"{path}/table")
+
+    deliver(e.where("event_type not in ('purchase', 'view')"))
+    run(1)
+    deliver(e.where("event_type = 'purchase'").unionByName(e.where("event_type = 'view'").withColumn("value", F.col("value") + 1)))
+    run(2)
+    return run(3).select("event_id", "event_type", "value")
+
+
+@query("""with v as (select *, o_orderdate a, o_orderdate + to_days(cast(o_orderkey % 5 + 1 as int)) b, o_orderdate - to_days(cast(o_custkey % 30 as int)) created from orders),
+ q as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, o_custkey, cast(o_orderdate as date) + l_linenumber - 1 slot, o_orderdate - to_days(cast(l_linenumber * 4 as int)) decided from lineitem join orders on o_orderkey = l_orderkey)
+ select q.l_orderkey, q.l_linenumber, q.l_partkey, q.l_suppkey, q.l_quantity, q.l_extendedprice, arg_max(v.o_orderkey, row(v.created, v.o_orderkey)) known, arg_max(v.o_totalprice, row(v.created, v.o_orderkey)) known_mw
+ from q left join v on v.o_custkey = q.o_custkey and v.a < q.slot + interval 1 day and v.b > q.slot and v.created <= q.decided group by q.l_orderkey, q.l_linenumber, q.l_partkey, q.l_suppkey, q.l_quantity, q.l_extendedprice, q.o_custkey, q.slot, q.decided""")
+def known_at_each_decision(spark, sf_dir):
+    """Orders as outages that are published some days ahead; each line asks, some days before its own, what was known then of its day."""
+    o = _t(spark, sf_dir, "orders")
+    back = lambda days: F.col("o_orderdate") - F.make_dt_interval(days.cast("int"))
+    versions = o.select("o_custkey", "o_orderkey", "o_totalprice", F.col("o_orderdate").alias("a"), (F.col("o_orderdate") + F.make_dt_interval((F.col("o_orderkey") % 5 + 1).cast("int"))).alias("b"), back(F.col("o_custkey") % 30).alias("created"))
+    li = _t(spark, sf_dir, "lineitem").join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey")
+    names = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    asked = li.select(*names, "o_custkey", F.date_add(F.to_date("o_orderdate"), F.col("l_linenumber") - 1).alias("slot"), back(F.col("l_linenumber") * 4).alias("decided"))
+    asked = asked.groupBy(*asked.columns).count().drop("count")
+    out = intervals.known_at(asked, versions, ["o_custkey"], "slot", "decided", "a", "b", "created", ["o_orderkey"], ["o_orderkey", "o_totalprice"], "1 day")
+    return out.select(*names, F.col("o_orderkey").alias("known"), F.col("o_totalprice").alias("known_mw"))
+
+
+@query("""select l_returnflag flag, quantile_cont(l_extendedprice, 0.5) price_median, quantile_cont(l_extendedprice, 0.95) price_p95 from lineitem group by 1 union all select 'all', quantile_cont(l_extendedprice, 0.5), quantile_cont(l_extendedprice, 0.95) from lineitem""")
+def quantiles_of_large_groups(spark, sf_dir):
+    """Medians and 95 % quantiles of three groups and of all rows, without a task that holds a group."""
+    li = _t(spark, sf_dir, "lineitem")
+    rows = li.select(F.col("l_returnflag").alias("flag"), "l_extendedprice").unionByName(li.select(F.lit("all").alias("flag"), "l_extendedprice"))
+    return quantiles.quantiles(rows, ["flag"], "l_extendedprice", {"price_median": 0.5, "price_p95": 0.95})
