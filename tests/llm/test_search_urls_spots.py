@@ -49,6 +49,19 @@ def test_repeated_queries_are_searched_once(spark):
     assert [r[1] for r in least] == [*range(1, 21)] and np.isclose(least[0][3], max(np.dot(other[1], v) for i, v in rows if i))
 
 
+def test_very_many_rows_of_one_id_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_BYTES", 64 * 8 * 50)
+    rng = np.random.default_rng(8)
+    rows = [(7, [float(x) for x in rng.standard_normal(8)]) for _ in range(400)] + [(i, [float(x) for x in rng.standard_normal(8)]) for i in range(100, 140)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in neighbours.nearest(df, F.col("id") % 20 == 0, 6).collect())
+    want = brute([(i, v) for i, v in rows], 6, 20)
+    assert [g[:2] for g in got] == [w[:2] for w in want] and np.allclose([g[3] for g in got], [w[3] for w in want], atol=1e-2)
+    coded = neighbours.encoded(neighbours.usable(df, "vec_id", "embedding")).withColumn("_row", F.monotonically_increasing_id())
+    blocks = coded.groupBy(F.pmod(F.xxhash64(F.lit("c"), "_row"), F.lit(8))).count().collect()
+    assert max(r["count"] for r in blocks) < 120
+
+
 def test_values_of_any_size_and_length_take_part(spark):
     rng = np.random.default_rng(5)
     rows = [(i, (rng.standard_normal(24) * 10.0 ** (0 if i % 3 else rng.integers(-150, 150))).tolist()) for i in range(200)]

@@ -157,15 +157,16 @@ def encoded(rows: DataFrame) -> DataFrame:
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the k candidates with the largest inner products. is_query:
     of the column ``id``."""
-    rows = lasting(encoded(usable(vectors, vec_id, embedding)))
+    # A stored number deals candidates out, so that very many rows of one id don't meet in one block.
+    rows = lasting(encoded(usable(vectors, vec_id, embedding)).withColumn("_row", F.monotonically_increasing_id()))
     n, nq, longest = rows.agg(F.count("*"), F.count_if(is_query), F.max(F.size("v"))).first()
     room = lambda m, size: max(1, -(-m * 8 * (longest or 1) // size))
     blocks, query_blocks = room(n, BLOCK_BYTES), room(nq, QUERY_BYTES)
-    number = lambda m, what: F.pmod(F.xxhash64(F.lit(what), "id"), F.lit(m)).cast("int")
+    number = lambda m, what, by: F.pmod(F.xxhash64(F.lit(what), by), F.lit(m)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    candidates = rows.withColumn("b", number(blocks, "c")).select(F.size("v").alias("d"), "b", every(query_blocks).alias("qb"), F.col("id").alias("cid"), F.col("v").alias("cv"), "bits", "inner", "length")
+    candidates = rows.withColumn("b", number(blocks, "c", "_row")).select(F.size("v").alias("d"), "b", every(query_blocks).alias("qb"), F.col("id").alias("cid"), F.col("v").alias("cv"), "bits", "inner", "length")
     asked = rows.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
-    queries = asked.withColumn("qb", number(query_blocks, "q")).select(F.size("v").alias("d"), every(blocks).alias("b"), "qb", "id", "v")
+    queries = asked.withColumn("qb", number(query_blocks, "q", "id")).select(F.size("v").alias("d"), every(blocks).alias("b"), "qb", "id", "v")
 
     def search(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
