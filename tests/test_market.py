@@ -182,3 +182,26 @@ def test_two_level_headers():
     sheet = pd.DataFrame([["", "", "Total", None, "Daily market", None], ["Delivery day", "Period", "Buy (MW)", "Sell (MW)", "Buy (MW)", "Sell (MW)"], ["2024-01-01", "00:00 - 00:15", 1, 2, 3, 4], [None, None, 9, 9, 9, 9]])
     got = documents.located_two_levels(sheet, 0, {"day": ("", "Delivery day"), "buy": ("Daily market", "Buy (MW)"), "sell": ("Total", "Sell (MW)"), "none": ("Total", "x")})
     assert got.values.tolist() == [["2024-01-01", 3, 2, None]]
+
+
+def test_status_and_currency_of_documents(spark):
+    prices = points(spark, dict(price=4.0, category="A04"), dict(price=5.0, category="A04", doc=1), dict(price=6.0, category="A05", doc=2, position=2, length=2))
+    told = prices.withColumns({"doc_status": F.when(F.col("doc") == 1, "A02").otherwise("A01"), "currency": F.when(F.col("doc") == 0, "CZK")})
+    volumes = points(spark, dict(quantity=1.0, difference=0.5, direction="A02", position=6, length=6))
+    got = market.imbalance_prices(told, volumes).orderBy("period").collect()
+    assert got[0]["status"] == "A01" and got[2]["status"] == "A02" and got[-1]["status"] == "A01" and {r["currency"] for r in got} == {"CZK"} and len(got) == 6
+    assert {r["currency"] for r in market.imbalance_prices(told.withColumn("currency", F.lit(None).cast("string")), volumes).collect()} == {"EUR"}
+
+
+def test_documents_tell_status_and_currency(spark):
+    series = "<TimeSeries><currency_Unit.name>{0}</currency_Unit.name><Period><timeInterval><start>2024-01-01T00:00Z</start><end>2024-01-01T00:15Z</end></timeInterval><resolution>PT15M</resolution><Point><position>1</position></Point></Period></TimeSeries>"
+    texts = [f"<D xmlns='urn:d'><docStatus><value>A02</value></docStatus>{series.format('CZK')}{series.format('PLN')}</D>", "<D>" + series.replace("currency_Unit.name", "x") + "</D>"]
+    got = documents.curve_points(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert [(r["doc_status"], r["currency"]) for r in got] == [("A02", "CZK"), ("A02", "CZK"), ("A01", None)]
+
+
+def test_plants_are_listed(spark):
+    at = datetime(2024, 1, 1)
+    events = spark.createDataFrame([("a long plant name", "gas", True, 1, 2.5, at, at.replace(hour=1), 1), (None, "gas", True, 1, 90.0, at, at.replace(hour=1), 2), ("b", None, True, 1, 3.5, at, at.replace(hour=1), 3)], "plant string, fuel string, active boolean, revision int, unavailable_mw double, start timestamp_ntz, end timestamp_ntz, id int")
+    hours = spark.createDataFrame([(at,), (at.replace(hour=5),)], "slot timestamp_ntz")
+    assert [r["listed"] for r in market.plant_outages(hours, events, names=True).orderBy("slot").collect()] == ["?:90, b:4, a long pla:2", ""]

@@ -13,10 +13,10 @@ Rule = tuple[str, ...]
 
 def aggregates(rules: dict[str, Rule], order: list[str], scale: dict[str, str] | None = None) -> list[Column]:
     """Output name -> (rule, column, ...). Rules: mean, median, sum, min, max, last (by ``order``),
-    any, count, vwap (price, volume). scale: decimal types that outputs are cast to."""
+    any, count, vwap (price, volume), hour (that the first one is in). scale: decimal types that outputs are cast to."""
     made = {
         "mean": F.avg, "median": stats.median, "sum": F.sum, "min": F.min, "max": F.max, "any": F.max, "count": F.count,
-        "last": lambda c: stats.last_by(c, *order), "vwap": stats.vwap,
+        "last": lambda c: stats.last_by(c, *order), "vwap": stats.vwap, "hour": lambda c: F.date_trunc("hour", F.min(c)),
     }
     out = []
     for name, (rule, *columns) in rules.items():

@@ -121,7 +121,10 @@ ROLL_UPS: dict[str, tuple[list[str], dict[str, Rule]]] = {
 
 
 def hourly(table: str, quarters: DataFrame) -> DataFrame:
+    """The hours of a table; where quarters have their delivery_datetime, the start of the first one's hour, too."""
     keys, rules = ROLL_UPS[table]
+    if "delivery_datetime" in quarters.columns:
+        rules = rules | {"delivery_datetime": ("hour", "delivery_datetime")}
     return resample.roll_up(quarters, rules, keys)
 
 
@@ -161,18 +164,28 @@ def _sequence() -> Column:
 def imbalance_prices(prices: DataFrame, volumes: DataFrame) -> DataFrame:
     """Prices of positive (A04) and negative (A05) imbalance with the volumes and situation of the
     system; prices without volumes have 0.0 and surplus. Documents have doc, series, part. A point
-    without one of the parts of a price has 0.0 for it."""
+    without one of the parts of a price has 0.0 for it. Where prices have doc_status and currency, status
+    is that of the last price's document, A01 without prices, and currency that of the area's last
+    document, EUR without one."""
     key = _key(prices)
     parts = [*PRICE_PARTS.values()]
     none = F.lit(None).cast("double")
-    p = _filled(prices.withColumns({c: F.coalesce(c if c in prices.columns else none, F.lit(0.0)) for c in parts}), ["price", *parts], ["category"])
+    p = _filled(prices.withColumns({c: F.coalesce(c if c in prices.columns else none, F.lit(0.0)) for c in parts}), ["price", *parts], ["category", *(["doc_status"] if "doc_status" in prices.columns else [])])
     of = lambda c, value: F.coalesce(F.max_by(F.when(F.col("category") == c, F.col(value)), F.when(F.col("category") == c, _sequence())), F.lit(0.0))
     columns = {f"{side}_imb_{v}_mwh": of(c, v) for c, side in (("A04", "pos"), ("A05", "neg")) for v in ["price", *parts]}
-    p = p.groupBy(*key).agg(*[c.alias(n) for n, c in columns.items()])
+    told = "doc_status" in prices.columns
+    status = [F.max_by("doc_status", _sequence()).alias("status")] if told else []
+    p = p.groupBy(*key).agg(*[c.alias(n) for n, c in columns.items()], *status)
     v = _filled(volumes, ["quantity", "difference"], ["direction"])
     situation = reshape.mapped(F.col("direction"), {"A01": "surplus", "A02": "deficit", "A03": "balanced"})
     v = v.groupBy(*key).agg(F.max_by("quantity", _sequence()).alias("imbalance_mwh"), F.max_by("difference", _sequence()).alias("difference_mwh"), F.max_by(situation, _sequence()).alias("situation"))
-    return reshape.combine(p, v, key, {**dict.fromkeys(columns, 0.0), "imbalance_mwh": 0.0, "situation": "surplus"})
+    out = reshape.combine(p, v, key, {**dict.fromkeys(columns, 0.0), **({"status": "A01"} if told else {}), "imbalance_mwh": 0.0, "situation": "surplus"})
+    if "currency" not in prices.columns:
+        return out
+    areas = [c for c in _AREA if c in prices.columns]
+    last = prices.groupBy(*areas).agg(F.max_by("currency", F.when(F.col("currency").isNotNull(), F.col("doc"))).alias("currency"))
+    joined = out.join(last, areas, "left") if areas else out.crossJoin(F.broadcast(last))
+    return joined.withColumn("currency", F.coalesce("currency", F.lit("EUR")))
 
 
 def load(actual: DataFrame, forecast: DataFrame, fold: bool = False) -> DataFrame:
@@ -250,15 +263,21 @@ def total_of_areas(df: DataFrame, values: list[str]) -> DataFrame:
     return df.groupBy("country_code", *[k for k in _KEY if k in df.columns]).agg(*[F.sum(v).alias(v) for v in values])
 
 
-def plant_outages(hours: DataFrame, events: DataFrame) -> DataFrame:
-    """Per hour of the grid (column slot): plants, total_mw, and by_fuel, a map from fuel to MW. Of
+def plant_outages(hours: DataFrame, events: DataFrame, names: bool = False) -> DataFrame:
+    """Per hour of the grid (column slot): plants, total_mw, by_fuel, a map from fuel to MW, and with names
+    listed, the plants' names, cut to ten letters, with their MW. Of
     a plant's active events in the hour the latest revision counts, and of equal ones the largest.
     events: plant, fuel, active, revision, unavailable_mw, start, end, id (which breaks ties). Hours without one are there with 0."""
     touched = intervals.slots_of(events.where("active and unavailable_mw is not null"), "start", "end", "60 minutes")
     now = intervals.latest(touched, ["slot", "plant"], [F.desc("revision"), F.desc("unavailable_mw"), F.asc("id")])
     fuels = now.groupBy("slot", "fuel").agg(F.count("*").alias("plants"), F.sum("unavailable_mw").alias("mw"))
+    # As many as there are plants, largest first.
+    place = F.struct((-F.col("unavailable_mw")).alias("o"), F.col("plant").cast("string").alias("p"))
+    said = lambda x: F.concat(F.substring(F.coalesce(x["p"], F.lit("?")), 1, 10), F.lit(":"), F.bround(-x["o"], 0).cast("long").cast("string"))
+    listed = now.groupBy("slot").agg(F.array_join(F.transform(F.sort_array(F.collect_list(place)), said), ", ").alias("listed"))
     per = fuels.groupBy("slot").agg(F.sum("plants").alias("plants"), F.sum("mw").alias("total_mw"), F.map_from_entries(F.collect_list(F.struct(F.coalesce("fuel", F.lit("?")), "mw"))).alias("by_fuel"))
-    return hours.join(per, "slot", "left").select(*hours.columns, F.coalesce("plants", F.lit(0)).alias("plants"), F.coalesce("total_mw", F.lit(0.0)).alias("total_mw"), "by_fuel")
+    out = hours.join(per.join(listed, "slot") if names else per, "slot", "left")
+    return out.select(*hours.columns, F.coalesce("plants", F.lit(0)).alias("plants"), F.coalesce("total_mw", F.lit(0.0)).alias("total_mw"), "by_fuel", *([F.coalesce("listed", F.lit("")).alias("listed")] if names else []))
 
 
 def settlement_prices(contracts: DataFrame, contract: str, by_minutes: dict[int, DataFrame], price: str) -> DataFrame:

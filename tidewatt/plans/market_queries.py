@@ -198,6 +198,73 @@ def document_imbalance(spark, sf_dir):
     return market.imbalance_prices(prices, volumes)
 
 
+_COLUMN = "case event_type when 'click' then 'solar' when 'view' then 'wind_offshore' when 'purchase' then 'wind' else 'coal' end"
+_PLANTS = {"B16": "solar", "B18": "wind_offshore", "B19": "wind", "B02": "coal", "B05": "coal"}
+_FINEST = f"{_POINTS}, k as (select *, {_COLUMN} kind from p), f as (select * from k qualify res = min(res) over (partition by {_AT}, kind))"
+_KINDS_OF = ("coal", "solar", "wind", "wind_offshore")
+
+
+@query(f"with {_FINEST} select {_AT}, " + ", ".join(f"round(sum(value) filter (where kind = '{k}'), 6) gen_{k}_mw" for k in _KINDS_OF) + " from f group by all")
+def document_generation(spark, sf_dir):
+    """Of each kind the finest resolution counts, and its series are summed."""
+    return _rounded(market.generation(_points(spark, sf_dir), _PLANTS), 6)
+
+
+@query(f"with {_FINEST} select {_AT}, " + ", ".join(f"first(value order by doc) filter (where kind = '{k}') gen_{k}_mw" for k in _KINDS_OF) + " from f group by all")
+def document_generation_forecast(spark, sf_dir):
+    """Of each kind the first series of the finest resolution counts."""
+    return market.generation(_points(spark, sf_dir), _PLANTS, "first")
+
+
+_FLOWS = f"{_POINTS}, b as (select *, case when event_type in ('click', 'view') then 'de' else 'at' end border, case when doc % 3 = 0 then floor(value) else -floor(value) end flow from p where event_type in ('click', 'view', 'purchase'))"
+
+
+def _flow_points(spark, sf_dir) -> DataFrame:
+    """Flows over two borders, into CZ each third one; those of other events are of a border that is none."""
+    p = _points(spark, sf_dir).withColumn("quantity", F.floor("quantity").cast("double"))
+    other = F.when(F.col("event_type").isin("click", "view"), "DE").when(F.col("event_type") == "purchase", "AT").otherwise("XX")
+    into = F.col("doc") % 3 == 0
+    return p.withColumns({"in_domain": F.when(into, "CZ").otherwise(other), "out_domain": F.when(into, other).otherwise("CZ")})
+
+
+@query(f"""with {_FLOWS}, f as (select * from b qualify res = min(res) over (partition by {_AT}, border)), w as (select {_AT}, fold, last(flow order by doc) filter (where border = 'at') a, last(flow order by doc) filter (where border = 'de') d from f group by all)
+ select {_AT}, fold, a flow_at_mw, d flow_de_mw, coalesce(a, 0) + coalesce(d, 0) flow_total_net_mw from w""")
+def document_flows(spark, sf_dir):
+    return market.flows(_flow_points(spark, sf_dir), "CZ", {"DE": "de", "AT": "at"})
+
+
+@query(f"""with {_FLOWS} select {_AT}, fold, nullif(sum(flow) filter (where border = 'at'), 0) exchange_at_mw, nullif(sum(flow) filter (where border = 'de'), 0) exchange_de_mw from b group by all""")
+def document_scheduled_exchanges(spark, sf_dir):
+    return market.scheduled_exchanges(_flow_points(spark, sf_dir), "CZ", {"DE": "de", "AT": "at"})
+
+
+@query(f"""with {_POINTS} select {_AT}, fold, nullif(sum(floor(value / 50)), 0) scheduled_mw from p group by all""")
+def document_scheduled_generation(spark, sf_dir):
+    """All series are summed, and nothing is null."""
+    return market.scheduled_generation(_points(spark, sf_dir).withColumn("quantity", F.floor(F.col("quantity") / 50).cast("double")))
+
+
+@query(f"""with {_POINTS}, a as (select {_AT}, fold, last(case when doc % 4 = 1 then 'A02' else 'A01' end order by doc) st from p where event_type in ('click', 'view') group by all), v as (select distinct {_AT}, fold from p where event_type = 'purchase'),
+ c as (select country_code, last(case when doc % 2 = 0 then 'CZK' else 'PLN' end order by doc) cur from p where event_type in ('click', 'view') and doc % 5 = 0 group by 1)
+ select {_AT}, fold, coalesce(st, 'A01') status, coalesce(cur, 'EUR') currency from a full join v using ({_AT}, fold) left join c using (country_code)""")
+def document_imbalance_status(spark, sf_dir):
+    """The documents' status, and the currency of each area's last one that names it."""
+    p = _points(spark, sf_dir)
+    doc = F.col("doc")
+    prices = p.where("event_type in ('click', 'view')").withColumns({"category": F.lit("A04"), "doc_status": F.when(doc % 4 == 1, "A02").otherwise("A01"), "currency": F.when(doc % 5 == 0, F.when(doc % 2 == 0, "CZK").otherwise("PLN"))})
+    volumes = p.where("event_type = 'purchase'").withColumns({"difference": F.col("quantity"), "direction": F.lit("A01")})
+    return market.imbalance_prices(prices, volumes).select("country_code", "trade_date", "period", "fold", "status", "currency")
+
+
+@query(f"""with q as (select event_type area, cast(ts as date) trade_date, {_LABEL.format('ts')} time_interval, avg(value) v, min(ts) d from events group by all)
+ select area area_id, area country_code, trade_date, {_HOUR} time_interval, round(avg(v), 8) price_eur_mwh, date_trunc('hour', min(d)) delivery_datetime from q group by area, trade_date, {_HOUR} having count(distinct q.time_interval) = 4""")
+def hourly_delivery_times(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    q = e.groupBy("event_type", T.floor_to(F.col("ts"), 15).alias("start")).agg(F.avg("value").alias("price_eur_mwh"), F.min("ts").alias("delivery_datetime"))
+    area = F.col("event_type")
+    return _rounded(market.hourly("day_ahead_prices", q.select(area.alias("area_id"), area.alias("country_code"), F.to_date("start").alias("trade_date"), T.label(F.col("start")).alias("time_interval"), "price_eur_mwh", "delivery_datetime")))
+
+
 # Documents of text, from tables and back.
 
 
@@ -316,12 +383,27 @@ def _outages(docs: DataFrame) -> DataFrame:
  select g.slot, coalesce(plants, 0) plants, round(coalesce(total_mw, 0), 4) total_mw, round(urgent_mw, 4) urgent_mw from g left join s on s.slot = g.slot""")
 def plant_outages(spark, sf_dir):
     """Orders as outages of the customers' plants, by priority as fuel."""
+    out = market.plant_outages(*_plant_events(spark, sf_dir))
+    return out.select("slot", "plants", F.round("total_mw", 4).alias("total_mw"), F.round(F.try_element_at("by_fuel", F.lit("1-URGENT")), 4).alias("urgent_mw"))
+
+
+def _plant_events(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     o = _t(spark, sf_dir, "orders")
     start = F.col("o_orderdate").cast("timestamp_ntz")
     events = o.select(F.col("o_custkey").alias("plant"), F.col("o_orderpriority").alias("fuel"), (F.col("o_orderstatus") != "F").alias("active"), (F.col("o_orderkey") % 3).alias("revision"), F.col("o_totalprice").alias("unavailable_mw"), start.alias("start"), (start + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 5 + 1).cast("int"))).alias("end"), F.col("o_orderkey").alias("id"))
     hours = o.agg(F.min(start).alias("x"), F.max(start).alias("y")).where("x is not null").select(T.spine(F.col("x"), F.col("y"), "1 hour").alias("slot"))
-    out = market.plant_outages(hours, events)
-    return out.select("slot", "plants", F.round("total_mw", 4).alias("total_mw"), F.round(F.try_element_at("by_fuel", F.lit("1-URGENT")), 4).alias("urgent_mw"))
+    return hours, events
+
+
+_HOURS = SQL["plant_outages"].split("),\n s as (select slot, count(*) plants")[0] + ")"
+
+
+@query(f"""{_HOURS}, s as (select slot, string_agg(cast(o_custkey as varchar) || ':' || cast(round_even(o_totalprice, 0) as bigint), ', ' order by o_totalprice desc, cast(o_custkey as varchar)) listed from d group by 1)
+ select g.slot, coalesce(listed, '') listed from g left join s on s.slot = g.slot""")
+def plant_names(spark, sf_dir):
+    """The plants that are out in each hour, largest first."""
+    hours, events = _plant_events(spark, sf_dir)
+    return market.plant_outages(hours, events, names=True).select("slot", "listed")
 
 
 _PRICED = f"""c as (select event_id, time_bucket(interval 15 minute, ts) a, case when event_id % 3 = 0 then 60 else 15 end mi from events), q as (select time_bucket(interval 15 minute, ts) b, round(avg(value), 6) price from events where event_type = 'click' group by 1), h as (select date_trunc('hour', ts) b, round(avg(value), 6) price from events where event_type = 'click' group by 1)"""
@@ -405,11 +487,11 @@ def areas_without_data(spark, sf_dir):
     return checks.without_data(_t(spark, sf_dir, "customer").select("c_custkey"), o, ["c_custkey"])
 
 
-@query("""with t as (select c_custkey id, nullif(c_nationkey, 3) k from customer where c_custkey % 2 = 0), s as (select s_suppkey id, nullif(s_nationkey, 3) k from supplier) select id, k from t union all select id, k from s where not exists (select 1 from t where t.k = s.k)""")
+@query("""with t as (select c_custkey id, nullif(c_nationkey, 3) k from customer), s as (select s_suppkey id, nullif(s_nationkey, 3) k from supplier) select id, k from t union all select id, k from s where not exists (select 1 from t where t.k = s.k)""")
 def null_keys_repeat(spark, sf_dir):
     """Suppliers whose nation no stored row has; nation 3 is unknown, and an unknown key never matches."""
     key = lambda c: F.nullif(F.col(c), F.lit(3)).alias("k")
-    t = _t(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"), key("c_nationkey"))
+    t = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), key("c_nationkey"))
     s = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), key("s_nationkey"))
     return upsert.insert_absent(t, s, ["k"])
 

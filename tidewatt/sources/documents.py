@@ -17,7 +17,7 @@ from tidewatt.operators.reshape import mapped, point_time
 
 _POINT = "position INT, quantity DOUBLE, secondaryQuantity DOUBLE, `price.amount` DOUBLE, `imbalance_Price.amount` DOUBLE, `imbalance_Price.category` STRING, `activation_Price.amount` DOUBLE, Financial_Price ARRAY<STRUCT<amount DOUBLE, `priceDescriptor.type` STRING>>"
 _PERIOD = f"timeInterval STRUCT<start: STRING, `end`: STRING>, resolution STRING, Point ARRAY<STRUCT<{_POINT.replace(' INT', ': INT').replace(' DOUBLE', ': DOUBLE').replace(' STRING', ': STRING').replace(' ARRAY', ': ARRAY')}>>"
-_SERIES = f"mRID STRING, businessType STRING, `flowDirection.direction` STRING, `in_Domain.mRID` STRING, `out_Domain.mRID` STRING, curveType STRING, MktPSRType STRUCT<psrType: STRING>, Period ARRAY<STRUCT<{_PERIOD.replace('timeInterval STRUCT', 'timeInterval: STRUCT').replace('resolution STRING', 'resolution: STRING').replace('Point ARRAY', 'Point: ARRAY')}>>"
+_SERIES = f"mRID STRING, businessType STRING, `flowDirection.direction` STRING, `in_Domain.mRID` STRING, `out_Domain.mRID` STRING, `currency_Unit.name` STRING, curveType STRING, MktPSRType STRUCT<psrType: STRING>, Period ARRAY<STRUCT<{_PERIOD.replace('timeInterval STRUCT', 'timeInterval: STRUCT').replace('resolution STRING', 'resolution: STRING').replace('Point ARRAY', 'Point: ARRAY')}>>"
 #: Types of the parts of an imbalance price to output columns.
 PRICE_PARTS = {"A01": "scarcity", "A02": "incentive", "A03": "financial_neutrality"}
 #: Generation types to output columns.
@@ -109,9 +109,12 @@ def column_rows(docs: DataFrame, names: dict[str, str], within: tuple[str, ...]
 def curve_points(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     """A row for each point of each period of each time series: series attributes, start of the
     point, position, resolution in minutes, values, and how many positions the period has."""
-    parsed = docs.withColumn("_d", _xml(F.col("text"), f"TimeSeries ARRAY<STRUCT<{_nested(_SERIES)}>>"))
+    parsed = docs.withColumn("_d", _xml(F.col("text"), f"docStatus STRUCT<value: STRING>, TimeSeries ARRAY<STRUCT<{_nested(_SERIES)}>>"))
     kept = [c for c in docs.columns if c != "text"]
-    series = parsed.select(*kept, F.posexplode("_d.TimeSeries").alias("series", "_s"))
+    # A document has one currency, that of its first series.
+    told = [F.coalesce("_d.docStatus.value", F.lit("A01")).alias("doc_status"), F.get("_d.TimeSeries", F.lit(0))["currency_Unit.name"].alias("currency")]
+    series = parsed.select(*kept, *told, F.posexplode("_d.TimeSeries").alias("series", "_s"))
+    kept = [*kept, "doc_status", "currency"]
     periods = series.select(*kept, "series", "_s", F.posexplode("_s.Period").alias("part", "_p"))
     points = periods.select(*kept, "series", "part", "_s", "_p", F.explode("_p.Point").alias("_x"))
     at = lambda c: F.try_to_timestamp(F.replace(F.replace(c, F.lit("T"), F.lit(" ")), F.lit("Z"), F.lit("")), F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")
