@@ -544,8 +544,8 @@ def stream_hours_gated(spark, sf_dir):
 # Late data: only what is stale is computed again.
 
 
-@query("""with q as (select time_bucket(interval 15 minute, ts) b, avg(value) v from events group by 1), h as (select date_trunc('hour', b) hour_start, avg(v) v from q group by 1)
- select hour_start, round(v, 10) v, round(avg(v) over (order by hour_start rows 15 preceding), 10) roll_16, round(sum(v) over (order by hour_start rows 15 preceding), 10) integral_16 from h""")
+@query("""with q as (select time_bucket(interval 15 minute, ts) b, avg(value) / 3 v from events group by 1), h as (select date_trunc('hour', b) hour_start, avg(v) v from q group by 1)
+ select hour_start, round(v, 8) v, round(avg(v) over (order by hour_start rows 15 preceding), 8) roll_16, round(sum(v) over (order by hour_start rows 15 preceding), 8) integral_16 from h""")
 def dirty_recompute(spark, sf_dir):
     """Each ninth day's events come late: quarters, hours and rolling frames that they make stale are
     computed again, and equal a run over everything."""
@@ -558,7 +558,7 @@ def dirty_recompute(spark, sf_dir):
         return spark.read.parquet(f"{path}/{name}")
 
     def quarters(rows):
-        return rows.groupBy(T.floor_to(F.col("ts"), 15).alias("b")).agg(F.avg("value").alias("v"))
+        return rows.groupBy(T.floor_to(F.col("ts"), 15).alias("b")).agg((F.avg("value") / 3).alias("v"))  # thirds, which no rounding meets halfway
 
     def hours(rows):
         return rows.groupBy(F.date_trunc("hour", "b").alias("hour_start")).agg(F.avg("v").alias("v"))
@@ -578,7 +578,7 @@ def dirty_recompute(spark, sf_dir):
     stale_h = stored(ledger.coarser(stale_q, []), "stale_h")
     h1 = stored(ledger.recomputed(h0, stale_h, [], "hour_start", lambda stale: hours(ledger.only(q1, stale.withColumnRenamed("hour_start", "start"), [], F.date_trunc("hour", "b")))), "h1")
     stale_r = stored(ledger.reached(h1, stale_h, [], "hour_start", 15), "stale_r")
-    return ledger.recomputed(r0, stale_r, [], "hour_start", lambda stale: _framed(h1, stale, frames)).select("hour_start", *[F.round(c, 10).alias(c) for c in ("v", *frames)])
+    return ledger.recomputed(r0, stale_r, [], "hour_start", lambda stale: _framed(h1, stale, frames)).select("hour_start", *[F.round(c, 8).alias(c) for c in ("v", *frames)])
 
 
 def _framed(hours: DataFrame, stale: DataFrame, frames: dict) -> DataFrame:
