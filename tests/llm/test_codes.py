@@ -46,6 +46,16 @@ def test_the_query_equals_plain_rounds(spark, sf):
     assert sorted(tuple(r)[:4] for r in got) == want and {r["codebooks_sha256"] for r in got} == {digest}
 
 
+def test_the_query_equals_sql(spark, sf):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{sf}/embeddings.parquet'")
+    q = con.execute(codes.oracle())
+    names = [d[0] for d in q.description]
+    assert sorted(tuple(r[n] for n in names) for r in op12_vector_codes(spark, sf).collect()) == sorted(q.fetchall())
+
+
 @pytest.mark.parametrize("block", [7, 4096])
 def test_codes_of_awkward_rows(spark, monkeypatch, block):
     monkeypatch.setattr(codes, "BLOCK", block)

@@ -231,3 +231,20 @@ def compress(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embed
     digest = hashlib.sha256(",".join(map(str, books.reshape(-1).tolist())).encode()).hexdigest()
     joined = coded.join(totals, F.col("label").eqNullSafe(F.col("_l")), "left")
     return joined.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def oracle(parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS) -> str:
+    """The query over ``embeddings`` as DuckDB SQL, by plain rounds over all vectors."""
+    far = "cast(list_sum(list_transform(list_zip(p.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as bigint)"
+    tables = []
+    for k in range(rounds + 1):
+        tables.append(f"a{k} as (select r, part, any_value(x) x, arg_min(entry, d * {entries} + entry) entry, min(d) d from (select p.r, p.part, p.x, b.entry, {far} d from p join b{k} b on b.part = p.part) group by r, part)")
+        if k < rounds:
+            tables.append(f"s{k} as (select part, entry, i, cast(sum(x[i]) as bigint) s, count(*) n from a{k}, (select unnest(range(1, len(any_value(x)) + 1)) i from p) group by part, entry, i)")
+            tables.append(f"b{k + 1} as (select b.part, b.entry, coalesce(m.c, b.c) c from b{k} b left join (select part, entry, list((s - ((s % n) + n) % n) // n order by i) c from s{k} group by part, entry) m on m.part = b.part and m.entry = b.entry)")
+    return f"""with e as (select row_number() over (order by vec_id, v) - 1 r, * from (select vec_id, label, list_transform(embedding, lambda x: cast(floor({SCALE} * cast(x as double)) as bigint)) v from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)),
+ p as (select r, cast(k.range as int) part, v[k.range * (len(v) // {parts}) + 1 : (k.range + 1) * (len(v) // {parts})] x from e cross join range({parts}) k),
+ b0 as (select part, r entry, x c from p where r < {entries}), {", ".join(tables)},
+ o as (select r, string_agg(printf('%02x', entry), '' order by part) code, cast(sum(d) as bigint) error from a{rounds} group by r),
+ h as (select sha256(string_agg(cast(x as varchar), ',' order by part, entry, i)) digest from (select part, entry, unnest(c) x, unnest(range(len(c))) i from b{rounds}))
+ select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) label_error, digest codebooks_sha256 from e join o on o.r = e.r cross join h"""

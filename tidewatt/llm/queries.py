@@ -123,6 +123,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The others are not for SQL: models, tokenizers, a seeded hash, or searches too slow without an index."""
-    from tidewatt.llm import licences
+    from tidewatt.llm import codes, licences
 
-    return {"op7_license_scan": licences.oracle()}
+    return {"op7_license_scan": licences.oracle(), "op12_vector_codes": codes.oracle()}
