@@ -85,7 +85,7 @@ PORTION = 1 << 18
 #: Characters of several texts that are held together.
 HELD = 1 << 21
 #: Characters of words whose ids a worker remembers, at most about, besides those of HELD.
-REMEMBERED = 1 << 24
+REMEMBERED = 1 << 22
 
 
 def byte_characters() -> list[str]:
