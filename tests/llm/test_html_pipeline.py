@@ -305,3 +305,18 @@ def test_stages_on_awkward_rows(spark, tmp_path):
                 assert out.columns == docs.columns
             out.write.parquet(path := f"{tmp_path}/{name}-{table.count()}-{table is docs}")
             table = spark.read.parquet(path)
+
+
+def test_stages_on_a_very_long_text(spark, sf, tmp_path):
+    """A text of millions of characters goes through every stage whole, beside ordinary ones."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("text is not null").limit(40)
+    long = " ".join(r["text"] for r in docs.collect()) * 20
+    every = docs.unionByName(docs.limit(1).withColumns({"doc_id": F.lit(10**9).cast("long"), "text": F.lit(long)}))
+    at = str(tmp_path)
+    spark.read.parquet(f"{sf}/labels.parquet").write.parquet(f"{at}/labels.parquet")
+    every.write.parquet(f"{at}/documents.parquet")
+    rows = corpus_pipeline.run(spark, at).where(F.col("doc_id") == 10**9).orderBy("start").collect()
+    if rows:  # its quality may be low
+        assert rows[0]["start"] == 0 and all(a["start"] + a["length"] == b["start"] for a, b in zip(rows, rows[1:])) and all(r["length"] == 2048 for r in rows[:-1])
+    got = language.identify(language.learn_dictionaries(language.training_rows(docs)), "text")
+    assert every.where(F.col("doc_id") == 10**9).select(got.alias("j")).first()["j"]["lang_pred"] != "und"
