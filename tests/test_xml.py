@@ -50,3 +50,22 @@ def test_large_files_are_read_in_parts(spark, tmp_path):
         assert broken.collect() == []
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_documents_are_parsed_once(spark):
+    outage = "<D><TimeSeries/><TimeSeries><mRID>2</mRID><Available_Period/><Available_Period><timeInterval><start>2024-01-01T05:00Z</start></timeInterval><Point><quantity>3</quantity></Point><Point><quantity>2</quantity></Point></Available_Period></TimeSeries></D>"
+    docs = texts(spark, outage, "<D/>", "<D>", None)
+    point = "<D><TimeSeries><Period><Point><position>1</position></Point></Period></TimeSeries></D>"
+    found = {
+        "outages": sources.outages(docs), "points": sources.curve_points(texts(spark, point)), "items": sources.attribute_rows(docs, "item", 1),
+        "hours": sources.columnar_json(texts(spark, '{"hourly": {"time": ["2024-01-01T00:00"], "v": [1.5]}}'), "hourly", ["v"]),
+    }
+    few = {"outages": ["doc", "min_available_mw"], "points": ["series", "at"], "items": ["doc", "value1"], "hours": ["v"]}
+    for name, rows in found.items():
+        plan = rows.select(*few[name])._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_xml(") + plan.count("from_json(") == 1, name
+    got = [(r["doc"], r["timeseries_mrid"], r["min_available_mw"], r["points"]) for r in found["outages"].collect()]
+    assert [(d, m) for d, m, *_ in got] == [(0, None), (0, "2")] and got[1][2:] == (None, None)
+    whole = sources.outages(texts(spark, outage.replace("<Available_Period/>", ""))).where("timeseries_mrid is not null").first()
+    assert (whole["min_available_mw"], [(p["position"], p["available_mw"], p["point_start"].hour) for p in whole["points"]]) == (2.0, [(1, 3.0, 5), (2, 2.0, 5)])
+    assert [r["v"] for r in found["hours"].collect()] == [1.5] and found["points"].count() == 1

@@ -46,6 +46,14 @@ def _xml(text: Column, columns: str) -> Column:
     return F.from_xml(text, columns, {"ignoreNamespace": "true"})
 
 
+def _each(df: DataFrame, kept: list, array: Column | str, name: str, position: str | None = None) -> DataFrame:
+    """kept, and a row for each element of the array. The outer form, since of explode Spark makes a filter
+    on the array's size, below which a document would be parsed again for each mention of it."""
+    at = position or "_i"
+    rows = df.select(*kept, F.posexplode_outer(array).alias(at, name)).where(F.col(at).isNotNull())
+    return rows if position else rows.drop(at)
+
+
 def _elements(docs: DataFrame, path: tuple[str, ...], kind: str) -> DataFrame:
     """docs without text, with _r, a row for each element at the path below the root."""
     *above, tag = path
@@ -56,7 +64,7 @@ def _elements(docs: DataFrame, path: tuple[str, ...], kind: str) -> DataFrame:
     found = F.col("_d")
     for name in path:
         found = found[name]
-    return parsed.select(*[c for c in docs.columns if c != "text"], F.explode(found).alias("_r"))
+    return _each(parsed, [c for c in docs.columns if c != "text"], found, "_r")
 
 
 def malformed(docs: DataFrame, column: str = "text") -> DataFrame:
@@ -113,7 +121,7 @@ def curve_points(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     kept = [c for c in docs.columns if c != "text"]
     # A document has one currency, that of its first series.
     told = [F.coalesce("_d.docStatus.value", F.lit("A01")).alias("doc_status"), F.get("_d.TimeSeries", F.lit(0))["currency_Unit.name"].alias("currency")]
-    series = parsed.select(*kept, *told, F.posexplode("_d.TimeSeries").alias("series", "_s"))
+    series = _each(parsed, [*kept, *told], "_d.TimeSeries", "_s", "series")
     kept = [*kept, "doc_status", "currency"]
     periods = series.select(*kept, "series", "_s", F.posexplode("_s.Period").alias("part", "_p"))
     points = periods.select(*kept, "series", "part", "_s", "_p", F.explode("_p.Point").alias("_x"))
@@ -172,7 +180,7 @@ def columnar_json(docs: DataFrame, field: str, columns: list[str]) -> DataFrame:
     kind = f"{field} STRUCT<time: ARRAY<STRING>, {', '.join(f'{c}: ARRAY<DOUBLE>' for c in columns)}>"
     parsed = docs.withColumn("_j", F.from_json("text", kind))
     kept = [c for c in docs.columns if c != "text"]
-    rows = parsed.select(*kept, F.explode(F.arrays_zip(*[F.col(f"_j.{field}.{c}").alias(c) for c in ("time", *columns)])).alias("_r"))
+    rows = _each(parsed, kept, F.arrays_zip(*[F.col(f"_j.{field}.{c}").alias(c) for c in ("time", *columns)]), "_r")
     return rows.select(*kept, F.try_to_timestamp(F.replace("_r.time", F.lit("T"), F.lit(" ")), F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz").alias("at"), *[F.col(f"_r.{c}").alias(c) for c in columns])
 
 
@@ -250,11 +258,13 @@ def outages(docs: DataFrame) -> DataFrame:
     document's. max_unavailable_mw may be negative, and is null without a nominal or available power."""
     parsed = docs.withColumn("_d", _xml(F.col("text"), _OUTAGE))
     kept = [c for c in docs.columns if c != "text"]
-    rows = parsed.select(*kept, "_d", F.explode("_d.TimeSeries").alias("_s"))
+    rows = _each(parsed, [*kept, "_d"], "_d.TimeSeries", "_s")
     of = lambda name: F.col("_s")[name]
     times = lambda p: (_utc(p["timeInterval"]["start"]).alias("point_start"), _utc(p["timeInterval"]["end"]).alias("point_end"), p["resolution"].alias("resolution"))
-    points = F.flatten(F.transform("_s.Available_Period", lambda p: F.transform(p["Point"], lambda x: F.struct(*times(p), x["quantity"].alias("available_mw")))))
-    least = F.array_min(F.transform(points, lambda p: p["available_mw"]))
+    # Times are read once for a period, not for each of its points.
+    periods = F.transform("_s.Available_Period", lambda p: F.struct(F.struct(*times(p)).alias("t"), p["Point"].alias("x")))
+    points = F.flatten(F.transform(periods, lambda p: F.transform(p["x"], lambda x: F.struct(*[p["t"][c].alias(c) for c in ("point_start", "point_end", "resolution")], x["quantity"].alias("available_mw")))))
+    least = F.array_min(F.flatten(F.transform("_s.Available_Period", lambda p: p["Point"]["quantity"])))
     nominal = of("production_RegisteredResource.pSRType.powerSystemResources.nominalP")
     end = lambda side: _utc(F.concat(of(f"{side}_DateAndOrTime.date"), F.lit("T"), F.coalesce(of(f"{side}_DateAndOrTime.time"), F.lit("00:00Z"))))
     reason = lambda part: F.coalesce(F.get("_s.Reason", F.lit(0))[part], F.get("_d.Reason", F.lit(0))[part])
