@@ -147,3 +147,24 @@ def test_quantiles_of_awkward_groups(spark, bins):
     whole = quantiles.quantiles(df.where("k = 'a'"), [], F.abs("v"), {"q": 0.3}, bins).first()["q"]
     assert whole == pytest.approx(np.quantile([v for x, v in rows if x == "a"], 0.3))
     assert quantiles.quantiles(df.limit(0), ["k"], "v", shares).collect() == []
+
+
+def test_workbooks_are_read_once_in_batches_of_many_files(spark, monkeypatch):
+    head, values = [["Day-Ahead Market"], [None, "x & <y>"]], [["Period", "Time interval", "Volume (MWh)"], [1, "00:00-00:15", 2.5], [2, None, 3.0]]
+    layout = spark.createDataFrame([(1, "00:00-00:15", 2.5), (2, None, 3.0)], "p int, t string, v double")
+    body = "".join(r["x"] for r in layout.orderBy("p").select(archives.row_xml(F.col("p"), F.col("t"), F.col("v")).alias("x")).collect())
+    assert body == archives.rows_xml(values[1:])
+    book = archives.workbook({"a": head + values, "b": archives.rows_xml(head + values[:1]) + body})
+    monkeypatch.setattr(archives, "ROWS", 3)
+    files = spark.createDataFrame([(k, bytearray(book) if k != 2 else None, [k]) for k in range(4)], "k int, content binary, beside array<int>")
+    rows = archives.workbook_rows(files)
+    told = sorted((r["k"], r["sheet"], r["row"], r["cells"]) for r in rows.where("beside[0] = k and error is null").collect())
+    cells = [["Day-Ahead Market"], [None, "x & <y>"], ["Period", "Time interval", "Volume (MWh)"], ["1", "00:00-00:15", "2.5"], ["2", None, "3.0"]]
+    assert told == [(k, sheet, i, c) for k in (0, 1, 3) for sheet in "ab" for i, c in enumerate(cells, 1)]
+    prices = sheets.day_ahead(rows, ["k", "sheet"])
+    assert [tuple(r) for r in prices.select("k", "sheet", "period", "volume_mwh").orderBy("k", "sheet").collect()] == [(k, s, 1, 2.5) for k in (0, 1, 3) for s in "ab"]
+    plan = prices._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan and "Join" not in plan
+    short = bytearray(archives.workbook({"a": "<row><c><v>1</v></c></row><row><c>"}))
+    broken = archives.workbook_rows(spark.createDataFrame([(short,)], "content binary")).collect()
+    assert [(r["row"], r["cells"]) for r in broken] == [(1, ["1"]), (None, None)] and "Error" in broken[1]["error"]

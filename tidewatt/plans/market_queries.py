@@ -643,42 +643,50 @@ def archived_outages(spark, sf_dir):
     return _outages(texts)
 
 
-def _workbooks(rows: DataFrame, file: list[str], order: str, cells: Column, head: list[list], sheet: str) -> DataFrame:
-    """A workbook for each file: the head, and the rows' cells in order. Cells are text."""
+def _numbered_lines(spark, sf_dir) -> DataFrame:
+    """Lines with n, their number in the order, and box, the workbook of their order, by which they are dealt out."""
+    li = _t(spark, sf_dir, "lineitem").withColumn("box", F.floor(F.col("l_orderkey") / 50)).repartition("box")
+    return li.withColumn("n", F.row_number().over(Window.partitionBy("box", "l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")))
+
+
+def _sheets_of_orders(lines: DataFrame, head: Column, row: Column) -> DataFrame:
+    """The rows of workbooks, read back, with l_orderkey: each order is a sheet of its box's workbook, its head and then its lines."""
 
     @F.pandas_udf("binary")
-    def made(each: pd.Series) -> pd.Series:
-        return pd.Series([archives.workbook({sheet: head + [list(r["c"]) for r in rows]}) for rows in each])
+    def made(names: pd.Series, bodies: pd.Series) -> pd.Series:
+        return pd.Series([archives.workbook(dict(zip(n, b))) for n, b in zip(names, bodies)])
 
-    return rows.groupBy(*file).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), cells.alias("c")))).alias("r")).select(*file, made("r").alias("content"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("n").alias("o"), row.alias("x")))), lambda r: r["x"]), "")
+    orders = lines.groupBy("box", "l_orderkey").agg(body.alias("b")).select("box", F.struct(F.col("l_orderkey").cast("string").alias("k"), F.concat(head, "b").alias("b")).alias("s"))
+    books = orders.groupBy("box").agg(F.collect_list("s").alias("s")).select(made(F.col("s.k"), F.col("s.b")).alias("content"))
+    return archives.workbook_rows(books).withColumn("l_orderkey", F.col("sheet").cast("long"))
 
 
 @query("""with k as (select l_orderkey, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as int) n, l_extendedprice p, l_quantity v, l_tax x from lineitem)
  select l_orderkey, n as "period", p price, v volume, cast(null as double) purchase_60, x exported, true is_15min from k where l_orderkey % 2 = 0
  union all select l_orderkey, cast((n - 1) * 4 + q.range as int), p, v / 4, v / 4, x / 4, false from k cross join range(1, 5) q where l_orderkey % 2 = 1""")
 def sheet_prices(spark, sf_dir):
-    """Orders as day-ahead workbooks, of quarters or, each second one, in the hourly layout, told apart by their cells."""
-    li = _t(spark, sf_dir, "lineitem")
-    order = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
-    li = li.withColumn("n", order)
-    text = lambda c: F.col(c).cast("string")
+    """Orders as day-ahead sheets of workbooks, of quarters or, each second one, in the hourly layout, told apart by their cells."""
     title = [["Day-Ahead Market"], []]
     quarters = title + [["Period", "Time interval", "15 min price\n(EUR/MWh)", "Volume\n(MWh)", "Export\n(MWh)"]]
     hours = title + [["Hour", "Price (EUR/MWh)", "Volume\n(MWh)", "Export"], [None, None, "Sale"]]
-    new = _workbooks(li.where("l_orderkey % 2 = 0"), ["l_orderkey"], "n", F.array(text("n"), T.period_label(F.col("n")), text("l_extendedprice"), text("l_quantity"), text("l_tax")), quarters, "Results")
-    old = _workbooks(li.where("l_orderkey % 2 = 1"), ["l_orderkey"], "n", F.array(text("n"), text("l_extendedprice"), text("l_quantity"), text("l_tax")), hours, "Results")
-    out = sheets.day_ahead(archives.workbook_rows(new.unionByName(old)), ["l_orderkey"])
+    new, values = F.col("l_orderkey") % 2 == 0, [F.col(c) for c in ("l_extendedprice", "l_quantity", "l_tax")]
+    head = F.when(new, archives.rows_xml(quarters)).otherwise(archives.rows_xml(hours))
+    row = F.when(new, archives.row_xml(F.col("n"), T.period_label(F.col("n")), *values)).otherwise(archives.row_xml(F.col("n"), *values))
+    out = sheets.day_ahead(_sheets_of_orders(_numbered_lines(spark, sf_dir), head, row), ["l_orderkey"])
     return out.select("l_orderkey", "period", F.col("price_15min_eur_mwh").alias("price"), F.col("volume_mwh").alias("volume"), F.col("purchase_60min_products_mwh").alias("purchase_60"), F.col("export_mwh").alias("exported"), "is_15min")
 
 
 @query("""with k as (select l_orderkey, l_shipdate, l_quantity, l_extendedprice, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 i from lineitem where l_linenumber <> 4)
  select l_orderkey, 2024010500000 + i trade_id, l_quantity qty_mw, l_extendedprice price_eur_mwh, l_shipdate exec_time from k""")
 def sheet_ticks(spark, sf_dir):
-    """Orders as workbooks of trades; each fourth line is cancelled."""
-    li = _t(spark, sf_dir, "lineitem").withColumn("n", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")))
-    cells = F.array(F.lit("20240105 10:00-20240105 10:15"), F.lit(None), F.lit(None), F.lit("N"), F.when(F.col("l_linenumber") == 4, "SN").otherwise(F.col("l_quantity").cast("string")), F.lit("1.5"), F.col("l_extendedprice").cast("string"), F.lit("2"), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
-    books = _workbooks(li, ["l_orderkey"], "n", cells, [["Trades"], [], ["of the day"], ["Kontrakt"], ["Kontrakt", None, None, None, "MW"]], "Trades")
-    return sheets.ticks(archives.workbook_rows(books), ["l_orderkey"], F.lit("2024-01-05").cast("date")).select("l_orderkey", "trade_id", "qty_mw", "price_eur_mwh", "exec_time")
+    """Orders as sheets of trades in workbooks; each fourth line is cancelled."""
+    none, price = F.lit(None).cast("string"), F.col("l_extendedprice")
+    amount = F.when(F.col("l_linenumber") == 4, "SN").otherwise(F.col("l_quantity").cast("string"))
+    row = archives.row_xml(F.lit("20240105 10:00-20240105 10:15"), none, none, F.lit("N"), amount, F.lit(1.5), price, F.lit(2), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    head = F.lit(archives.rows_xml([["Trades"], [], ["of the day"], ["Kontrakt"], ["Kontrakt", None, None, None, "MW"]]))
+    rows = _sheets_of_orders(_numbered_lines(spark, sf_dir), head, row)
+    return sheets.ticks(rows, ["l_orderkey"], F.lit("2024-01-05").cast("date")).select("l_orderkey", "trade_id", "qty_mw", "price_eur_mwh", "exec_time")
 
 
 @query("""select event_id, event_type, case when event_type = 'view' then value + 1 else value end "value" from events""")

@@ -6,7 +6,7 @@ files apart. A sheet's header is one row, found by a cell, and sent to that file
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatt.functions import timegrid as T
@@ -26,13 +26,18 @@ def below(rows: DataFrame, file: list[str], first: list[str], levels: int = 1) -
     begins = _plain(F.get("cells", F.lit(0)))
     # A merged header may leave its first cell in the row of groups empty.
     named = begins.isin(first) if levels == 1 else F.exists(F.transform("cells", _plain), lambda c: c.isin(first))
-    rows = rows.where("error is null")
-    head = rows.where(named).groupBy(*file, "sheet").agg(F.min(F.struct("row", "cells")).alias("_h")).select(*file, "sheet", F.col("_h.row").alias("_at"), F.transform("_h.cells", _plain).alias("names"))
+    header = [F.col("row").alias("_at"), F.transform("cells", _plain).alias("names")]
+    # Files are read once: a row looks back to the first header at or above it, and that to the row above.
+    down = Window.partitionBy(*file, "sheet").orderBy("row")
+    whole = rows.where("error is null" + "".join(f" and `{c}` is not null" for c in file))
     if levels == 2:
-        group = rows.select(*file, "sheet", (F.col("row") + 1).alias("_at"), F.transform("cells", _plain).alias("_g"))
-        run_on = lambda c, i: F.try_element_at(F.filter(F.slice("_g", F.lit(1), i + 1), lambda x: x.isNotNull() & (x != "")), F.lit(-1))
-        head = head.join(group, [*file, "sheet", "_at"], "left").withColumn("groups", F.transform("_g", run_on)).drop("_g")
-    return rows.join(head, [*file, "sheet"]).where(F.col("row") > F.col("_at"))
+        above = F.lag(F.struct("row", F.transform("cells", _plain).alias("g"))).over(down)
+        whole = whole.withColumn("_above", above)
+        group = F.when(F.col("_above.row") + 1 == F.col("row"), F.col("_above.g"))
+        run_on = lambda c, i: F.try_element_at(F.filter(F.slice(group, F.lit(1), i + 1), lambda x: x.isNotNull() & (x != "")), F.lit(-1))
+        header.append(F.transform(group, run_on).alias("groups"))
+    found = F.first(F.when(named, F.struct(*header)), ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return whole.withColumn("_h", found).select(*rows.columns, "_h.*").where(F.col("row") > F.col("_at"))
 
 
 def cell(name: str, group: str | None = None) -> Column:
@@ -61,17 +66,21 @@ def day_ahead(rows: DataFrame, file: list[str]) -> DataFrame:
     """file, period, time_interval, prices and volumes of quarters. A sheet whose header begins with Period
     has them; one that begins with Hour has hours, whose prices are copied to their four quarters, and
     volumes divided among them as 60-minute products."""
-    table = below(rows, file, ["Period", "Hour"])
-    new = table.where(F.get("names", F.lit(0)) == "Period")
-    interval = F.trim(cell("Time interval"))
-    quarters = new.select(*file, number("Period").cast("int").alias("period"), T.canonical_label(interval).alias("time_interval"), *[number(h).alias(c) for c, h in _QUARTERS.items()], F.lit(True).alias("is_15min")).where("period is not null and coalesce(time_interval, '') <> ''")
-    old = table.where((F.get("names", F.lit(0)) == "Hour") & (F.coalesce(cell("Volume (MWh)"), F.lit("")) != "Sale"))
-    hours = old.select(*file, number("Hour").cast("int").alias("_hour"), number("Price (EUR/MWh)").alias("_price"), (number("Volume (MWh)") / 4).alias("_volume"), *[(number(h) / 4).alias(c) for c, h in (("saldo_dm_mwh", "Saldo DM"), ("export_mwh", "Export"), ("import_mwh", "Import"))]).where("_hour is not null")
-    four = hours.withColumn("_q", F.explode(F.sequence(F.lit(1), F.lit(4)))).withColumn("period", ((F.col("_hour") - 1) * 4 + F.col("_q")).cast("int"))
-    price, volume, none = F.col("_price"), F.col("_volume"), F.lit(0.0)
-    values = {"price_15min_eur_mwh": price, "volume_mwh": volume, "purchase_15min_products_mwh": none, "purchase_60min_products_mwh": volume, "sale_15min_products_mwh": none, "sale_60min_products_mwh": volume, "price_60min_ref_eur_mwh": price}
-    spread = four.select(*file, "period", T.period_label(F.col("period")).alias("time_interval"), *[values.get(c, F.col(c)).alias(c) for c in _QUARTERS], F.lit(False).alias("is_15min"))
-    return quarters.unionByName(spread)
+    table = below(rows, file, ["Period", "Hour"]).withColumn("is_15min", F.get("names", F.lit(0)) == "Period")
+    new, none = F.col("is_15min"), F.lit(0.0)
+    price, volume = number("Price (EUR/MWh)"), number("Volume (MWh)") / 4
+    hourly = {
+        "price_15min_eur_mwh": price, "volume_mwh": volume, "purchase_15min_products_mwh": none, "purchase_60min_products_mwh": volume, "sale_15min_products_mwh": none, "sale_60min_products_mwh": volume,
+        "saldo_dm_mwh": number("Saldo DM") / 4, "export_mwh": number("Export") / 4, "import_mwh": number("Import") / 4, "price_60min_ref_eur_mwh": price,
+    }
+    values = [F.when(new, number(h)).otherwise(hourly[c]).alias(c) for c, h in _QUARTERS.items()]
+    label = F.when(new, T.canonical_label(F.trim(cell("Time interval"))))
+    sides = ~new & (F.coalesce(cell("Volume (MWh)"), F.lit("")) == "Sale")
+    told = table.where(~sides).select(*file, new, F.when(new, number("Period")).otherwise(number("Hour")).cast("int").alias("_n"), label.alias("_label"), *values)
+    told = told.where("_n is not null and (not is_15min or coalesce(_label, '') <> '')")
+    each = told.withColumn("_q", F.explode(F.when(new, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.lit(4)))))
+    each = each.withColumn("period", F.when(new, F.col("_n")).otherwise((F.col("_n") - 1) * 4 + F.col("_q")).cast("int"))
+    return each.select(*file, "period", F.when(new, F.col("_label")).otherwise(T.period_label(F.col("period"))).alias("time_interval"), *_QUARTERS, "is_15min")
 
 
 def intraday_auction(rows: DataFrame, file: list[str]) -> DataFrame:
