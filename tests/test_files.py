@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatt.operators import intervals, quantiles
-from tidewatt.sources import archives, arrivals, sheets
+from tidewatt.sources import archives, arrivals, documents, sheets
 
 
 def zipped(entries):
@@ -168,3 +168,13 @@ def test_workbooks_are_read_once_in_batches_of_many_files(spark, monkeypatch):
     short = bytearray(archives.workbook({"a": "<row><c><v>1</v></c></row><row><c>"}))
     broken = archives.workbook_rows(spark.createDataFrame([(short,)], "content binary")).collect()
     assert [(r["row"], r["cells"]) for r in broken] == [(1, ["1"]), (None, None)] and "Error" in broken[1]["error"]
+
+
+def test_archives_of_documents_are_opened_and_parsed_once(spark):
+    outage = "<D><revisionNumber>{0}</revisionNumber><TimeSeries><mRID>s</mRID></TimeSeries></D>"
+    inner = zipped({"3.xml": outage.format(3)})
+    boxes = spark.createDataFrame([(i, bytearray(zipped({"1.xml": outage.format(1), "2.xml": "<D>", "in.zip": inner, "n.txt": "no"}))) for i in range(3)], "box int, content binary")
+    got = documents.outages(archives.documents(boxes)).select("box", "member", "revision_number", "timeseries_mrid")
+    assert sorted(tuple(r) for r in got.collect()) == [(i, m, n, "s") for i in range(3) for m, n in (("1.xml", 1), ("in.zip/3.xml", 3))]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") == 1 and plan.count("MapInArrow") == 1 and "EvalPython" not in plan

@@ -623,7 +623,7 @@ def archived_outages(spark, sf_dir):
     """The documents of outages in archives of some, of which each third is in an archive of its own within."""
 
     @F.pandas_udf("binary")
-    def packed(each: pd.Series) -> pd.Series:
+    def packed(keys: pd.Series, texts: pd.Series) -> pd.Series:
         def archive(entries) -> bytes:
             out = io.BytesIO()
             with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
@@ -631,14 +631,15 @@ def archived_outages(spark, sf_dir):
                     z.writestr(name, content)
             return out.getvalue()
 
-        def one(rows) -> bytes:
-            entries = [(f"{r['l_orderkey']}.xml", r["text"]) for r in rows]
+        def one(keys, texts) -> bytes:
+            entries = [(f"{k}.xml", t) for k, t in zip(keys, texts)]
             return archive([(f"{n}.zip", archive([(n, t)])) if i % 3 == 0 else (n, t) for i, (n, t) in enumerate(entries)] + [("notes.txt", "no document")])
 
-        return pd.Series([one(rows) for rows in each])
+        return pd.Series([one(k, t) for k, t in zip(keys, texts)])
 
     docs = _outage_docs(spark, sf_dir)
-    boxes = docs.groupBy(F.floor(F.col("l_orderkey") / 50).alias("box")).agg(F.sort_array(F.collect_list(F.struct("l_orderkey", "text"))).alias("d")).select(packed("d").alias("content"))
+    d = F.col("d")
+    boxes = docs.groupBy(F.floor(F.col("l_orderkey") / 50).alias("box")).agg(F.sort_array(F.collect_list(F.struct("l_orderkey", "text"))).alias("d")).select(packed(d["l_orderkey"], d["text"]).alias("content"))
     texts = archives.documents(boxes).select(F.regexp_extract("member", r"(\d+)\.xml$", 1).cast("long").alias("l_orderkey"), "text")
     return _outages(texts)
 
