@@ -120,3 +120,46 @@ def test_streams_touch_partitions(spark, tmp_path):
     live.upserting(stream, str(tmp_path / "t"), ["day", "k"], "n", str(tmp_path / "c"), ["day"]).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "t")).groupBy("day", "k").count().where("count > 1").count()
     assert got == 0 and spark.read.parquet(str(tmp_path / "t")).count() == len({(r[0], r[1]) for r in rows})
+
+
+def test_replayed_files_in_parts(spark, tmp_path):
+    df = spark.range(400).withColumnRenamed("id", "n")
+    live.replayed(df, str(tmp_path / "in"), 2, F.col("n"), 1, 4)
+    assert len([p for p in (tmp_path / "in").iterdir() if p.name.startswith("part-")]) == 8
+    assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "in")).collect()) == list(range(400))
+
+
+def test_a_supersession_asks_the_state_for_what_it_needs():
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+    from pyspark.sql import types as T
+
+    calls = []
+
+    class State:
+        held = None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, value):
+            calls.append("update")
+            self.held = value
+
+        def clear(self):
+            self.held = None
+
+    state, timers = State(), set()
+    handle = SimpleNamespace(getValueState=lambda *_: state, registerTimer=lambda t: (calls.append("timer"), timers.add(t)))
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType()), T.StructField("at", T.LongType())])
+    p = live.Supersession(schema, [("v", True)], "at", 0)
+    p.init(handle)
+    mark = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    give = lambda v, at: [tuple(r) for r in p.handleInputRows((1,), iter([Row(k=1, v=v, at=at, _mark=None)]), mark)]
+    assert give(1, 5000) == [(1, 1, 5000)] and give(2, 9000) == [(1, 2, 9000)] and give(1, 7000) == []
+    assert calls == ["get", "update", "timer", "get", "update", "timer", "get"]
+    expired = lambda t: list(p.handleExpiredTimer((1,), mark, SimpleNamespace(getExpiryTimeInMs=lambda: t)))
+    assert sorted(timers) == [5, 9] and expired(5) == [] and state.held == (1, 2, 9000)
+    assert expired(9) == [] and state.held is None

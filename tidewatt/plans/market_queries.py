@@ -516,11 +516,11 @@ def mapped_codes(spark, sf_dir):
 @query(SQL["latest_version"])
 def stream_latest_version(spark, sf_dir):
     """Orders as versions of their customers' outages, in any order; the last that comes out of each is the latest."""
-    o = _t(spark, sf_dir, "orders").withColumn("at", F.col("o_orderdate").cast("timestamp"))
+    o = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     path = scratch(spark, "versions")
-    stream = live.replayed(o, f"{path}/in", 4, F.col("o_orderkey"), 2)
+    stream = live.replayed(o, f"{path}/in", 4, F.col("o_orderkey"), 2, spark.sparkContext.defaultParallelism)
     order = [("o_orderdate", True), ("o_totalprice", True), ("o_orderkey", True)]
-    out = live.emptied(live.superseding(stream, ["o_custkey"], order, "at", "at", "20000 days"), f"{path}/out", f"{path}/state")
+    out = live.emptied(live.superseding(stream, ["o_custkey"], order, "o_orderdate", "o_orderdate", "20000 days"), f"{path}/out", f"{path}/state")
     last = out.groupBy("o_custkey").agg(F.max_by(F.struct("o_orderkey", "o_orderstatus", "o_orderdate"), "batch").alias("r"))
     return last.select("o_custkey", "r.*")
 

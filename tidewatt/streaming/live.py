@@ -7,6 +7,7 @@ more. They need the RocksDB state store, which :func:`stateful` sets for the ses
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -59,16 +60,18 @@ class Supersession(StatefulProcessor):
     watermark passes it by ``keep``, no version of the key can come; its state is dropped."""
 
     def __init__(self, schema: T.StructType, order: list[tuple[str, bool]], until: str, keep_ms: int):
-        self.schema, self.order, self.until, self.keep = schema, order, until, keep_ms
+        self.schema, self.keep = schema, keep_ms
+        names = schema.fieldNames()
+        self.order, self.end = [(names.index(n), descending) for n, descending in order], names.index(until)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.best = handle.getValueState("best", self.schema)
+        self.version, self.out = None, Row(*self.schema.fieldNames())
 
     def _before(self, a: tuple, b: tuple) -> bool:
         """Whether version a comes before b, so supersedes it."""
-        for name, descending in self.order:
-            i = self.schema.fieldNames().index(name)
+        for i, descending in self.order:
             x, y = a[i], b[i]
             if x == y:
                 continue
@@ -78,23 +81,28 @@ class Supersession(StatefulProcessor):
         return False
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = tuple(self.best.get()) if self.best.exists() else None
-        best = held
+        # Each call to the state or its timers goes to the JVM and back, so only what is needed is asked for.
+        held = self.best.get()
+        held = best = None if held is None else tuple(held)
         for row in rows:
-            row = tuple(row[n] for n in self.schema.fieldNames())
-            if best is None or self._before(row, best):
-                best = row
+            if self.version is None:
+                self.version = itemgetter(*[row.__fields__.index(n) for n in self.schema.fieldNames()])
+            version = self.version(row)
+            if best is None or self._before(version, best):
+                best = version
         if best != held:
             self.best.update(best)
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            end = best[self.schema.fieldNames().index(self.until)]
-            if end is not None:
+            end = best[self.end]
+            # An earlier version's timer stays, and finds a later end when it goes off.
+            if end is not None and (held is None or end != held[self.end]):
                 self.handle.registerTimer(max(end // 1000 + self.keep, timerValues.getCurrentWatermarkInMs() + 1))
-            yield Row(**dict(zip(self.schema.fieldNames(), best)))
+            yield self.out(*best)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.best.clear()
+        held = self.best.get()
+        end = None if held is None else held[self.end]
+        if end is not None and end // 1000 + self.keep <= expiredTimerInfo.getExpiryTimeInMs():
+            self.best.clear()
         return iter([])
 
     def close(self) -> None:
@@ -178,12 +186,12 @@ def emptied(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).option("basePath", path).parquet(path)
 
 
-def replayed(df: DataFrame, path: str, files: int, order: Column, at_once: int = 1) -> DataFrame:
+def replayed(df: DataFrame, path: str, files: int, order: Column, at_once: int = 1, parts: int = 1) -> DataFrame:
     """A stream of df's rows from so many files at path, dealt out by the order's hash; each batch
-    takes at_once of them."""
-    dealt = df.withColumn("_file", F.pmod(F.xxhash64(order), F.lit(files)))
-    dealt.repartition(files, "_file").drop("_file").write.parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", at_once).parquet(path)
+    takes at_once of them. With parts each file is that many, which are written and read side by side."""
+    number = F.pmod(F.xxhash64(order), F.lit(files * parts)).cast("int")
+    df.repartitionById(files * parts, number).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", at_once * parts).parquet(path)
 
 
 def upserting(stream: DataFrame, path: str, keys: list[str], sequence: str, checkpoint: str, partition: list[str] | None = None, **options: str) -> StreamingQuery:
