@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatt.operators import intervals, quantiles
+from tidewatt.plans import market_queries
 from tidewatt.sources import archives, arrivals, documents, sheets
 
 
@@ -178,3 +179,12 @@ def test_archives_of_documents_are_opened_and_parsed_once(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(i, m, n, "s") for i in range(3) for m, n in (("1.xml", 1), ("in.zip/3.xml", 3))]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_xml(") == 1 and plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+
+
+def test_archives_are_made_of_documents_one_by_one(spark, sf, monkeypatch):
+    plan = market_queries.archived_outages(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "EvalPython" not in plan and plan.count("collect_list") == 1 and plan.count("RepartitionByExpression") == 1
+    monkeypatch.setattr(market_queries, "FILES", 5)
+    rows = spark.createDataFrame([(b, k, f"{b}{k}{i}") for i in range(2) for k in (1, 0) for b in (2, 1, None)], "box int, l_orderkey long, text string")
+    files = market_queries._files(rows.coalesce(1), lambda texts: ";".join(f"{k}={t[:2]}{len(t)}" for k, t in texts.items()).encode())
+    assert [bytes(r["content"]) for r in files.collect()] == [b"0=No12;1=No12", b"0=106;1=116", b"0=206;1=216"]

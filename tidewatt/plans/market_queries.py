@@ -7,9 +7,12 @@ or documents' points, and an order with its lines is one document.
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +26,9 @@ from tidewatt.sources import archives, arrivals, sheets
 from tidewatt.sources import documents as sources
 from tidewatt.streaming import live
 
+#: Bytes at which a batch of files that were made goes back to Spark.
+FILES = 1 << 20
+
 _LABEL = "strftime(time_bucket(interval 15 minute, {0}), '%H:%M') || '-' || strftime(time_bucket(interval 15 minute, {0}) + interval 15 minute, '%H:%M')"
 _LOCAL = "(({0} at time zone 'UTC') at time zone 'Europe/Prague')"
 _HOUR = "substring(time_interval, 1, 2) || ':00-' || lpad(cast((cast(substring(time_interval, 1, 2) as int) + 1) % 24 as varchar), 2, '0') || ':00'"
@@ -342,12 +348,12 @@ def json_rates(spark, sf_dir):
     return docs.select("o_orderkey", sources.rate(F.col("text")).alias("rate"))
 
 
-def _outage_docs(spark, sf_dir) -> DataFrame:
-    """An order as the document of an outage, with its lines as points."""
+def _outage_docs(lines: DataFrame, *beside: str) -> DataFrame:
+    """An order as the document of an outage, with its lines as points; beside are columns that its lines share."""
     start = F.min("l_shipdate")
     at = lambda c, minutes, form: F.date_format(c + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)), form)
     point = _tag("Point", F.concat(_tag("position", F.col("l_linenumber").cast("string")), _tag("quantity", F.col("l_quantity").cast("string"))))
-    li = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(_joined("l_linenumber", point).alias("x"), start.alias("a"))
+    li = lines.groupBy(*beside, "l_orderkey").agg(_joined("l_linenumber", point).alias("x"), start.alias("a"))
     a = F.col("a")
     day, clock, instant = "yyyy-MM-dd", "HH:mm'Z'", "yyyy-MM-dd'T'HH:mm'Z'"
     period = _tag("Available_Period", F.concat(_tag("timeInterval", F.concat(_tag("start", at(a, 0, instant)), _tag("end", at(a, 30, instant)))), _tag("resolution", F.lit("PT15M")), "x"))
@@ -357,14 +363,14 @@ def _outage_docs(spark, sf_dir) -> DataFrame:
     )
     status = F.when(F.col("l_orderkey") % 2 == 0, _tag("docStatus", _tag("value", F.lit("A09")))).otherwise("")
     reason = _tag("Reason", F.concat(_tag("code", F.lit("B95")), _tag("text", F.lit("x"))))
-    return li.select("l_orderkey", F.concat(F.lit('<D xmlns="urn:o">'), _tag("revisionNumber", (F.col("l_orderkey") % 4).cast("string")), status, reason, _tag("TimeSeries", series), F.lit("</D>")).alias("text"))
+    return li.select(*beside, "l_orderkey", F.concat(F.lit('<D xmlns="urn:o">'), _tag("revisionNumber", (F.col("l_orderkey") % 4).cast("string")), status, reason, _tag("TimeSeries", series), F.lit("</D>")).alias("text"))
 
 
 @query("""with l as (select *, row_number() over (partition by l_orderkey order by l_linenumber) rn from lineitem) select l_orderkey, cast(l_orderkey % 4 as int) revision_number, case when l_orderkey % 2 = 0 then 'A09' else 'A05' end doc_status, 'B95' reason_code, min(l_shipdate) unavail_start, min(l_shipdate) + interval 2 hour unavail_end,
  100.0::double nominal_mw, min(l_quantity) min_available_mw, 100 - min(l_quantity) max_unavailable_mw, count(*) points, min(l_shipdate) + interval 30 minute point_end from l group by l_orderkey""")
 def xml_outages(spark, sf_dir):
     """An order as an outage with its lines as points."""
-    return _outages(_outage_docs(spark, sf_dir))
+    return _outages(_outage_docs(_t(spark, sf_dir, "lineitem")))
 
 
 def _outages(docs: DataFrame) -> DataFrame:
@@ -618,28 +624,48 @@ def upsert_partitions(spark, sf_dir):
 # Archives, spreadsheets, arrivals; decisions and quantiles.
 
 
+def _boxed_lines(spark, sf_dir) -> DataFrame:
+    """Lines with box, the archive or workbook of their order, by which they are dealt out. So many parts as the session says:
+    fewer, which would do for the lines, are too few for the files that are made of them."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _t(spark, sf_dir, "lineitem").withColumn("box", F.floor(F.col("l_orderkey") / 50)).repartition(parts, "box")
+
+
+def _files(rows: DataFrame, made: Callable[[dict[str, str]], bytes]) -> DataFrame:
+    """content, a file for each box, made of its orders' texts by key; of a box's rows, which are in one part, those of an
+    order are joined as they stand. Rows come one by one, so that a task holds a file and a batch of rows."""
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = lambda out: pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["content"])
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        out: list[bytes] = []
+        for _, box in itertools.groupby(rows, lambda r: r[0]):
+            out.append(made({str(k): "".join(r[2] for r in own) for k, own in itertools.groupby(box, lambda r: r[1])}))
+            if sum(map(len, out)) >= FILES:
+                yield batch(out)
+                out = []
+        if out:
+            yield batch(out)
+
+    return rows.select("box", "l_orderkey", "text").sortWithinPartitions("box", "l_orderkey").mapInArrow(files, "content binary")
+
+
 @query(SQL["xml_outages"])
 def archived_outages(spark, sf_dir):
     """The documents of outages in archives of some, of which each third is in an archive of its own within."""
 
-    @F.pandas_udf("binary")
-    def packed(keys: pd.Series, texts: pd.Series) -> pd.Series:
-        def archive(entries) -> bytes:
-            out = io.BytesIO()
-            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-                for name, content in entries:
-                    z.writestr(name, content)
-            return out.getvalue()
-
-        def one(keys, texts) -> bytes:
-            entries = [(f"{k}.xml", t) for k, t in zip(keys, texts)]
-            return archive([(f"{n}.zip", archive([(n, t)])) if i % 3 == 0 else (n, t) for i, (n, t) in enumerate(entries)] + [("notes.txt", "no document")])
-
-        return pd.Series([one(k, t) for k, t in zip(keys, texts)])
-
-    docs = _outage_docs(spark, sf_dir)
-    d = F.col("d")
-    boxes = docs.groupBy(F.floor(F.col("l_orderkey") / 50).alias("box")).agg(F.sort_array(F.collect_list(F.struct("l_orderkey", "text"))).alias("d")).select(packed(d["l_orderkey"], d["text"]).alias("content"))
+    def archive(entries) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, content in entries:
+                z.writestr(name, content)
+        return out.getvalue()
+
+    def packed(texts: dict[str, str]) -> bytes:
+        entries = [(f"{k}.xml", t) for k, t in texts.items()]
+        return archive([(f"{n}.zip", archive([(n, t)])) if i % 3 == 0 else (n, t) for i, (n, t) in enumerate(entries)] + [("notes.txt", "no document")])
+
+    boxes = _files(_outage_docs(_boxed_lines(spark, sf_dir), "box"), packed)
     texts = archives.documents(boxes).select(F.regexp_extract("member", r"(\d+)\.xml$", 1).cast("long").alias("l_orderkey"), "text")
     return _outages(texts)
 
