@@ -185,6 +185,46 @@ def test_archives_are_made_of_documents_one_by_one(spark, sf, monkeypatch):
     plan = market_queries.archived_outages(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 2 and "EvalPython" not in plan and plan.count("collect_list") == 1 and plan.count("RepartitionByExpression") == 1
     monkeypatch.setattr(market_queries, "FILES", 5)
-    rows = spark.createDataFrame([(b, k, f"{b}{k}{i}") for i in range(2) for k in (1, 0) for b in (2, 1, None)], "box int, l_orderkey long, text string")
-    files = market_queries._files(rows.coalesce(1), lambda texts: ";".join(f"{k}={t[:2]}{len(t)}" for k, t in texts.items()).encode())
-    assert [bytes(r["content"]) for r in files.collect()] == [b"0=No12;1=No12", b"0=106;1=116", b"0=206;1=216"]
+    rows = spark.createDataFrame([(b, k, i, f"{b}{k}{i};") for i in (2, 1) for k in (1, 0) for b in (2, 1, None)], "box int, l_orderkey long, n int, text string")
+    files = market_queries._files(rows.coalesce(1), lambda texts: " ".join(f"{k}={t}" for k, t in texts.items()).encode())
+    assert [bytes(r["content"]) for r in files.collect()] == [f"0={b}01;{b}02; 1={b}11;{b}12;".encode() for b in (None, 1, 2)]
+
+
+def test_sheets_of_orders_are_made_without_groups_in_memory(spark, sf):
+    plan = market_queries.sheet_ticks(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "EvalPython" not in plan and "collect_list" not in plan
+
+
+def test_plain_sheets_are_read_as_parsed_ones():
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rng = random.Random(3)
+    pieces = ["<row>", '<row r="4">', '<row r="9" spans="1:3">', "</row>", "<c/>", '<c r="C7"/>', '<c r="A1"><v>1</v></c>', '<c r="AB2" s="3" t="s"><v>1</v></c>', "<c><v></v></c>", '<c t="inlineStr"><is><t>é </t></is></c>', '<c t="inlineStr"><is><t xml:space="preserve"></t></is></c>']
+    pieces += ['<c t="inlineStr"><v>1</v></c>', "<c><is><t>no</t></is></c>", '<c t="inlineStr"/>', "<c></c>", '<c t="s"><v>0</v></c>']
+    odd = ['<c t="s"><v>x</v></c>', "<c><v>a&amp;b</v></c>", "<c><v>&</v></c>", "<c><f>1+1</f><v>2</v></c>", "<c", "x", "\n", "<!-- <c/> -->", "<c><v>a\r\nb</v></c>", "<c><v>]]></v></c>", "<c><v>\x01</v></c>", "<c><v>\uffff</v></c>", '<c t="s"><v>7</v></c>', "<row/>", '<c t="inlineStr"><is><r><t>a</t></r><rPh><t>b</t></rPh></is></c>']
+    frames = [(f'<worksheet xmlns="{main}"><sheetData>', "</sheetData></worksheet>")] * 6
+    frames += [(f'<?xml version="1.0" encoding="UTF-8"?>\n<worksheet xmlns="{main}"><dimension ref="A1"/><sheetData>', '</sheetData><pageMargins left="1"/></worksheet>\n'), ('<worksheet xmlns="other"><sheetData>', "</sheetData></worksheet>"), (f'<worksheet xmlns="{main}"><!-- <sheetData>', "</sheetData> --></worksheet>")]
+    frames += [(f'<worksheet xmlns="{main}"><row><c><v>5</v></c></row><sheetData>', "</sheetData></worksheet>"), (f'<worksheet xmlns="{main}"><sheetData>', "</sheetData>"), (f'<?xml version="1.0" encoding="ISO-8859-1"?><worksheet xmlns="{main}"><sheetData>', "</sheetData></worksheet>")]
+    quick = 0
+
+    def parsed(xml):
+        rows = []
+        try:
+            rows.extend(r for r in archives._parsed_rows(io.BytesIO(xml), ["one", "two"]))
+        except Exception:
+            return None
+        return rows
+
+    for i in range(4000):
+        inside = [rng.choice(pieces[:3]) + "".join(rng.choices(pieces[4:], k=rng.randrange(5))) + "</row>" for _ in range(rng.randrange(4))]
+        if i % 2:
+            inside.insert(rng.randrange(len(inside) + 1), rng.choice(odd + pieces))
+            inside = ["".join(inside)]
+            if i % 4 == 1:
+                at = rng.choice([0] + [k for k, c in enumerate(inside[0]) if c == "<"])
+                inside = [inside[0][:at] + rng.choice(odd + pieces) + inside[0][at:]]
+        head, tail = rng.choice(frames)
+        xml = (head + "".join(inside) + tail).encode()
+        simple = archives._simple_rows(xml, ["one", "two"])
+        quick += simple is not None
+        assert simple is None or simple == parsed(xml), xml
+    assert quick > 1000

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import itertools
+import operator
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -633,21 +634,22 @@ def _boxed_lines(spark, sf_dir) -> DataFrame:
 
 def _files(rows: DataFrame, made: Callable[[dict[str, str]], bytes]) -> DataFrame:
     """content, a file for each box, made of its orders' texts by key; of a box's rows, which are in one part, those of an
-    order are joined as they stand. Rows come one by one, so that a task holds a file and a batch of rows."""
+    order are joined by n. Rows come one by one, so that a task holds a file and a batch of rows."""
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch = lambda out: pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["content"])
         rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        box_of, key_of, n_of = (operator.itemgetter(i) for i in range(3))
         out: list[bytes] = []
-        for _, box in itertools.groupby(rows, lambda r: r[0]):
-            out.append(made({str(k): "".join(r[2] for r in own) for k, own in itertools.groupby(box, lambda r: r[1])}))
+        for _, box in itertools.groupby(rows, box_of):
+            out.append(made({str(k): "".join([r[3] for r in sorted(own, key=n_of)]) for k, own in itertools.groupby(box, key_of)}))
             if sum(map(len, out)) >= FILES:
                 yield batch(out)
                 out = []
         if out:
             yield batch(out)
 
-    return rows.select("box", "l_orderkey", "text").sortWithinPartitions("box", "l_orderkey").mapInArrow(files, "content binary")
+    return rows.select("box", "l_orderkey", "n", "text").sortWithinPartitions("box", "l_orderkey").mapInArrow(files, "content binary")
 
 
 @query(SQL["xml_outages"])
@@ -665,28 +667,20 @@ def archived_outages(spark, sf_dir):
         entries = [(f"{k}.xml", t) for k, t in texts.items()]
         return archive([(f"{n}.zip", archive([(n, t)])) if i % 3 == 0 else (n, t) for i, (n, t) in enumerate(entries)] + [("notes.txt", "no document")])
 
-    boxes = _files(_outage_docs(_boxed_lines(spark, sf_dir), "box"), packed)
+    boxes = _files(_outage_docs(_boxed_lines(spark, sf_dir), "box").withColumn("n", F.lit(1)), packed)
     texts = archives.documents(boxes).select(F.regexp_extract("member", r"(\d+)\.xml$", 1).cast("long").alias("l_orderkey"), "text")
     return _outages(texts)
 
 
-def _numbered_lines(spark, sf_dir) -> DataFrame:
-    """Lines with n, their number in the order, and box, the workbook of their order, by which they are dealt out."""
-    li = _t(spark, sf_dir, "lineitem").withColumn("box", F.floor(F.col("l_orderkey") / 50)).repartition("box")
-    return li.withColumn("n", F.row_number().over(Window.partitionBy("box", "l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")))
+def _books_of_orders(spark, sf_dir, head: Column, row: Column) -> DataFrame:
+    """content, workbooks: each order is a sheet of its box's workbook, its head and then its lines, whose number is n."""
+    order = Window.partitionBy("box", "l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    lines = _boxed_lines(spark, sf_dir).withColumn("n", F.row_number().over(order))
+    return _files(lines.withColumn("text", F.when(F.col("n") == 1, F.concat(head, row)).otherwise(row)), archives.workbook)
 
 
-def _sheets_of_orders(lines: DataFrame, head: Column, row: Column) -> DataFrame:
-    """The rows of workbooks, read back, with l_orderkey: each order is a sheet of its box's workbook, its head and then its lines."""
-
-    @F.pandas_udf("binary")
-    def made(names: pd.Series, bodies: pd.Series) -> pd.Series:
-        return pd.Series([archives.workbook(dict(zip(n, b))) for n, b in zip(names, bodies)])
-
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("n").alias("o"), row.alias("x")))), lambda r: r["x"]), "")
-    orders = lines.groupBy("box", "l_orderkey").agg(body.alias("b")).select("box", F.struct(F.col("l_orderkey").cast("string").alias("k"), F.concat(head, "b").alias("b")).alias("s"))
-    books = orders.groupBy("box").agg(F.collect_list("s").alias("s")).select(made(F.col("s.k"), F.col("s.b")).alias("content"))
-    return archives.workbook_rows(books).withColumn("l_orderkey", F.col("sheet").cast("long"))
+def _of_orders(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("l_orderkey", F.col("sheet").cast("long"))
 
 
 @query("""with k as (select l_orderkey, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as int) n, l_extendedprice p, l_quantity v, l_tax x from lineitem)
@@ -700,7 +694,7 @@ def sheet_prices(spark, sf_dir):
     new, values = F.col("l_orderkey") % 2 == 0, [F.col(c) for c in ("l_extendedprice", "l_quantity", "l_tax")]
     head = F.when(new, archives.rows_xml(quarters)).otherwise(archives.rows_xml(hours))
     row = F.when(new, archives.row_xml(F.col("n"), T.period_label(F.col("n")), *values)).otherwise(archives.row_xml(F.col("n"), *values))
-    out = sheets.day_ahead(_sheets_of_orders(_numbered_lines(spark, sf_dir), head, row), ["l_orderkey"])
+    out = sheets.day_ahead(_of_orders(archives.workbook_rows(_books_of_orders(spark, sf_dir, head, row))), ["l_orderkey"])
     return out.select("l_orderkey", "period", F.col("price_15min_eur_mwh").alias("price"), F.col("volume_mwh").alias("volume"), F.col("purchase_60min_products_mwh").alias("purchase_60"), F.col("export_mwh").alias("exported"), "is_15min")
 
 
@@ -712,8 +706,8 @@ def sheet_ticks(spark, sf_dir):
     amount = F.when(F.col("l_linenumber") == 4, "SN").otherwise(F.col("l_quantity").cast("string"))
     row = archives.row_xml(F.lit("20240105 10:00-20240105 10:15"), none, none, F.lit("N"), amount, F.lit(1.5), price, F.lit(2), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
     head = F.lit(archives.rows_xml([["Trades"], [], ["of the day"], ["Kontrakt"], ["Kontrakt", None, None, None, "MW"]]))
-    rows = _sheets_of_orders(_numbered_lines(spark, sf_dir), head, row)
-    return sheets.ticks(rows, ["l_orderkey"], F.lit("2024-01-05").cast("date")).select("l_orderkey", "trade_id", "qty_mw", "price_eur_mwh", "exec_time")
+    rows = archives.workbook_rows(_books_of_orders(spark, sf_dir, head, row))
+    return sheets.ticks(_of_orders(rows), ["l_orderkey"], F.lit("2024-01-05").cast("date")).select("l_orderkey", "trade_id", "qty_mw", "price_eur_mwh", "exec_time")
 
 
 @query("""select event_id, event_type, case when event_type = 'view' then value + 1 else value end "value" from events""")
