@@ -228,3 +228,17 @@ def test_plain_sheets_are_read_as_parsed_ones():
         quick += simple is not None
         assert simple is None or simple == parsed(xml), xml
     assert quick > 1000
+
+
+def test_rows_are_read_with_their_header(spark, sf):
+    none = [["nothing"], []]
+    tabs = {"a": [["x"], [" Hour ", "Price\n\n(EUR/MWh)"], [1, 2.5], [], ["Period", "y"]], "b": none, "c": [["Period", None, "Volume (MWh)"], [3, "00:30-00:45", 4]]}
+    files = spark.createDataFrame([(1, bytearray(archives.workbook(tabs))), (2, bytearray(b"PK")), (3, None)], "k int, content binary")
+    told = archives.workbook_tables(files, sheets.DAY_AHEAD)
+    looked = sheets.below(archives.workbook_rows(files), ["k"], sheets.DAY_AHEAD)
+    columns = ["k", "sheet", "row", "cells", "names"]
+    rows = lambda df: sorted(map(tuple, df.select(columns).collect()), key=str)
+    assert rows(sheets.below(told, ["k"], sheets.DAY_AHEAD)) == rows(looked) and looked.count() == 4
+    assert told.where("error is not null").select("k").collect()[0]["k"] == 2
+    plan = market_queries.sheet_prices(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and plan.count("Window [") == 1 and "EvalPython" not in plan and "collect_list" not in plan

@@ -694,7 +694,7 @@ def sheet_prices(spark, sf_dir):
     new, values = F.col("l_orderkey") % 2 == 0, [F.col(c) for c in ("l_extendedprice", "l_quantity", "l_tax")]
     head = F.when(new, archives.rows_xml(quarters)).otherwise(archives.rows_xml(hours))
     row = F.when(new, archives.row_xml(F.col("n"), T.period_label(F.col("n")), *values)).otherwise(archives.row_xml(F.col("n"), *values))
-    out = sheets.day_ahead(_of_orders(archives.workbook_rows(_books_of_orders(spark, sf_dir, head, row))), ["l_orderkey"])
+    out = sheets.day_ahead(_of_orders(archives.workbook_tables(_books_of_orders(spark, sf_dir, head, row), sheets.DAY_AHEAD)), ["l_orderkey"])
     return out.select("l_orderkey", "period", F.col("price_15min_eur_mwh").alias("price"), F.col("volume_mwh").alias("volume"), F.col("purchase_60min_products_mwh").alias("purchase_60"), F.col("export_mwh").alias("exported"), "is_15min")
 
 

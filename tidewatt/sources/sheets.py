@@ -1,7 +1,8 @@
 """Market spreadsheets as tables: the layout is told from the cells.
 
 All take the rows of :func:`tidewatt.sources.archives.workbook_rows`, and ``file``, the columns that tell
-files apart. A sheet's header is one row, found by a cell, and sent to that file's rows by a join.
+files apart. A sheet's header is one row, found by a cell; that file's rows look back to it. Rows of
+:func:`tidewatt.sources.archives.workbook_tables` have it beside them, and need no exchange.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ def _plain(cell: Column) -> Column:
 def below(rows: DataFrame, file: list[str], first: list[str], levels: int = 1) -> DataFrame:
     """Rows under the first row of each file that begins with one of the cells ``first``, with ``head``, the
     header's cells as a list for each of its levels; files without one have no rows. With two levels
-    the row above holds groups, which run on to the right."""
+    the row above holds groups, which run on to the right. Rows that were read with one level's header keep that one."""
+    if levels == 1 and "names" in rows.columns:
+        return rows.where("error is null" + "".join(f" and `{c}` is not null" for c in file))
     begins = _plain(F.get("cells", F.lit(0)))
     # A merged header may leave its first cell in the row of groups empty.
     named = begins.isin(first) if levels == 1 else F.exists(F.transform("cells", _plain), lambda c: c.isin(first))
@@ -62,11 +65,15 @@ _QUARTERS = {
 }
 
 
+#: Cells that headers of day-ahead sheets begin with.
+DAY_AHEAD = ["Period", "Hour"]
+
+
 def day_ahead(rows: DataFrame, file: list[str]) -> DataFrame:
     """file, period, time_interval, prices and volumes of quarters. A sheet whose header begins with Period
     has them; one that begins with Hour has hours, whose prices are copied to their four quarters, and
     volumes divided among them as 60-minute products."""
-    table = below(rows, file, ["Period", "Hour"]).withColumn("is_15min", F.get("names", F.lit(0)) == "Period")
+    table = below(rows, file, DAY_AHEAD).withColumn("is_15min", F.get("names", F.lit(0)) == "Period")
     new, none = F.col("is_15min"), F.lit(0.0)
     price, volume = number("Price (EUR/MWh)"), number("Volume (MWh)") / 4
     hourly = {
