@@ -1,5 +1,6 @@
 import io
 import random
+import re
 import zipfile
 from datetime import date, datetime, timedelta
 
@@ -242,3 +243,13 @@ def test_rows_are_read_with_their_header(spark, sf):
     assert told.where("error is not null").select("k").collect()[0]["k"] == 2
     plan = market_queries.sheet_prices(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 2 and plan.count("Window [") == 1 and "EvalPython" not in plan and "collect_list" not in plan
+
+
+def test_code_of_day_ahead_sheets_is_compiled(spark, sf):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        told = spark._jvm.PythonSQLUtils.explainString(market_queries.sheet_prices(spark, sf)._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", told)]
+    assert sizes and max(sizes) < 8000  # longer methods the JVM interprets

@@ -39,9 +39,9 @@ def period_label(number: Column, midnight: str = "00:00") -> Column:
 
 def canonical_label(text: Column) -> Column:
     """'00-01', '00:00 - 01:00' and '23:45-24:00' in the one spelling that joins use."""
-    ends = F.split(F.replace(text, F.lit(" "), F.lit("")), "-")
     full = lambda x: F.when(F.instr(x, ":") > 0, F.lpad(x, 5, "0")).otherwise(F.concat(F.lpad(x, 2, "0"), F.lit(":00")))
-    return F.concat(full(ends[0]), F.lit("-"), F.replace(full(ends[1]), F.lit("24:00"), F.lit("00:00")))
+    ends = F.transform(F.split(F.replace(text, F.lit(" "), F.lit("")), "-"), full)  # split once, not for each mention of an end
+    return F.concat(ends[0], F.lit("-"), F.replace(ends[1], F.lit("24:00"), F.lit("00:00")))
 
 
 def to_local(instant: Column, zone: str = LOCAL) -> Column:

@@ -43,7 +43,7 @@ def below(rows: DataFrame, file: list[str], first: list[str], levels: int = 1) -
     return whole.withColumn("_h", found).select(*rows.columns, "_h.*").where(F.col("row") > F.col("_at"))
 
 
-def cell(name: str, group: str | None = None) -> Column:
+def cell(name: str | Column, group: str | None = None) -> Column:
     """The cell under a header, of a group in two levels; null without one."""
     if group is None:
         at = F.array_position("names", name)
@@ -53,7 +53,7 @@ def cell(name: str, group: str | None = None) -> Column:
     return F.when(at > 0, F.get("cells", (at - 1).cast("int")))
 
 
-def number(name: str, group: str | None = None) -> Column:
+def number(name: str | Column, group: str | None = None) -> Column:
     return T.number(cell(name, group))
 
 
@@ -74,16 +74,21 @@ def day_ahead(rows: DataFrame, file: list[str]) -> DataFrame:
     has them; one that begins with Hour has hours, whose prices are copied to their four quarters, and
     volumes divided among them as 60-minute products."""
     table = below(rows, file, DAY_AHEAD).withColumn("is_15min", F.get("names", F.lit(0)) == "Period")
-    new, none = F.col("is_15min"), F.lit(0.0)
-    price, volume = number("Price (EUR/MWh)"), number("Volume (MWh)") / 4
-    hourly = {
-        "price_15min_eur_mwh": price, "volume_mwh": volume, "purchase_15min_products_mwh": none, "purchase_60min_products_mwh": volume, "sale_15min_products_mwh": none, "sale_60min_products_mwh": volume,
-        "saldo_dm_mwh": number("Saldo DM") / 4, "export_mwh": number("Export") / 4, "import_mwh": number("Import") / 4, "price_60min_ref_eur_mwh": price,
-    }
-    values = [F.when(new, number(h)).otherwise(hourly[c]).alias(c) for c, h in _QUARTERS.items()]
+    new = F.col("is_15min")
+    # A value is looked up once, by its layout's name, since methods of more code than the JVM compiles would be interpreted.
+    either = lambda quarter, hour: number(F.when(new, F.lit(quarter)).otherwise(F.lit(hour)))
+    shared = {"volume_mwh": "Volume (MWh)", "purchase_60min_products_mwh": "Volume (MWh)", "sale_60min_products_mwh": "Volume (MWh)", "saldo_dm_mwh": "Saldo DM", "export_mwh": "Export", "import_mwh": "Import"}
+    prices = {"price_15min_eur_mwh": "Price (EUR/MWh)", "price_60min_ref_eur_mwh": "Price (EUR/MWh)"}
+
+    def value(c: str, header: str) -> Column:
+        if c in shared:
+            return either(header, shared[c]) / F.when(new, 1).otherwise(4)
+        return either(header, prices[c]) if c in prices else F.when(new, number(header)).otherwise(0.0)
+
+    values = [value(c, h).alias(c) for c, h in _QUARTERS.items()]
     label = F.when(new, T.canonical_label(F.trim(cell("Time interval"))))
     sides = ~new & (F.coalesce(cell("Volume (MWh)"), F.lit("")) == "Sale")
-    told = table.where(~sides).select(*file, new, F.when(new, number("Period")).otherwise(number("Hour")).cast("int").alias("_n"), label.alias("_label"), *values)
+    told = table.where(~sides).select(*file, new, either("Period", "Hour").cast("int").alias("_n"), label.alias("_label"), *values)
     told = told.where("_n is not null and (not is_15min or coalesce(_label, '') <> '')")
     each = told.withColumn("_q", F.explode(F.when(new, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.lit(4)))))
     each = each.withColumn("period", F.when(new, F.col("_n")).otherwise((F.col("_n") - 1) * 4 + F.col("_q")).cast("int"))
